@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The eligibility pipeline is incremental by hourly batch windows, not by
+Structured Streaming: each run reads one half-open hour window of the landing
+(``sources.landing.read_window``) and writes one new state batch.  Late data is
+handled by re-running a window; stale versions lose on ``updated``.
+"""
