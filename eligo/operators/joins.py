@@ -18,7 +18,12 @@ from pyspark.sql import types as T
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 DEFAULT_ROWS_PER_TASK = 5_000_000
 _ROW_OVERHEAD_BYTES = 32
-_FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+_FIXED_BYTES = {
+    T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8, T.FloatType: 4,
+    T.DoubleType: 8, T.DecimalType: 16, T.BooleanType: 1, T.DateType: 4,
+    T.TimestampType: 8, T.TimestampNTZType: 8,
+}
+_OTHER_BYTES = 64   # nested types: a flat guess per value
 
 
 @dataclass(frozen=True)
@@ -36,12 +41,12 @@ def estimate_size(df: DataFrame) -> SizeEstimate:
     fixed = _ROW_OVERHEAD_BYTES
     var: list[Column] = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, _FIXED_WIDTH):
-            fixed += f.dataType.defaultSize()
+        if type(f.dataType) in _FIXED_BYTES:
+            fixed += _FIXED_BYTES[type(f.dataType)]
         elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
             var.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)))
         else:
-            fixed += f.dataType.defaultSize()
+            fixed += _OTHER_BYTES
     var_sum = F.sum(sum(var[1:], var[0])) if var else F.lit(0)
     row = df.agg(F.count(F.lit(1)).alias("n"), var_sum.alias("v")).first()
     rows = int(row["n"] or 0)

@@ -131,7 +131,7 @@ def legacy_payloads(events: DataFrame) -> DataFrame:
             F.struct(
                 F.lit("uses").alias("type"),
                 F.floor("value").cast("bigint").alias("uses"),
-                F.col("value").cast("decimal(10,2)").alias("dollars"),
+                F.col("value").cast("decimal(10,2)").cast("string").alias("dollars"),
                 F.lit(100).alias("dollarsRequired"),
                 F.lit(10).alias("maxUses"),
                 F.when(F.col("event_type") == "error", F.lit(None).cast("double"))
