@@ -33,6 +33,7 @@ Plan for the hourly shape (small increment, large state):
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -148,13 +149,18 @@ class NextBatch:
 
 
 def next_batch(incr: DataFrame, prev: DataFrame | None, batch_id: int,
-               max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> NextBatch:
+               max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+               materialize: Callable[[DataFrame, str], DataFrame] | None = None) -> NextBatch:
     """Classify ``incr`` (staged rows) against ``prev`` (one full state batch).
 
     ``prev`` of ``None`` is the first batch: every row is a new mapping.
+    ``materialize`` (e.g. ``session.materialize``) stores the labelled pairs
+    once; they feed both the update rows and the keys the carry-forward
+    excludes, and would otherwise be computed twice.
     """
+    keep = materialize or (lambda df, _name: df)
     if prev is None:
-        pairs = label_pairs(incr, None)
+        pairs = keep(label_pairs(incr, None), "pairs")
         updates = updates_from_pairs(pairs, batch_id)
         carried = updates.limit(0)
         return NextBatch(updates, carried, pairs)
@@ -164,7 +170,7 @@ def next_batch(incr: DataFrame, prev: DataFrame | None, batch_id: int,
     touched = semi_join(prev, incr_keys, KEY_COLS, max_broadcast_bytes)
     untouched = anti_join(prev, incr_keys, KEY_COLS, max_broadcast_bytes)
 
-    pairs = label_pairs(incr, touched)
+    pairs = keep(label_pairs(incr, touched), "pairs")
     updates = updates_from_pairs(pairs, batch_id)
     touched_kept = touched.join(updates.select(*KEY_COLS).dropDuplicates(), KEY_COLS, "left_anti")
     carried = (untouched.unionByName(touched_kept)

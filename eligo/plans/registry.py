@@ -19,9 +19,9 @@ from eligo.operators import classify, expiry, flatten, merge, offers
 from eligo.operators.latest import latest_per_key
 from eligo.plans import standins as S
 from eligo.schemas import OFFER_TIME_ZONE, SAVED_OFFER_COLS
-from eligo.sinks.publish import compact_partition
+from eligo.sinks.publish import compact
 from eligo.sources.tables import batch_slice, last_batch_value
-from eligo.session import scratch_path
+from eligo.session import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,8 +43,12 @@ def _history_state(hist_staged: DataFrame) -> DataFrame:
 
 
 def _next(spark, sf_dir) -> classify.NextBatch:
+    """History batch and staged increment are stored once (as the job stores
+    its state and staging tables), then the next batch is derived from them."""
     hist_staged, incr = _staged_pair(spark, sf_dir)
-    return classify.next_batch(incr, _history_state(hist_staged), S.NEXT_BATCH_ID)
+    prev = materialize(_history_state(hist_staged), "hist_state")
+    incr = materialize(incr, "stg_incr")
+    return classify.next_batch(incr, prev, S.NEXT_BATCH_ID, materialize=materialize)
 
 
 def q_latest_per_key(spark, sf_dir):
@@ -217,13 +221,12 @@ def q_expiry_split(spark, sf_dir):
 
 
 def q_compact_check(spark, sf_dir):
-    """Write events as many small files per day, compact every day, read back."""
+    """Write events as many small files per day, compact all days in one pass,
+    read back."""
     ev = _events(spark, sf_dir).withColumn("day", F.col("ts").cast("date"))
     root = scratch_path(spark, "compact_check")
-    ev.repartition(16).write.mode("overwrite").partitionBy("day").parquet(root)
-    days = [r["day"] for r in ev.select("day").distinct().collect()]
-    for d in days:
-        compact_partition(spark, root, {"day": d.isoformat()}, cluster_by=["event_id"], n_files=1)
+    ev.write.mode("overwrite").partitionBy("day").parquet(root)
+    compact(spark, root, ["day"], cluster_by=["event_id"], rows_per_file=1000)
     back = spark.read.parquet(root)
     return back.select("event_id", "ts", "user_id", "event_type", "value", "props")
 

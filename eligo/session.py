@@ -35,3 +35,16 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared scratch folder."""
     return f"{scratch_root(spark)}/eligo/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet under the shared scratch folder and read it back.
+
+    Cuts the lineage of a frame that several branches read (each would
+    otherwise recompute it) and keeps it safe from executor loss: the copy
+    lives in the shared folder, not on executor disks.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
