@@ -28,8 +28,14 @@ def epoch_ms_to_ts(ms) -> Column:
 
 
 def ts_to_epoch_ms(ts) -> Column:
-    """timestamp_ntz (read as UTC wall clock) -> epoch milliseconds."""
-    return F.timestamp_diff("MILLISECOND", F.expr(_EPOCH), _col(ts))
+    """timestamp_ntz (read as UTC wall clock) -> epoch milliseconds (floor).
+
+    Subtracting two ``timestamp_ntz`` values gives a day-time interval without
+    consulting the session time zone (``timestampdiff`` would cast to a zoned
+    timestamp first).
+    """
+    secs = (_col(ts) - F.expr(_EPOCH)).cast("interval second").cast("decimal(20,6)")
+    return F.floor(secs * 1000).cast("bigint")
 
 
 def utc_to_zone(ts, zone: str) -> Column:

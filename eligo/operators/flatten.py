@@ -18,11 +18,6 @@ _S = T.StringType()
 
 # Legacy payload: every offer field is read as text, as a map<string,string>
 # would; nested objects (progress) come back as their JSON text.
-LEGACY_ENVELOPE = T.StructType([
-    T.StructField("userId", _S),
-    T.StructField("updated", _S),
-    T.StructField("offers", _S),
-])
 LEGACY_OFFER_FIELDS = [
     "offerId", "creationTime", "audience", "banditStatus", "experimentStatus",
     "holdout", "invalidationTime", "startTime", "endTime",
@@ -71,16 +66,26 @@ def legacy(df: DataFrame) -> DataFrame:
     ``offers`` must be a JSON array: a missing, NULL, empty, malformed or
     non-array value yields no row for that snapshot.
     """
-    env = F.from_json(F.col("payload"), LEGACY_ENVELOPE)
-    offers_text = env["offers"]
-    offers = F.when(F.ltrim(offers_text).startswith("["),
-                    F.from_json(offers_text, LEGACY_OFFERS))
-    exploded = df.select(
-        env["userId"].alias("user_id"),
-        env["updated"].alias("updated_ms"),
-        F.explode(offers).alias("o"),
+    # ``json_tuple`` parses the payload once for all three top-level fields
+    # (values as text, like ``get_json_object``).  Several fields taken off
+    # one ``from_json`` struct get split by the optimizer into one parse each.
+    env = df.select(F.json_tuple("payload", "userId", "updated", "offers")
+                    .alias("user_id", "updated_ms", "offers_text"))
+    offers_text = F.col("offers_text")
+    parsed = env.select(
+        "user_id", "updated_ms",
+        F.when(F.ltrim(offers_text).startswith("["),
+               F.from_json(offers_text, LEGACY_OFFERS)).alias("offers"),
     )
-    progress = F.from_json(F.col("o.progress"), LEGACY_PROGRESS)
+    # ``explode`` would make the optimizer infer ``size(offers) > 0`` and push it
+    # below, evaluating the parse once more per row; ``posexplode_outer`` then
+    # dropping its NULL position keeps the same rows (none for a NULL or empty
+    # array) with a single parse.
+    exploded = (parsed.select("user_id", "updated_ms",
+                              F.posexplode_outer("offers").alias("pos", "o"))
+                .where(F.col("pos").isNotNull()).drop("pos"))
+    exploded = exploded.select("*", F.from_json(F.col("o.progress"), LEGACY_PROGRESS).alias("p"))
+    progress = F.col("p")
     return exploded.select(
         F.col("user_id"),
         epoch_ms_to_ts("updated_ms").alias("updated_ts"),
