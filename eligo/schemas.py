@@ -150,3 +150,7 @@ class Tables:
     @property
     def saved_offers(self) -> str:
         return self._path("saved_offers")
+
+    @property
+    def saved_offers_log(self) -> str:
+        return self._path("saved_offers_log")

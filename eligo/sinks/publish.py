@@ -51,10 +51,27 @@ def last_logged_batch(spark: SparkSession, log_path: str) -> int | None:
     return log.agg(F.max("batch_id").alias("m")).first()["m"]
 
 
-def read_batch(spark: SparkSession, state_path: str, batch_id: int) -> DataFrame:
+def read_batch(spark: SparkSession, state_path: str, batch_id: int,
+               columns: list[str] | None = STATE_COLS) -> DataFrame:
     """One batch, read from its own directory (no listing of other batches)."""
     df = spark.read.option("basePath", state_path).parquet(batch_path(state_path, batch_id))
-    return df.select(*STATE_COLS)
+    df = df.withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    return df.select(*columns) if columns else df
+
+
+def read_current(spark: SparkSession, table_path: str, log_path: str,
+                 columns: list[str] | None = None) -> DataFrame | None:
+    """The last published version of a log-committed table, or ``None``."""
+    v = last_logged_batch(spark, log_path)
+    return None if v is None else read_batch(spark, table_path, v, columns)
+
+
+def commit_version(spark: SparkSession, log_path: str, version: int, rows: int,
+                   previous: int | None, note: str = "") -> None:
+    """Append the log row that makes ``version`` current."""
+    row = (version, rows, None, None, previous,
+           _dt.datetime.now(_dt.timezone.utc).isoformat(), note)
+    spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(log_path)
 
 
 def write_batch(df: DataFrame, state_path: str, batch_id: int) -> None:
@@ -119,6 +136,12 @@ def publish(spark: SparkSession, log_path: str, audit: BatchAudit,
     spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(log_path)
 
 
+def write_version(df: DataFrame, table_path: str, version: int) -> int:
+    """Write a full table version to ``batch_id=<version>``; returns its rows."""
+    df.write.mode("overwrite").parquet(batch_path(table_path, version))
+    return df.sparkSession.read.parquet(batch_path(table_path, version)).count()
+
+
 def table_checksum(df: DataFrame) -> tuple[int, int]:
     """(rows, order-independent content checksum)."""
     h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
