@@ -55,3 +55,8 @@ def rows_by_key(df):
     for r in df.collect():
         out.setdefault((r["user_id"], r["offer_id"]), []).append(r.asDict())
     return out
+
+
+def explain(df, mode: str = "formatted") -> str:
+    """The text ``df.explain(mode)`` prints."""
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
