@@ -39,7 +39,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eligo.operators.joins import DEFAULT_BROADCAST_BYTES, anti_join, semi_join
+from eligo.operators.joins import DEFAULT_BROADCAST_BYTES, anti_join, key_set, semi_join
 from eligo.schemas import EXPIRY_ACTIVE, KEY_COLS, STAGE_COLS, STATE_COLS, STATE_SCHEMA
 
 UPDATE_RULES = ["N1", "N2", "M1", "M2", "M3", "M4"]
@@ -166,9 +166,9 @@ def next_batch(incr: DataFrame, prev: DataFrame | None, batch_id: int,
         return NextBatch(updates, carried, pairs)
 
     prev = prev.select(*STATE_COLS)
-    incr_keys = incr.select(*KEY_COLS)
-    touched = semi_join(prev, incr_keys, KEY_COLS, max_broadcast_bytes)
-    untouched = anti_join(prev, incr_keys, KEY_COLS, max_broadcast_bytes)
+    incr_keys = key_set(incr, KEY_COLS, max_broadcast_bytes)   # measured once
+    touched = semi_join(prev, incr_keys, KEY_COLS)
+    untouched = anti_join(prev, incr_keys, KEY_COLS)
 
     pairs = keep(label_pairs(incr, touched), "pairs")
     updates = updates_from_pairs(pairs, batch_id)

@@ -67,19 +67,38 @@ def _split_null_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFra
     return df.where(~any_null), df.where(any_null)
 
 
-def semi_join(big: DataFrame, keys_df: DataFrame, keys: list[str],
+@dataclass(frozen=True)
+class KeySet:
+    """Distinct join keys, measured once; ``frame`` is broadcast when small."""
+
+    frame: DataFrame
+    keys: tuple[str, ...]
+    broadcast: bool
+
+
+def key_set(keys_df: DataFrame, keys: list[str],
+            max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> KeySet:
+    small = keys_df.select(*keys).dropDuplicates()
+    b = bounded_broadcast(small, max_broadcast_bytes)
+    return KeySet(b if b is not None else small, tuple(keys), b is not None)
+
+
+def _as_key_set(keys_df, keys, max_broadcast_bytes) -> KeySet:
+    return keys_df if isinstance(keys_df, KeySet) else key_set(keys_df, keys, max_broadcast_bytes)
+
+
+def semi_join(big: DataFrame, keys_df: "DataFrame | KeySet", keys: list[str],
               max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Rows of ``big`` whose key occurs in ``keys_df``.
 
     With a small key set the join is a map-only broadcast hash join: ``big`` is
     scanned once and never shuffled.
     """
-    small = keys_df.select(*keys).dropDuplicates()
-    b = bounded_broadcast(small, max_broadcast_bytes)
-    return big.join(b if b is not None else small, keys, "left_semi")
+    ks = _as_key_set(keys_df, keys, max_broadcast_bytes)
+    return big.join(ks.frame, list(ks.keys), "left_semi")
 
 
-def anti_join(big: DataFrame, keys_df: DataFrame, keys: list[str],
+def anti_join(big: DataFrame, keys_df: "DataFrame | KeySet", keys: list[str],
               max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Rows of ``big`` whose key does not occur in ``keys_df`` (NULL keys never occur).
 
@@ -87,12 +106,11 @@ def anti_join(big: DataFrame, keys_df: DataFrame, keys: list[str],
     NULL key cannot match, so they bypass the shuffle instead of all landing in
     the one task that NULL hashes to.
     """
-    small = keys_df.select(*keys).dropDuplicates()
-    b = bounded_broadcast(small, max_broadcast_bytes)
-    if b is not None:
-        return big.join(b, keys, "left_anti")
-    keyed, unkeyed = _split_null_keys(big, keys)
-    return keyed.join(small, keys, "left_anti").unionByName(unkeyed)
+    ks = _as_key_set(keys_df, keys, max_broadcast_bytes)
+    if ks.broadcast:
+        return big.join(ks.frame, list(ks.keys), "left_anti")
+    keyed, unkeyed = _split_null_keys(big, list(ks.keys))
+    return keyed.join(ks.frame, list(ks.keys), "left_anti").unionByName(unkeyed)
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",

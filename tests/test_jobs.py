@@ -91,7 +91,8 @@ def test_init_then_two_increments(world):
     write_hour(land, datetime(2024, 1, 11, 1), [
         legacy("u1", datetime(2024, 1, 9), [off("o1", datetime(2024, 1, 9))]),       # stale
         legacy("u2", datetime(2024, 1, 11, 1), [off("o1", datetime(2024, 1, 9), pef=True)])])  # M4
-    r2 = J.run_increment(spark, tables, land, datetime(2024, 1, 11, 0), datetime(2024, 1, 11, 6))
+    r2 = J.run_increment(spark, tables, land, datetime(2024, 1, 11, 0), datetime(2024, 1, 11, 6),
+                         compact_rows_per_file=2)
     assert r2.rule_counts == {"stale": 1, "M4": 1}
     st2 = J.read_state(spark, tables)
     assert st2.count() == 3
