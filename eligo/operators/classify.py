@@ -21,12 +21,13 @@ no update row at all.
 
 Plan for the hourly shape (small increment, large state):
 
-* the state is touched by two map-only broadcast joins against the increment's
-  distinct keys (size-checked): a semi join picks the few previous rows that
-  share a key with the increment, an anti join passes every other previous row
-  straight through to the new batch.  The state is scanned, never shuffled.
-* the rule evaluation joins the increment with those few previous rows: one
-  left join and one CASE per column, in a single pass.
+* the increment's distinct keys are measured once and, when small, broadcast;
+* a map-only semi join picks the few previous rows that share a key with the
+  increment (ten columns of them), and the rules evaluate in one left join of
+  the increment with those rows, one CASE per column;
+* the carried rows are one map-only anti join of the state against the
+  updated keys (a subset of the measured keys, so equally bounded).
+  The state is scanned, never shuffled.
 * when the key set is too large to broadcast, the same joins run as shuffle
   joins on (user_id, offer_id).
 """
@@ -39,7 +40,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eligo.operators.joins import DEFAULT_BROADCAST_BYTES, anti_join, key_set, semi_join
+from eligo.operators.joins import (
+    DEFAULT_BROADCAST_BYTES, KeySet, anti_join, key_set, semi_join,
+)
 from eligo.schemas import EXPIRY_ACTIVE, KEY_COLS, STAGE_COLS, STATE_COLS, STATE_SCHEMA
 
 UPDATE_RULES = ["N1", "N2", "M1", "M2", "M3", "M4"]
@@ -167,13 +170,17 @@ def next_batch(incr: DataFrame, prev: DataFrame | None, batch_id: int,
 
     prev = prev.select(*STATE_COLS)
     incr_keys = key_set(incr, KEY_COLS, max_broadcast_bytes)   # measured once
+    # The rules read ten columns of the few previous rows that share a key
+    # with the increment; column pruning keeps the scan to those columns.
     touched = semi_join(prev, incr_keys, KEY_COLS)
-    untouched = anti_join(prev, incr_keys, KEY_COLS)
-
     pairs = keep(label_pairs(incr, touched), "pairs")
     updates = updates_from_pairs(pairs, batch_id)
-    touched_kept = touched.join(updates.select(*KEY_COLS).dropDuplicates(), KEY_COLS, "left_anti")
-    carried = (untouched.unionByName(touched_kept)
+    # Updated keys are a subset of the increment's keys, so the size bound
+    # measured above holds for them too: no second measurement.
+    update_keys = updates.select(*KEY_COLS).dropDuplicates()
+    update_keys = KeySet(F.broadcast(update_keys) if incr_keys.broadcast else update_keys,
+                         tuple(KEY_COLS), incr_keys.broadcast)
+    carried = (anti_join(prev, update_keys, KEY_COLS)
                .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
                .select(*STATE_COLS))
     return NextBatch(updates, carried, pairs)
