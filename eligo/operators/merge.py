@@ -25,6 +25,12 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str,
     cols = target.columns
     if sorted(cols) != sorted(source.columns):
         raise ValueError("target and source need the same columns")
+    # NULL keys match nothing: those target rows stay and those source rows are
+    # inserted without going through the join (where they would all share one task).
+    null_target = target.where(F.col(key).isNull()).select(*cols)
+    null_source = source.where(F.col(key).isNull()).select(*cols)
+    target = target.where(F.col(key).isNotNull())
+    source = source.where(F.col(key).isNotNull())
     t = target.select(*[F.col(c).alias(f"t_{c}") for c in cols], F.lit(True).alias("_t"))
     s = source.select(*[F.col(c).alias(f"s_{c}") for c in cols], F.lit(True).alias("_s"))
     j = t.join(s, F.col(f"t_{key}") == F.col(f"s_{key}"), "full_outer")
@@ -37,8 +43,9 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str,
             diff = F.col(f"s_{c}") != F.col(f"t_{c}")
         changed = changed | diff
     take_source = F.col("_t").isNull() | (F.col("_s").isNotNull() & F.coalesce(changed, F.lit(False)))
-    return j.select(*[F.when(take_source, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c)
-                      for c in cols])
+    merged = j.select(*[F.when(take_source, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c)
+                        for c in cols])
+    return merged.unionByName(null_target).unionByName(null_source)
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:

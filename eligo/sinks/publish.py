@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eligo.operators.joins import DEFAULT_BROADCAST_BYTES, semi_join
+from eligo.operators.joins import DEFAULT_BROADCAST_BYTES, key_set
 from eligo.schemas import KEY_COLS, STATE_COLS
 from eligo.session import scratch_path
 from eligo.sources.tables import read_parquet_or_none
@@ -102,25 +102,42 @@ class BatchAudit:
         return out
 
 
+def _key_profile(df: DataFrame, ks) -> tuple[int, int, int]:
+    """(rows, rows whose key is in the key set, rows with a NULL key) in one pass.
+
+    A left join against the (broadcast, when measured small) key set marks the
+    hits; one aggregate counts all three.
+    """
+    marked = ks.frame.select(*ks.keys, F.lit(1).alias("_hit"))
+    any_null = F.lit(False)
+    for k in ks.keys:
+        any_null = any_null | F.col(k).isNull()
+    r = (df.select(*ks.keys).join(marked, list(ks.keys), "left")
+         .agg(F.count(F.lit(1)).alias("n"),
+              F.coalesce(F.sum("_hit"), F.lit(0)).alias("hits"),
+              F.sum(F.when(any_null, 1).otherwise(0)).alias("nulls"))
+         .first())
+    return int(r["n"]), int(r["hits"]), int(r["nulls"] or 0)
+
+
 def audit_batch(spark: SparkSession, state_path: str, batch_id: int,
                 updates: DataFrame, previous: DataFrame | None,
                 max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> BatchAudit:
-    """Exact invariants of a written batch, from counts and map-side semi joins:
+    """Exact invariants of a written batch, from one keys-only pass over the
+    written batch and one over the previous batch:
 
     * rows = update rows + carried rows,
     * carried rows = previous rows - previous rows whose key was updated,
     * rows of the written batch whose key was updated = update rows
       (no key is both updated and carried).
     """
+    ks = key_set(updates, KEY_COLS, max_broadcast_bytes)
     written = read_batch(spark, state_path, batch_id)
-    keys = updates.select(*KEY_COLS)
-    rows = written.count()
+    rows, written_updated, null_keys = _key_profile(written, ks)
     update_rows = updates.count()
-    prev_rows = previous.count() if previous is not None else 0
-    prev_replaced = (semi_join(previous, keys, KEY_COLS, max_broadcast_bytes).count()
-                     if previous is not None else 0)
-    written_updated = semi_join(written, keys, KEY_COLS, max_broadcast_bytes).count()
-    null_keys = written.where(F.col("user_id").isNull() | F.col("offer_id").isNull()).count()
+    prev_rows, prev_replaced = 0, 0
+    if previous is not None:
+        prev_rows, prev_replaced, _ = _key_profile(previous, ks)
     return BatchAudit(batch_id, rows, update_rows, rows - update_rows, prev_rows,
                       prev_replaced, written_updated, null_keys)
 

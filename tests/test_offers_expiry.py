@@ -118,3 +118,11 @@ def test_split(spark):
                                "offer_id string, expiry_status string")
     act, ina = expiry.split_by_expiry(df)
     assert [r[0] for r in act.collect()] == ["a"] and [r[0] for r in ina.collect()] == ["b"]
+
+
+def test_merge_null_keys_kept_and_inserted(spark):
+    t = so(spark, [(None, d(1), d(2), d(3), 2024, 1, 1, 1), ("a", d(1), d(2), d(3), 2024, 1, 1, 1)])
+    s = so(spark, [(None, d(5), d(6), d(7), 2024, 1, 2, 1)])
+    out = merge.merge_upsert(t, s, "offer_id", ["start_time", "end_time", "latest_end_time"])
+    got = sorted((r["offer_id"] or "", r["start_time"]) for r in out.collect())
+    assert got == [("", d(1)), ("", d(5)), ("a", d(1))]
