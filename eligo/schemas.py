@@ -96,6 +96,27 @@ KAFKA_PATH_MARKER = "kafka-stream"
 PARTITION_COLS = ["year", "month", "day", "hour"]
 
 
+# Table names, as users of the existing jobs know them.  The
+# kafka origin appends "_kafka" to the eligibility tables; the saved-offer
+# tables are shared by both origins.
+ELIGIBILITY_TABLES = {
+    "raw": "raw_offer_eligibility_snapshots",
+    "stg": "stg_offer_eligibility_snapshots",
+    "cs_active": "offer_eligibility_snapshots_current_state_active",
+    "cs_inactive": "offer_eligibility_snapshots_current_state_inactive",
+    "dump": "sf_offer_eligibility_cs_dump",
+    "dump_with_expiry": "sf_offer_eligibility_cs_dump_w_expiry",
+}
+SAVED_OFFER_TABLES = {
+    "raw_saved_offers": "raw_saved_offers",
+    "stg_saved_offers": "stg_saved_offers",
+    "saved_offers": "saved_offers",
+}
+KAFKA_SUFFIX = "_kafka"
+# Our own additions: the publish logs that make a batch / version current.
+BATCH_LOG_SUFFIX = "_batches"
+
+
 @dataclass(frozen=True)
 class Tables:
     """Table locations for one origin; each name is a directory under ``root``."""
@@ -108,49 +129,21 @@ class Tables:
         return cls(root, "kafka" if KAFKA_PATH_MARKER in raw_path else "legacy")
 
     def _path(self, name: str) -> str:
-        suffix = "_kafka" if self.origin == "kafka" else ""
-        return f"{self.root.rstrip('/')}/{name}{suffix}"
-
-    @property
-    def raw(self) -> str:
-        return self._path("raw_offer_eligibility_snapshots")
-
-    @property
-    def stg(self) -> str:
-        return self._path("stg_offer_eligibility_snapshots")
-
-    @property
-    def cs_active(self) -> str:
-        return self._path("offer_eligibility_current_state_active")
-
-    @property
-    def cs_inactive(self) -> str:
-        return self._path("offer_eligibility_current_state_inactive")
-
-    @property
-    def batch_log(self) -> str:
-        return self._path("offer_eligibility_batch_log")
-
-    @property
-    def dump(self) -> str:
-        return self._path("offer_eligibility_dump")
-
-    @property
-    def dump_with_expiry(self) -> str:
-        return self._path("offer_eligibility_dump_with_expiry")
-
-    @property
-    def raw_saved_offers(self) -> str:
-        return self._path("raw_saved_offers")
-
-    @property
-    def stg_saved_offers(self) -> str:
-        return self._path("stg_saved_offers")
-
-    @property
-    def saved_offers(self) -> str:
-        return self._path("saved_offers")
-
-    @property
-    def saved_offers_log(self) -> str:
-        return self._path("saved_offers_log")
+        return f"{self.root.rstrip('/')}/{name}"
+
+    def _elig(self, key: str) -> str:
+        suffix = KAFKA_SUFFIX if self.origin == "kafka" else ""
+        return self._path(ELIGIBILITY_TABLES[key] + suffix)
+
+    raw = property(lambda self: self._elig("raw"))
+    stg = property(lambda self: self._elig("stg"))
+    cs_active = property(lambda self: self._elig("cs_active"))
+    cs_inactive = property(lambda self: self._elig("cs_inactive"))
+    dump = property(lambda self: self._elig("dump"))
+    dump_with_expiry = property(lambda self: self._elig("dump_with_expiry"))
+    batch_log = property(lambda self: self._elig("cs_active") + BATCH_LOG_SUFFIX)
+    raw_saved_offers = property(lambda self: self._path(SAVED_OFFER_TABLES["raw_saved_offers"]))
+    stg_saved_offers = property(lambda self: self._path(SAVED_OFFER_TABLES["stg_saved_offers"]))
+    saved_offers = property(lambda self: self._path(SAVED_OFFER_TABLES["saved_offers"]))
+    saved_offers_log = property(
+        lambda self: self._path(SAVED_OFFER_TABLES["saved_offers"]) + BATCH_LOG_SUFFIX)

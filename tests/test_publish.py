@@ -57,3 +57,22 @@ def test_compaction_keeps_rows_and_reduces_files(spark, tmp_dir):
     assert len(files) <= 2
     untouched = [f for f in os.listdir(os.path.join(p, "part=2")) if f.endswith(".parquet")]
     assert len(untouched) > 2
+
+
+def test_table_routing():
+    from eligo.schemas import Tables
+    leg = Tables.for_raw_path("/wh", "s3://landing/legacy/")
+    kaf = Tables.for_raw_path("/wh", "s3://landing/kafka-stream/")
+    assert leg.origin == "legacy" and kaf.origin == "kafka"
+    assert kaf.cs_active == "/wh/offer_eligibility_snapshots_current_state_active_kafka"
+    assert kaf.saved_offers == leg.saved_offers == "/wh/saved_offers"
+    assert leg.batch_log.endswith("_batches")
+
+
+def test_create_table_in_catalog(spark, tmp_dir):
+    from pyspark.sql import types as T
+    sch = T.StructType([T.StructField("v", T.LongType()), T.StructField("hour", T.IntegerType())])
+    write.create_table(spark, "eligo_t1", sch, ["hour"], os.path.join(tmp_dir, "t1"))
+    write.create_table(spark, "eligo_t1", sch, ["hour"], os.path.join(tmp_dir, "t1"))  # idempotent
+    assert [f.name for f in spark.table("eligo_t1").schema.fields] == ["v", "hour"]
+    spark.sql("DROP TABLE eligo_t1")
