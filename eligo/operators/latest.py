@@ -37,16 +37,26 @@ def latest_per_key(flat: DataFrame) -> DataFrame:
     """Keep the rows at the latest ``updated_ts`` of each key, all ties included,
     then collapse ties that differ only in ``uses`` to their largest ``uses``.
 
-    Plan: one shuffle on (user_id, offer_id).  ``rank() = 1`` is planned with a
-    map-side ``WindowGroupLimit``, so each map task ships only its own latest
-    rows per key; the group-by after the window reuses the window's hash
-    partitioning (its keys include both key columns) and adds no exchange.
-    Ties that differ in more than ``uses`` stay separate rows, as staged.
+    Order of work, chosen so that no key can pile up in one task:
+
+    1. group by all staged columns but ``uses`` (MAX(uses)).  Partial
+       aggregation runs before the shuffle, so repeated copies of a snapshot
+       collapse map-side; the shuffle hashes on all grouping columns, so the
+       versions of one busy key spread over many tasks.
+    2. ``rank() = 1`` over (user_id, offer_id) by ``updated``.  Its map-side
+       ``WindowGroupLimit`` keeps only each task's latest rows per key, so the
+       second shuffle carries about one row per key and task, and a key's task
+       receives little more than the rows it outputs.
+
+    The rank filter only compares a row's ``updated`` with its key's latest, and
+    grouping keeps every (key, updated) pair, so grouping first gives the same
+    rows as ranking first.  Ties that differ in more than ``uses`` stay separate
+    rows, as staged.
     """
-    w = Window.partitionBy("user_id", "offer_id").orderBy(F.col("updated_ts").desc())
-    latest = flat.withColumn("_rank", F.rank().over(w)).where(F.col("_rank") == 1)
-    staged = latest.select(*typed_stage_columns())
+    staged = flat.select(*typed_stage_columns())
     group_cols = [c for c in STAGE_COLS if c != "uses"]
-    return (staged.groupBy(*group_cols)
-            .agg(F.max("uses").alias("uses"))
+    collapsed = staged.groupBy(*group_cols).agg(F.max("uses").alias("uses"))
+    w = Window.partitionBy("user_id", "offer_id").orderBy(F.col("updated").desc())
+    return (collapsed.withColumn("_rank", F.rank().over(w))
+            .where(F.col("_rank") == 1)
             .select(*STAGE_COLS))

@@ -108,8 +108,18 @@ def test_latest_wins(spark):
     assert [r["uses"] for r in st.collect()] == [Decimal(1)]
 
 
-def test_latest_plan_one_exchange(spark):
+def test_latest_plan_pre_aggregates_before_each_shuffle(spark):
     st = latest_per_key(_flat_rows(spark, [("u", "o", MS, 1, 0.5)]))
-    plan = st._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert "WindowGroupLimit" in plan
+    from tests.helpers import explain
+    lines = [ln.strip() for ln in explain(st, "simple").splitlines()]
+    ex = [i for i, ln in enumerate(lines) if "Exchange hashpartitioning" in ln]
+    assert len(ex) == 2
+    # below each exchange: a partial aggregate, then a partial window limit
+    assert any("HashAggregate" in ln and "partial_max" in ln for ln in lines[ex[1]:])
+    assert any("WindowGroupLimit" in ln for ln in lines[ex[0]:ex[1]])
+
+
+def test_copies_of_one_snapshot_collapse(spark):
+    rows = [("u", "o", MS, 2, 0.5)] * 50 + [("u", "o", MS - 1000, 9, 0.5)] * 20
+    st = latest_per_key(_flat_rows(spark, rows)).collect()
+    assert len(st) == 1 and st[0]["uses"] == Decimal(2)
