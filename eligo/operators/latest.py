@@ -33,7 +33,7 @@ def typed_stage_columns() -> list:
     ]
 
 
-def latest_per_key(flat: DataFrame) -> DataFrame:
+def latest_per_key(flat: DataFrame, tiebreak: bool = False) -> DataFrame:
     """Keep the rows at the latest ``updated_ts`` of each key, all ties included,
     then collapse ties that differ only in ``uses`` to their largest ``uses``.
 
@@ -52,11 +52,20 @@ def latest_per_key(flat: DataFrame) -> DataFrame:
     grouping keeps every (key, updated) pair, so grouping first gives the same
     rows as ranking first.  Ties that differ in more than ``uses`` stay separate
     rows, as staged.
+
+    ``tiebreak=True`` (off by default) keeps one row per key instead: the
+    largest in a fixed order of all columns, so re-runs pick the same row.
     """
     staged = flat.select(*typed_stage_columns())
     group_cols = [c for c in STAGE_COLS if c != "uses"]
     collapsed = staged.groupBy(*group_cols).agg(F.max("uses").alias("uses"))
-    w = Window.partitionBy("user_id", "offer_id").orderBy(F.col("updated").desc())
-    return (collapsed.withColumn("_rank", F.rank().over(w))
+    order = [F.col("updated").desc()]
+    rank = F.rank
+    if tiebreak:
+        order += [F.col(c).desc_nulls_last() for c in STAGE_COLS
+                  if c not in ("user_id", "offer_id", "updated")]
+        rank = F.row_number
+    w = Window.partitionBy("user_id", "offer_id").orderBy(*order)
+    return (collapsed.withColumn("_rank", rank().over(w))
             .where(F.col("_rank") == 1)
             .select(*STAGE_COLS))

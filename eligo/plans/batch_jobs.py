@@ -133,7 +133,8 @@ class IncrementResult:
 def run_increment(spark: SparkSession, tables: Tables, base: str, start: datetime,
                   end: datetime, batch_id: int | None = None,
                   max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-                  compact_rows_per_file: int | None = None) -> IncrementResult:
+                  compact_rows_per_file: int | None = None,
+                  tiebreak: bool = False) -> IncrementResult:
     """One hourly increment.  With ``compact_rows_per_file`` the new batch is
     rewritten into clustered files before it is audited and published (the
     carried rows otherwise keep the previous batch's file layout)."""
@@ -143,7 +144,7 @@ def run_increment(spark: SparkSession, tables: Tables, base: str, start: datetim
         raise ValueError(f"batch {batch_id} is not after the last published batch {previous_id}")
 
     window = land_window(spark, base, start, end, landing.landing_schema(tables.origin), tables.raw)
-    staged = latest_per_key(flatten.by_origin(window, tables.origin))
+    staged = latest_per_key(flatten.by_origin(window, tables.origin), tiebreak)
     write.overwrite(staged, tables.stg)
     incr = spark.read.parquet(tables.stg)
 

@@ -90,6 +90,7 @@ class BatchAudit:
     previous_rows_replaced: int
     written_rows_of_updated_keys: int
     null_key_rows: int
+    updated_keys_with_several_rows: int = 0   # ties beyond uses; reported, not a failure
 
     def problems(self) -> list[str]:
         out = []
@@ -135,11 +136,12 @@ def audit_batch(spark: SparkSession, state_path: str, batch_id: int,
     written = read_batch(spark, state_path, batch_id)
     rows, written_updated, null_keys = _key_profile(written, ks)
     update_rows = updates.count()
+    multi = updates.groupBy(*KEY_COLS).count().where(F.col("count") > 1).count()
     prev_rows, prev_replaced = 0, 0
     if previous is not None:
         prev_rows, prev_replaced, _ = _key_profile(previous, ks)
     return BatchAudit(batch_id, rows, update_rows, rows - update_rows, prev_rows,
-                      prev_replaced, written_updated, null_keys)
+                      prev_replaced, written_updated, null_keys, multi)
 
 
 def publish(spark: SparkSession, log_path: str, audit: BatchAudit,

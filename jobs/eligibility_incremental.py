@@ -14,13 +14,16 @@ def main(argv=None) -> None:
                    help="largest increment key set joined by broadcast")
     p.add_argument("--compact-rows-per-file", type=int, default=None,
                    help="rewrite the new batch into clustered files of about this many rows")
+    p.add_argument("--tiebreak", action="store_true",
+                   help="keep one row per key when versions tie beyond uses (default: keep all)")
     args = p.parse_args(argv)
     check_window(args)
     spark = session("offer-eligibility")
     tables = (Tables(args.warehouse, args.origin) if args.origin
               else Tables.for_raw_path(args.warehouse, args.raw_data))
     res = run_increment(spark, tables, args.raw_data, args.start, args.end, args.batch_id,
-                        args.max_broadcast_mb * 1024 * 1024, args.compact_rows_per_file)
+                        args.max_broadcast_mb * 1024 * 1024, args.compact_rows_per_file,
+                        args.tiebreak)
     print(f"published batch {res.batch_id} (previous {res.previous_batch_id}): {res.audit}")
     spark.stop()
 

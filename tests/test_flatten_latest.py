@@ -123,3 +123,10 @@ def test_copies_of_one_snapshot_collapse(spark):
     rows = [("u", "o", MS, 2, 0.5)] * 50 + [("u", "o", MS - 1000, 9, 0.5)] * 20
     st = latest_per_key(_flat_rows(spark, rows)).collect()
     assert len(st) == 1 and st[0]["uses"] == Decimal(2)
+
+
+def test_tiebreak_keeps_one_row_deterministically(spark):
+    rows = [("u", "o", MS, 1, 0.5), ("u", "o", MS, 1, 0.7), ("u", "o", MS, 1, None)]
+    a = latest_per_key(_flat_rows(spark, rows), tiebreak=True).collect()
+    b = latest_per_key(_flat_rows(spark, list(reversed(rows))), tiebreak=True).collect()
+    assert len(a) == 1 and a == b and a[0]["percentage"] == 0.7
