@@ -239,6 +239,26 @@ SELECT CAST(user_id AS VARCHAR) AS user_id,
 FROM o"""
 
 
+def _stage_from_flat(flat_sql: str) -> str:
+    """Typing and latest-version selection over a flattened layout, as staged."""
+    return f"""WITH f AS ({flat_sql}),
+typed AS (
+  SELECT user_id, updated_ts AS updated, offer_id, start_time, end_time, creation_time,
+         invalidation_time,
+         TRY_CAST(progress_dollars AS DOUBLE) AS dollars,
+         TRY_CAST(progress_percentage AS DOUBLE) AS percentage,
+         CASE WHEN progress_quantity IS NULL THEN CAST(0 AS DECIMAL(38,0))
+              ELSE TRY_CAST(progress_quantity AS DECIMAL(38,0)) END AS quantity,
+         TRY_CAST(holdout AS BOOLEAN) AS holdout, 'NA' AS meta, CAST(0 AS DECIMAL(1,1)) AS ranking,
+         TRY_CAST(potentially_eligible_in_future AS BOOLEAN) AS potentiallyeligibleinfuture,
+         TRY_CAST(audience AS BOOLEAN) AS audience,
+         TRY_CAST(progress_uses AS DECIMAL(38,0)) AS uses, bandit_status, experiment_status,
+         rank() OVER (PARTITION BY user_id, offer_id ORDER BY updated_ts DESC) AS rk
+  FROM f
+)
+SELECT {_STAGE_NO_USES}, MAX(uses) AS uses FROM typed WHERE rk = 1 GROUP BY {_STAGE_NO_USES}"""
+
+
 def _path_sql() -> str:
     def two(x):
         return f"lpad(CAST({x}(ts) AS VARCHAR), 2, '0')"
@@ -288,6 +308,8 @@ SELECT event_id,
        TRY_CAST(holdout_text AS BOOLEAN) AS holdout,
        TRY_CAST(TRY_CAST(quantity_text AS DECIMAL(38,0)) AS BIGINT) AS max_uses
 FROM t""",
+        "q_stage_legacy": _stage_from_flat(_flatten_oracle(legacy=True)),
+        "q_stage_kafka": _stage_from_flat(_flatten_oracle(legacy=False)),
         "q_dedupe_rows": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
         "q_latest_per_key": f"WITH {_FLAT},\n{_staged('st', 'true')}\nSELECT {_STAGE} FROM st",
         "q_last_batch": f"SELECT max({_BATCH}) AS last_batch FROM orders",

@@ -166,6 +166,16 @@ def q_flatten_kafka(spark, sf_dir):
     return flatten.kafka(S.kafka_snapshots(_events(spark, sf_dir)))
 
 
+def q_stage_legacy(spark, sf_dir):
+    """Legacy payloads -> flatten -> latest version per key, typed (C02 + C04)."""
+    return latest_per_key(flatten.legacy(S.legacy_payloads(_events(spark, sf_dir))))
+
+
+def q_stage_kafka(spark, sf_dir):
+    """Kafka snapshots -> flatten -> latest version per key, typed (C03 + C04)."""
+    return latest_per_key(flatten.kafka(S.kafka_snapshots(_events(spark, sf_dir))))
+
+
 def q_dedupe_rows(spark, sf_dir):
     li = S.table(spark, sf_dir, "lineitem")
     return li.select("l_orderkey", "l_linenumber").dropDuplicates()
@@ -240,6 +250,8 @@ QUERIES: dict[str, Query] = {
     "q_epoch_to_ts": q_epoch_to_ts,
     "q_chicago_time": q_chicago_time,
     "q_typed_progress": q_typed_progress,
+    "q_stage_legacy": q_stage_legacy,
+    "q_stage_kafka": q_stage_kafka,
     "q_dedupe_rows": q_dedupe_rows,
     "q_latest_per_key": q_latest_per_key,
     "q_last_batch": q_last_batch,
