@@ -170,3 +170,23 @@ def run_increment(spark: SparkSession, tables: Tables, base: str, start: datetim
 
 def read_state(spark: SparkSession, tables: Tables) -> DataFrame | None:
     return publish.read_current(spark, tables.cs_active, tables.batch_log, STATE_COLS)
+
+
+def register_views(spark: SparkSession, tables: Tables) -> list[str]:
+    """Temp views for SQL users, named like the tables (S07): the staged
+    increment, the current active state batch and the current saved offers.
+    Returns the names registered (a table that does not exist yet is skipped)."""
+    names = []
+    stg = read_parquet_or_none(spark, tables.stg)
+    frames = {
+        tables.stg: stg,
+        tables.cs_active: read_state(spark, tables),
+        tables.saved_offers: current_saved_offers(spark, tables),
+    }
+    for path, df in frames.items():
+        if df is None:
+            continue
+        name = path.rstrip("/").rsplit("/", 1)[-1]
+        df.createOrReplaceTempView(name)
+        names.append(name)
+    return names

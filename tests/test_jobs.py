@@ -99,6 +99,13 @@ def test_init_then_two_increments(world):
     assert st2.select("user_id", "offer_id").distinct().count() == 3
     assert {r.batch_id for r in st2.collect()} == {2024011106}
 
+    # the current tables as SQL views, named like the tables
+    names = J.register_views(spark, tables)
+    assert "offer_eligibility_snapshots_current_state_active" in names
+    n = spark.sql("SELECT count(*) AS n FROM offer_eligibility_snapshots_current_state_active").first().n
+    assert n == 3
+    assert spark.sql("SELECT offer_id FROM saved_offers ORDER BY offer_id").collect()[0].offer_id == "o1"
+
     # a batch id that is not after the last one is refused
     with pytest.raises(ValueError):
         J.run_increment(spark, tables, land, datetime(2024, 1, 10, 0), datetime(2024, 1, 10, 6))
