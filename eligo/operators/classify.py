@@ -48,6 +48,7 @@ from eligo.schemas import EXPIRY_ACTIVE, KEY_COLS, STAGE_COLS, STATE_COLS, STATE
 UPDATE_RULES = ["N1", "N2", "M1", "M2", "M3", "M4"]
 # Pairs whose increment row is fresher than the previous row ("matches").
 MATCH_LABELS = ["M1", "M2", "M3", "M4", "gap", "pef_null"]
+# Labels of pairs that produce no update row.
 NO_UPDATE_LABELS = ["gap", "pef_null", "stale", "new_pef_null"]
 
 # Previous-state columns the rules read, renamed so they sit beside the
@@ -71,10 +72,6 @@ def _c(name: str) -> Column:
     return F.col(name)
 
 
-def empty_state(spark) -> DataFrame:
-    return spark.createDataFrame([], STATE_SCHEMA)
-
-
 def label_pairs(incr: DataFrame, prev: DataFrame | None) -> DataFrame:
     """Every (increment row, previous row of its key) pair with its rule label.
 

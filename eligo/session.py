@@ -21,11 +21,14 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and is visible to every
-    executor.  Only when it is unset (a local test session) is a fresh local
-    folder created and registered.
+    executor; a cluster session without it is an error, since a local folder
+    would differ per machine.  Only a local-mode session (tests) gets a fresh
+    local folder when the setting is unset.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="eligo-scratch-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
