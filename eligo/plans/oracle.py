@@ -1,9 +1,9 @@
 """DuckDB SQL for every registered query, over the same Parquet tables.
 
-The eligibility queries are written the long way, as separate branches joined
-by UNION ALL (new mappings via LEFT JOIN ... IS NULL, four merge branches, a
-carry-forward anti join), so they check the single-pass Spark plan against an
-independent formulation of the same rules.
+The eligibility queries are formulated independently of the Spark plans
+(NOT EXISTS for new mappings and carry-forward, one conditional projection
+for the merge rules, "hour = the offer's latest hour" for saved offers), so
+they check them against a second derivation of the same rules.
 """
 
 from __future__ import annotations
@@ -43,43 +43,37 @@ flat AS (
 
 def _staged(name: str, where: str) -> str:
     return f"""
-{name}_ranked AS (
-  SELECT *, rank() OVER (PARTITION BY user_id, offer_id ORDER BY updated DESC) AS rk
+{name}_rows AS (
+  SELECT *, max(updated) OVER (PARTITION BY user_id, offer_id) AS key_latest
   FROM flat WHERE {where}
 ),
 {name} AS (
-  SELECT {_STAGE_NO_USES}, MAX(uses) AS uses FROM {name}_ranked WHERE rk = 1
+  SELECT {_STAGE_NO_USES}, MAX(uses) AS uses FROM {name}_rows WHERE updated = key_latest
   GROUP BY {_STAGE_NO_USES}
 )"""
 
 
 def _ctes_state() -> str:
-    """flat -> hist (batch 1, all new mappings) and incr, then every branch."""
+    """flat -> hist (batch 1, all new mappings) and incr, then the next batch.
+
+    Formulated independently of the Spark plan: NOT EXISTS for new mappings
+    and for the carry-forward, one conditional projection for the four merge
+    rules over the de-duplicated fresher pairs.
+    """
+    pef = "potentiallyeligibleinfuture"
     return f"""WITH {_FLAT},
 {_staged("hist_staged", f"updated < {_CUT}")},
 {_staged("incr", f"updated >= {_CUT}")},
 hist AS (
   SELECT user_id, updated, offer_id, start_time, end_time, creation_time, invalidation_time,
-         dollars, percentage, quantity, holdout, meta, ranking, potentiallyeligibleinfuture,
-         CASE WHEN potentiallyeligibleinfuture = false THEN start_time END AS start_time_first_observed,
+         dollars, percentage, quantity, holdout, meta, ranking, {pef},
+         CASE WHEN {pef} = false THEN start_time END AS start_time_first_observed,
          CAST(NULL AS TIMESTAMP) AS start_time_recently_observed, audience,
          CAST(NULL AS DOUBLE) AS percentage_recently_observed, uses,
          CAST(NULL AS DECIMAL(38,0)) AS uses_recently_observed, bandit_status, experiment_status,
          'active' AS expiry_status, CAST({S.HIST_BATCH_ID} AS BIGINT) AS batch_id
-  FROM hist_staged WHERE potentiallyeligibleinfuture IS NOT NULL
-),
-new_m AS (
-  SELECT {_I(STAGE_COLS)} FROM incr i
-  LEFT JOIN (SELECT offer_id, user_id FROM hist) h
-    ON (i.offer_id = h.offer_id AND i.user_id = h.user_id)
-  WHERE h.offer_id IS NULL
+  FROM hist_staged WHERE {pef} IS NOT NULL
 ),
-n1 AS (SELECT {_STAGE}, start_time AS fo, CAST(NULL AS TIMESTAMP) AS sr,
-              CAST(NULL AS DOUBLE) AS pr, CAST(NULL AS DECIMAL(38,0)) AS ur
-       FROM new_m WHERE potentiallyeligibleinfuture = false),
-n2 AS (SELECT {_STAGE}, CAST(NULL AS TIMESTAMP) AS fo, CAST(NULL AS TIMESTAMP) AS sr,
-              CAST(NULL AS DOUBLE) AS pr, CAST(NULL AS DECIMAL(38,0)) AS ur
-       FROM new_m WHERE potentiallyeligibleinfuture = true),
 matching AS (
   SELECT DISTINCT {_I(STAGE_COLS)},
          h.start_time_first_observed AS h_first_observed,
@@ -90,26 +84,34 @@ matching AS (
   FROM incr i JOIN hist h ON (i.offer_id = h.offer_id AND i.user_id = h.user_id)
   WHERE i.updated > h.updated
 ),
-m1 AS (SELECT {_STAGE}, start_time AS fo, h_start_recent AS sr, h_pct_recent AS pr, h_uses_recent AS ur
-       FROM matching WHERE h_first_observed IS NULL AND potentiallyeligibleinfuture = false),
-m2 AS (SELECT {_STAGE}, h_first_observed AS fo, h_start AS sr, h_pct AS pr, h_uses AS ur
-       FROM matching WHERE h_first_observed IS NOT NULL AND potentiallyeligibleinfuture = false
-                       AND percentage IS NOT NULL),
-m3 AS (SELECT {_STAGE}, h_first_observed AS fo, h_start AS sr, h_pct_recent AS pr, h_uses AS ur
-       FROM matching WHERE h_first_observed IS NOT NULL AND potentiallyeligibleinfuture = false
-                       AND percentage IS NULL),
-m4 AS (SELECT {_STAGE}, h_first_observed AS fo, h_start_recent AS sr, h_pct_recent AS pr, h_uses_recent AS ur
-       FROM matching WHERE h_first_observed IS NULL AND potentiallyeligibleinfuture = true),
-upd AS (SELECT * FROM m1 UNION ALL SELECT * FROM m2 UNION ALL SELECT * FROM m3
-        UNION ALL SELECT * FROM m4 UNION ALL SELECT * FROM n1 UNION ALL SELECT * FROM n2),
-{_to_state("updates", "upd")},
-{_to_state("new_updates", "(SELECT * FROM n1 UNION ALL SELECT * FROM n2)")},
-update_ids AS (SELECT DISTINCT user_id, offer_id FROM updates),
+new_upd AS (
+  SELECT {_STAGE},
+         CASE WHEN {pef} THEN CAST(NULL AS TIMESTAMP) ELSE start_time END AS fo,
+         CAST(NULL AS TIMESTAMP) AS sr, CAST(NULL AS DOUBLE) AS pr, CAST(NULL AS DECIMAL(38,0)) AS ur
+  FROM incr i
+  WHERE {pef} IS NOT NULL
+    AND NOT EXISTS (SELECT 1 FROM hist h WHERE h.user_id = i.user_id AND h.offer_id = i.offer_id)
+),
+match_upd AS (
+  SELECT {_STAGE},
+         CASE WHEN h_first_observed IS NULL AND NOT {pef} THEN start_time
+              ELSE h_first_observed END AS fo,
+         CASE WHEN h_first_observed IS NOT NULL AND NOT {pef} THEN h_start
+              ELSE h_start_recent END AS sr,
+         CASE WHEN h_first_observed IS NOT NULL AND NOT {pef} AND percentage IS NOT NULL THEN h_pct
+              ELSE h_pct_recent END AS pr,
+         CASE WHEN h_first_observed IS NOT NULL AND NOT {pef} THEN h_uses
+              ELSE h_uses_recent END AS ur
+  FROM matching
+  WHERE {pef} IS NOT NULL AND NOT (h_first_observed IS NOT NULL AND {pef})
+),
+{_to_state("updates", "(SELECT * FROM match_upd UNION ALL SELECT * FROM new_upd)")},
+{_to_state("new_updates", "new_upd")},
 carried AS (
   SELECT {", ".join(f"h.{c}" for c in STATE_COLS if c != "batch_id")},
          CAST({S.NEXT_BATCH_ID} AS BIGINT) AS batch_id
-  FROM hist h LEFT JOIN update_ids u ON (h.offer_id = u.offer_id AND h.user_id = u.user_id)
-  WHERE u.offer_id IS NULL
+  FROM hist h
+  WHERE NOT EXISTS (SELECT 1 FROM updates u WHERE u.user_id = h.user_id AND u.offer_id = h.offer_id)
 )"""
 
 
@@ -167,22 +169,22 @@ _RAW_OFFERS = """raw AS (
 
 
 def _offer_stage(name: str, where: str) -> str:
+    """Per offer: rows of its latest landing hour, each time column at its MAX."""
     def chi(c):
         return f"(({c} AT TIME ZONE 'UTC') AT TIME ZONE 'America/Chicago')"
-    return f"""{name}_stg AS (
+    hour_ts = "make_timestamp(year, month, day, hour, 0, 0)"
+    return f"""{name}_rows AS (
   SELECT id AS offer_id, {chi("start_utc")} AS start_time, {chi("end_utc")} AS end_time,
          {chi("latest_end_utc")} AS latest_end_time, year, month, day, hour,
-         DENSE_RANK() OVER (PARTITION BY id ORDER BY make_timestamp(year, month, day, hour, 0, 0) DESC) AS rk
+         {hour_ts} AS hour_ts,
+         max({hour_ts}) OVER (PARTITION BY id) AS offer_latest_hour
   FROM raw WHERE start_ms + end_ms > 0 AND {where}
 ),
-{name}_latest AS (
-  SELECT DISTINCT offer_id, start_time, end_time, latest_end_time, year, month, day, hour
-  FROM {name}_stg WHERE rk = 1
-),
 {name} AS (
   SELECT offer_id, MAX(start_time) AS start_time, MAX(end_time) AS end_time,
          MAX(latest_end_time) AS latest_end_time, year, month, day, MAX(hour) AS hour
-  FROM {name}_latest GROUP BY offer_id, year, month, day
+  FROM {name}_rows WHERE hour_ts = offer_latest_hour
+  GROUP BY offer_id, year, month, day
 )"""
 
 
@@ -253,10 +255,11 @@ typed AS (
          TRY_CAST(potentially_eligible_in_future AS BOOLEAN) AS potentiallyeligibleinfuture,
          TRY_CAST(audience AS BOOLEAN) AS audience,
          TRY_CAST(progress_uses AS DECIMAL(38,0)) AS uses, bandit_status, experiment_status,
-         rank() OVER (PARTITION BY user_id, offer_id ORDER BY updated_ts DESC) AS rk
+         max(updated_ts) OVER (PARTITION BY user_id, offer_id) AS key_latest
   FROM f
 )
-SELECT {_STAGE_NO_USES}, MAX(uses) AS uses FROM typed WHERE rk = 1 GROUP BY {_STAGE_NO_USES}"""
+SELECT {_STAGE_NO_USES}, MAX(uses) AS uses FROM typed WHERE updated = key_latest
+GROUP BY {_STAGE_NO_USES}"""
 
 
 def _path_sql() -> str:
