@@ -77,7 +77,9 @@ def label_pairs(incr: DataFrame, prev: DataFrame | None) -> DataFrame:
 
     Increment rows without a previous row appear once with NULL ``h_*``.
     Pairs identical in the increment's columns, the seven previous-state
-    columns and the label are kept once.
+    columns and the label are kept once (only matched pairs can repeat: staged
+    rows are distinct, so without a previous batch there is nothing to drop and
+    no shuffle is spent on it).
     """
     incr = incr.select(*STAGE_COLS)
     if prev is None:
@@ -103,8 +105,8 @@ def label_pairs(incr: DataFrame, prev: DataFrame | None) -> DataFrame:
              .when(fo.isNotNull() & ~pef & _c("percentage").isNull(), "M3")
              .when(fo.isNull() & pef, "M4")
              .otherwise("gap"))
-    return (joined.select(*STAGE_COLS, *_PAIR_HIST_COLS, label.alias("rule"))
-            .dropDuplicates())
+    out = joined.select(*STAGE_COLS, *_PAIR_HIST_COLS, label.alias("rule"))
+    return out if prev is None else out.dropDuplicates()
 
 
 def updates_from_pairs(pairs: DataFrame, batch_id: int) -> DataFrame:
