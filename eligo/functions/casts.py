@@ -20,6 +20,22 @@ def json_field(text, path: str) -> Column:
     return F.get_json_object(_col(text), path)
 
 
+def typed_sql(name: str, type_name: str) -> str:
+    """SQL text of ``typed`` for a column name (one JVM parse instead of a
+    chain of Column calls, which matters when a projection has many)."""
+    q = f"`{name}`"
+    if type_name in ("int", "bigint", "smallint", "tinyint"):
+        return f"try_cast(try_cast({q} AS decimal(38,0)) AS {type_name})"
+    return f"try_cast({q} AS {type_name})"
+
+
+def nvl_decimal_sql(name: str, default: int = 0) -> str:
+    """SQL text of ``nvl_decimal`` for a column name."""
+    q = f"`{name}`"
+    return (f"CASE WHEN {q} IS NULL THEN CAST({int(default)} AS decimal(38,0)) "
+            f"ELSE try_cast({q} AS decimal(38,0)) END")
+
+
 def typed(c, type_name: str) -> Column:
     """Cast that yields NULL on bad input, under ANSI mode or not.
 

@@ -37,7 +37,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eligo.operators.joins import (
@@ -68,10 +68,6 @@ _PAIR_HIST_COLS = ["h_first_observed", "h_start_recent", "h_pct_recent", "h_uses
                    "h_start", "h_pct", "h_uses"]
 
 
-def _c(name: str) -> Column:
-    return F.col(name)
-
-
 def label_pairs(incr: DataFrame, prev: DataFrame | None) -> DataFrame:
     """Every (increment row, previous row of its key) pair with its rule label.
 
@@ -83,59 +79,50 @@ def label_pairs(incr: DataFrame, prev: DataFrame | None) -> DataFrame:
     """
     incr = incr.select(*STAGE_COLS)
     if prev is None:
-        joined = incr.select("*", F.lit(None).cast("boolean").alias("_h"),
-                             *[F.lit(None).cast(STATE_SCHEMA[k].dataType).alias(v)
-                               for k, v in _H.items()])
+        joined = incr.selectExpr("*", "CAST(NULL AS boolean) AS _h",
+                                 *[f"CAST(NULL AS {STATE_SCHEMA[k].dataType.simpleString()}) AS {v}"
+                                   for k, v in _H.items()])
     else:
-        h = prev.select(*KEY_COLS, F.lit(True).alias("_h"),
-                        *[_c(k).alias(v) for k, v in _H.items()])
+        h = prev.selectExpr(*KEY_COLS, "true AS _h", *[f"{k} AS {v}" for k, v in _H.items()])
         joined = incr.join(h, KEY_COLS, "left")
-
-    pef = _c("potentiallyeligibleinfuture")
-    fo = _c("h_first_observed")
-    fresher = _c("updated") > _c("h_updated")
-    is_new = _c("_h").isNull()
-    label = (F.when(is_new & ~pef, "N1")
-             .when(is_new & pef, "N2")
-             .when(is_new, "new_pef_null")
-             .when(fresher.isNull() | ~fresher, "stale")
-             .when(pef.isNull(), "pef_null")
-             .when(fo.isNull() & ~pef, "M1")
-             .when(fo.isNotNull() & ~pef & _c("percentage").isNotNull(), "M2")
-             .when(fo.isNotNull() & ~pef & _c("percentage").isNull(), "M3")
-             .when(fo.isNull() & pef, "M4")
-             .otherwise("gap"))
-    out = joined.select(*STAGE_COLS, *_PAIR_HIST_COLS, label.alias("rule"))
+    out = joined.selectExpr(*STAGE_COLS, *_PAIR_HIST_COLS, f"{_LABEL_SQL} AS rule")
     return out if prev is None else out.dropDuplicates()
 
 
+# The label of a pair, in the order the rules are tested.
+_LABEL_SQL = """CASE
+  WHEN _h IS NULL AND NOT potentiallyeligibleinfuture THEN 'N1'
+  WHEN _h IS NULL AND potentiallyeligibleinfuture THEN 'N2'
+  WHEN _h IS NULL THEN 'new_pef_null'
+  WHEN NOT coalesce(updated > h_updated, false) THEN 'stale'
+  WHEN potentiallyeligibleinfuture IS NULL THEN 'pef_null'
+  WHEN h_first_observed IS NULL AND NOT potentiallyeligibleinfuture THEN 'M1'
+  WHEN NOT potentiallyeligibleinfuture AND percentage IS NOT NULL THEN 'M2'
+  WHEN NOT potentiallyeligibleinfuture THEN 'M3'
+  WHEN h_first_observed IS NULL THEN 'M4'
+  ELSE 'gap'
+END"""
+
+# Output columns the rules set; every other column is the increment's.
+_RULE_SQL = {
+    "start_time_first_observed": """CASE WHEN rule IN ('N1', 'M1') THEN start_time
+        WHEN rule = 'N2' THEN NULL ELSE h_first_observed END""",
+    "start_time_recently_observed": """CASE WHEN rule IN ('N1', 'N2') THEN NULL
+        WHEN rule IN ('M2', 'M3') THEN h_start ELSE h_start_recent END""",
+    "percentage_recently_observed": """CASE WHEN rule IN ('N1', 'N2') THEN NULL
+        WHEN rule = 'M2' THEN h_pct ELSE h_pct_recent END""",
+    "uses_recently_observed": """CASE WHEN rule IN ('N1', 'N2') THEN NULL
+        WHEN rule IN ('M2', 'M3') THEN h_uses ELSE h_uses_recent END""",
+    "expiry_status": f"'{EXPIRY_ACTIVE}'",
+}
+
+
 def updates_from_pairs(pairs: DataFrame, batch_id: int) -> DataFrame:
     """Update rows (rules N1-M4) in the state layout under ``batch_id``."""
-    rule = _c("rule")
-    is_new = rule.isin("N1", "N2")
-    first_observed = (F.when(rule.isin("N1", "M1"), _c("start_time"))
-                      .when(is_new, F.lit(None))
-                      .otherwise(_c("h_first_observed")))
-    start_recent = (F.when(is_new, F.lit(None))
-                    .when(rule.isin("M2", "M3"), _c("h_start"))
-                    .otherwise(_c("h_start_recent")))
-    pct_recent = (F.when(is_new, F.lit(None))
-                  .when(rule == "M2", _c("h_pct"))
-                  .otherwise(_c("h_pct_recent")))
-    uses_recent = (F.when(is_new, F.lit(None))
-                   .when(rule.isin("M2", "M3"), _c("h_uses"))
-                   .otherwise(_c("h_uses_recent")))
-    derived = {
-        "start_time_first_observed": first_observed,
-        "start_time_recently_observed": start_recent,
-        "percentage_recently_observed": pct_recent,
-        "uses_recently_observed": uses_recent,
-        "expiry_status": F.lit(EXPIRY_ACTIVE),
-        "batch_id": F.lit(batch_id),
-    }
-    return (pairs.where(rule.isin(*UPDATE_RULES))
-            .select(*[(derived[c] if c in derived else _c(c))
-                      .cast(STATE_SCHEMA[c].dataType).alias(c) for c in STATE_COLS]))
+    derived = dict(_RULE_SQL, batch_id=str(int(batch_id)))
+    exprs = [f"CAST({derived.get(c, c)} AS {STATE_SCHEMA[c].dataType.simpleString()}) AS {c}"
+             for c in STATE_COLS]
+    return pairs.where(F.col("rule").isin(*UPDATE_RULES)).selectExpr(*exprs)
 
 
 @dataclass

@@ -5,31 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eligo.functions.casts import nvl_decimal, typed
+from eligo.functions.casts import nvl_decimal_sql, typed_sql
 from eligo.schemas import META_DEFAULT, STAGE_COLS
 
 
-def typed_stage_columns() -> list:
-    """FLAT_COLS -> STAGE_COLS expressions (``uses`` last but one, as staged)."""
+def typed_stage_columns() -> list[str]:
+    """FLAT_COLS -> STAGE_COLS as SQL expressions (``uses`` last but one, as staged).
+
+    Landed text is typed with ``try_cast``: a value that does not parse is
+    NULL, never a failed job.
+    """
     return [
-        F.col("user_id").cast("string").alias("user_id"),
-        typed("updated_ts", "timestamp_ntz").alias("updated"),
-        F.col("offer_id").cast("string").alias("offer_id"),
-        typed("start_time", "timestamp_ntz").alias("start_time"),
-        typed("end_time", "timestamp_ntz").alias("end_time"),
-        typed("creation_time", "timestamp_ntz").alias("creation_time"),
-        typed("invalidation_time", "timestamp_ntz").alias("invalidation_time"),
-        typed("progress_dollars", "double").alias("dollars"),
-        typed("progress_percentage", "double").alias("percentage"),
-        nvl_decimal("progress_quantity").alias("quantity"),
-        typed("holdout", "boolean").alias("holdout"),
-        F.lit(META_DEFAULT).alias("meta"),
-        F.lit(0).cast("decimal(1,1)").alias("ranking"),
-        typed("potentially_eligible_in_future", "boolean").alias("potentiallyeligibleinfuture"),
-        typed("audience", "boolean").alias("audience"),
-        typed("progress_uses", "decimal(38,0)").alias("uses"),
-        F.col("bandit_status").cast("string").alias("bandit_status"),
-        F.col("experiment_status").cast("string").alias("experiment_status"),
+        "CAST(user_id AS string) AS user_id",
+        f"{typed_sql('updated_ts', 'timestamp_ntz')} AS updated",
+        "CAST(offer_id AS string) AS offer_id",
+        f"{typed_sql('start_time', 'timestamp_ntz')} AS start_time",
+        f"{typed_sql('end_time', 'timestamp_ntz')} AS end_time",
+        f"{typed_sql('creation_time', 'timestamp_ntz')} AS creation_time",
+        f"{typed_sql('invalidation_time', 'timestamp_ntz')} AS invalidation_time",
+        f"{typed_sql('progress_dollars', 'double')} AS dollars",
+        f"{typed_sql('progress_percentage', 'double')} AS percentage",
+        f"{nvl_decimal_sql('progress_quantity')} AS quantity",
+        f"{typed_sql('holdout', 'boolean')} AS holdout",
+        f"'{META_DEFAULT}' AS meta",
+        "CAST(0 AS decimal(1,1)) AS ranking",
+        f"{typed_sql('potentially_eligible_in_future', 'boolean')} AS potentiallyeligibleinfuture",
+        f"{typed_sql('audience', 'boolean')} AS audience",
+        f"{typed_sql('progress_uses', 'decimal(38,0)')} AS uses",
+        "CAST(bandit_status AS string) AS bandit_status",
+        "CAST(experiment_status AS string) AS experiment_status",
     ]
 
 
@@ -56,7 +60,7 @@ def latest_per_key(flat: DataFrame, tiebreak: bool = False) -> DataFrame:
     ``tiebreak=True`` (off by default) keeps one row per key instead: the
     largest in a fixed order of all columns, so re-runs pick the same row.
     """
-    staged = flat.select(*typed_stage_columns())
+    staged = flat.selectExpr(*typed_stage_columns())
     group_cols = [c for c in STAGE_COLS if c != "uses"]
     collapsed = staged.groupBy(*group_cols).agg(F.max("uses").alias("uses"))
     order = [F.col("updated").desc()]
