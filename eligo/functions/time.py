@@ -52,3 +52,15 @@ def landing_hour_ts(year="year", month="month", day="day", hour="hour") -> Colum
 def date_plus_days(ts, days: int) -> Column:
     """Calendar date of ``ts`` plus ``days`` days."""
     return F.date_add(_col(ts).cast("date"), days)
+
+
+# SQL-text forms of the same conversions, for projections with many columns
+# (one JVM parse per expression instead of a chain of Column calls).
+
+def epoch_ms_to_ts_sql(ms: str) -> str:
+    return (f"{_EPOCH} + make_dt_interval(0, 0, 0, "
+            f"try_cast(try_cast({ms} AS double) / 1000 AS bigint))")
+
+
+def utc_to_zone_sql(ts: str, zone: str) -> str:
+    return f"convert_timezone('UTC', '{zone}', {ts})"

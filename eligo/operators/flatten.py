@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eligo.functions.time import epoch_ms_to_ts
+from eligo.functions.time import epoch_ms_to_ts_sql as _ts
 from eligo.schemas import FLAT_COLS, KAFKA_STATUS_PLACEHOLDER
 
 _S = T.StringType()
@@ -85,28 +85,27 @@ def legacy(df: DataFrame) -> DataFrame:
                               F.posexplode_outer("offers").alias("pos", "o"))
                 .where(F.col("pos").isNotNull()).drop("pos"))
     exploded = exploded.select("*", F.from_json(F.col("o.progress"), LEGACY_PROGRESS).alias("p"))
-    progress = F.col("p")
-    return exploded.select(
-        F.col("user_id"),
-        epoch_ms_to_ts("updated_ms").alias("updated_ts"),
-        F.col("o.offerId").alias("offer_id"),
-        epoch_ms_to_ts("o.creationTime").alias("creation_time"),
-        F.col("o.audience").alias("audience"),
-        F.col("o.banditStatus").alias("bandit_status"),
-        F.col("o.experimentStatus").alias("experiment_status"),
-        F.col("o.holdout").alias("holdout"),
-        epoch_ms_to_ts("o.invalidationTime").alias("invalidation_time"),
-        epoch_ms_to_ts("o.startTime").alias("start_time"),
-        epoch_ms_to_ts("o.endTime").alias("end_time"),
-        F.col("o.potentiallyEligibleInFuture").alias("potentially_eligible_in_future"),
-        progress["type"].alias("progress_type"),
-        progress["uses"].alias("progress_uses"),
-        progress["dollars"].alias("progress_dollars"),
-        progress["dollarsRequired"].alias("progress_dollars_required"),
-        progress["maxUses"].alias("progress_max_uses"),
-        progress["percentage"].alias("progress_percentage"),
-        progress["quantity"].alias("progress_quantity"),
-        progress["quantityRequired"].alias("progress_quantity_required"),
+    return exploded.selectExpr(
+        "user_id",
+        f"{_ts('updated_ms')} AS updated_ts",
+        "o.offerId AS offer_id",
+        f"{_ts('o.creationTime')} AS creation_time",
+        "o.audience AS audience",
+        "o.banditStatus AS bandit_status",
+        "o.experimentStatus AS experiment_status",
+        "o.holdout AS holdout",
+        f"{_ts('o.invalidationTime')} AS invalidation_time",
+        f"{_ts('o.startTime')} AS start_time",
+        f"{_ts('o.endTime')} AS end_time",
+        "o.potentiallyEligibleInFuture AS potentially_eligible_in_future",
+        "p.type AS progress_type",
+        "p.uses AS progress_uses",
+        "p.dollars AS progress_dollars",
+        "p.dollarsRequired AS progress_dollars_required",
+        "p.maxUses AS progress_max_uses",
+        "p.percentage AS progress_percentage",
+        "p.quantity AS progress_quantity",
+        "p.quantityRequired AS progress_quantity_required",
     )
 
 
@@ -121,27 +120,27 @@ def kafka(df: DataFrame) -> DataFrame:
         F.col("updated_timestamp_ms").alias("updated_ms"),
         F.explode("offers").alias("o"),
     )
-    return exploded.select(
-        F.col("user_id"),
-        epoch_ms_to_ts("updated_ms").alias("updated_ts"),
-        F.col("o.offer_id").alias("offer_id"),
-        epoch_ms_to_ts("o.creation_timestamp_ms").alias("creation_time"),
-        F.col("o.audience").alias("audience"),
-        F.lit(KAFKA_STATUS_PLACEHOLDER).alias("bandit_status"),
-        F.lit(KAFKA_STATUS_PLACEHOLDER).alias("experiment_status"),
-        F.col("o.holdout").alias("holdout"),
-        epoch_ms_to_ts("o.invalidation_timestamp_ms").alias("invalidation_time"),
-        epoch_ms_to_ts("o.start_timestamp_ms").alias("start_time"),
-        epoch_ms_to_ts("o.end_timestamp_ms").alias("end_time"),
-        F.col("o.potentially_eligible_in_future").alias("potentially_eligible_in_future"),
-        F.col("o.progress.type").alias("progress_type"),
-        F.col("o.progress.uses").alias("progress_uses"),
-        F.col("o.progress.dollars").alias("progress_dollars"),
-        F.col("o.progress.dollars_required").alias("progress_dollars_required"),
-        F.col("o.progress.max_uses").alias("progress_max_uses"),
-        F.col("o.progress.percentage").alias("progress_percentage"),
-        F.col("o.progress.quantity").alias("progress_quantity"),
-        F.col("o.progress.quantity_required").alias("progress_quantity_required"),
+    return exploded.selectExpr(
+        "user_id",
+        f"{_ts('updated_ms')} AS updated_ts",
+        "o.offer_id AS offer_id",
+        f"{_ts('o.creation_timestamp_ms')} AS creation_time",
+        "o.audience AS audience",
+        f"'{KAFKA_STATUS_PLACEHOLDER}' AS bandit_status",
+        f"'{KAFKA_STATUS_PLACEHOLDER}' AS experiment_status",
+        "o.holdout AS holdout",
+        f"{_ts('o.invalidation_timestamp_ms')} AS invalidation_time",
+        f"{_ts('o.start_timestamp_ms')} AS start_time",
+        f"{_ts('o.end_timestamp_ms')} AS end_time",
+        "o.potentially_eligible_in_future AS potentially_eligible_in_future",
+        "o.progress.type AS progress_type",
+        "o.progress.uses AS progress_uses",
+        "o.progress.dollars AS progress_dollars",
+        "o.progress.dollars_required AS progress_dollars_required",
+        "o.progress.max_uses AS progress_max_uses",
+        "o.progress.percentage AS progress_percentage",
+        "o.progress.quantity AS progress_quantity",
+        "o.progress.quantity_required AS progress_quantity_required",
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eligo.functions.time import epoch_ms_to_ts, landing_hour_ts, utc_to_zone
+from eligo.functions.time import epoch_ms_to_ts_sql, landing_hour_ts, utc_to_zone_sql
 from eligo.schemas import OFFER_TIME_ZONE, SAVED_OFFER_COLS
 
 
@@ -24,11 +24,13 @@ def stage_saved_offers(raw: DataFrame, zone: str = OFFER_TIME_ZONE) -> DataFrame
        partitioning.
     """
     kept = raw.where(F.try_add(F.col("startTime"), F.col("endTime")) > 0)
-    conv = kept.select(
-        F.col("id").cast("string").alias("offer_id"),
-        utc_to_zone(epoch_ms_to_ts("startTime"), zone).alias("start_time"),
-        utc_to_zone(epoch_ms_to_ts("endTime"), zone).alias("end_time"),
-        utc_to_zone(epoch_ms_to_ts("latestEndTime"), zone).alias("latest_end_time"),
+    def wall(c):
+        return utc_to_zone_sql(epoch_ms_to_ts_sql(c), zone)
+    conv = kept.selectExpr(
+        "CAST(id AS string) AS offer_id",
+        f"{wall('startTime')} AS start_time",
+        f"{wall('endTime')} AS end_time",
+        f"{wall('latestEndTime')} AS latest_end_time",
         "year", "month", "day", "hour",
     )
     per_hour = conv.groupBy("offer_id", "year", "month", "day", "hour").agg(

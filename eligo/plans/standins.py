@@ -46,32 +46,29 @@ def event_day(ts: str = "ts") -> Column:
 
 def snapshot_flat(events: DataFrame) -> DataFrame:
     """events -> FLAT_COLS (kafka-typed values), one row per event."""
-    k_text = offer_k()
-    k = k_text.cast("int")
-    day = event_day()
-    return events.select(
-        F.col("user_id").cast("string").alias("user_id"),
-        day.alias("updated_ts"),
-        k_text.alias("offer_id"),
-        day.alias("creation_time"),
-        (F.col("user_id") % 3 != 0).alias("audience"),
-        F.when(k % 2 == 0, "explore").otherwise("exploit").alias("bandit_status"),
-        F.lit(KAFKA_STATUS_PLACEHOLDER).alias("experiment_status"),
-        (k % 10 == 0).alias("holdout"),
-        F.lit(None).cast("timestamp_ntz").alias("invalidation_time"),
-        day.alias("start_time"),
-        (day + F.expr("INTERVAL 30 DAYS")).alias("end_time"),
-        (F.col("event_type") == "signup").alias("potentially_eligible_in_future"),
-        F.lit("uses").alias("progress_type"),
-        F.floor("value").cast("bigint").alias("progress_uses"),
-        k.cast("double").alias("progress_dollars"),
-        F.lit(100.0).alias("progress_dollars_required"),
-        F.lit(10).cast("bigint").alias("progress_max_uses"),
-        F.when(F.col("event_type") == "error", F.lit(None).cast("double"))
-         .otherwise(F.lit(0.5)).alias("progress_percentage"),
-        F.when(k % 4 == 0, F.lit(None).cast("bigint"))
-         .otherwise((k % 7).cast("bigint")).alias("progress_quantity"),
-        F.lit(7).cast("bigint").alias("progress_quantity_required"),
+    k = "CAST(get_json_object(props, '$.k') AS int)"
+    day = "CAST(CAST(ts AS date) AS timestamp_ntz)"
+    return events.selectExpr(
+        "CAST(user_id AS string) AS user_id",
+        f"{day} AS updated_ts",
+        "get_json_object(props, '$.k') AS offer_id",
+        f"{day} AS creation_time",
+        "user_id % 3 != 0 AS audience",
+        f"CASE WHEN {k} % 2 = 0 THEN 'explore' ELSE 'exploit' END AS bandit_status",
+        f"'{KAFKA_STATUS_PLACEHOLDER}' AS experiment_status",
+        f"{k} % 10 = 0 AS holdout",
+        "CAST(NULL AS timestamp_ntz) AS invalidation_time",
+        f"{day} AS start_time",
+        f"{day} + INTERVAL 30 DAYS AS end_time",
+        "event_type = 'signup' AS potentially_eligible_in_future",
+        "'uses' AS progress_type",
+        "CAST(floor(value) AS bigint) AS progress_uses",
+        f"CAST({k} AS double) AS progress_dollars",
+        "CAST(100.0 AS double) AS progress_dollars_required",
+        "CAST(10 AS bigint) AS progress_max_uses",
+        "CASE WHEN event_type = 'error' THEN CAST(NULL AS double) ELSE 0.5 END AS progress_percentage",
+        f"CAST(CASE WHEN {k} % 4 = 0 THEN NULL ELSE {k} % 7 END AS bigint) AS progress_quantity",
+        "CAST(7 AS bigint) AS progress_quantity_required",
     ).select(*FLAT_COLS)
 
 
