@@ -53,7 +53,7 @@ def _staged(name: str, where: str) -> str:
 )"""
 
 
-def _ctes_state() -> str:
+def _ctes_state(flat_cte: str = _FLAT) -> str:
     """flat -> hist (batch 1, all new mappings) and incr, then the next batch.
 
     Formulated independently of the Spark plan: NOT EXISTS for new mappings
@@ -61,7 +61,7 @@ def _ctes_state() -> str:
     rules over the de-duplicated fresher pairs.
     """
     pef = "potentiallyeligibleinfuture"
-    return f"""WITH {_FLAT},
+    return f"""WITH {flat_cte},
 {_staged("hist_staged", f"updated < {_CUT}")},
 {_staged("incr", f"updated >= {_CUT}")},
 hist AS (
@@ -241,6 +241,27 @@ SELECT CAST(user_id AS VARCHAR) AS user_id,
 FROM o"""
 
 
+_TYPED_FROM_FLAT = """
+  SELECT user_id, updated_ts AS updated, offer_id, start_time, end_time, creation_time,
+         invalidation_time,
+         TRY_CAST(progress_dollars AS DOUBLE) AS dollars,
+         TRY_CAST(progress_percentage AS DOUBLE) AS percentage,
+         CASE WHEN progress_quantity IS NULL THEN CAST(0 AS DECIMAL(38,0))
+              ELSE TRY_CAST(progress_quantity AS DECIMAL(38,0)) END AS quantity,
+         TRY_CAST(holdout AS BOOLEAN) AS holdout, 'NA' AS meta, CAST(0 AS DECIMAL(1,1)) AS ranking,
+         TRY_CAST(potentially_eligible_in_future AS BOOLEAN) AS potentiallyeligibleinfuture,
+         TRY_CAST(audience AS BOOLEAN) AS audience,
+         TRY_CAST(progress_uses AS DECIMAL(38,0)) AS uses, bandit_status, experiment_status"""
+
+
+def _legacy_flat_cte() -> str:
+    """The legacy stand-in, flattened and typed, as the ``flat`` CTE."""
+    return f"""flat AS (
+  WITH f AS ({_flatten_oracle(legacy=True)})
+  {_TYPED_FROM_FLAT.strip()} FROM f
+)"""
+
+
 def _stage_from_flat(flat_sql: str) -> str:
     """Typing and latest-version selection over a flattened layout, as staged."""
     return f"""WITH f AS ({flat_sql}),
@@ -277,6 +298,30 @@ SELECT event_id, file_path, {parts} FROM p"""
 
 _BATCH = "CAST(year(o_orderdate) * 100 + month(o_orderdate) AS BIGINT)"
 
+_OFFER_MERGE = f"""WITH {_RAW_OFFERS},
+{_offer_stage("tgt", f"make_timestamp(year, month, day, hour, 0, 0) < {_CUT}")},
+{_offer_stage("src", f"make_timestamp(year, month, day, hour, 0, 0) >= {_CUT}")},
+j AS (
+  SELECT t.offer_id AS t_offer_id, t.start_time AS t_start_time, t.end_time AS t_end_time,
+         t.latest_end_time AS t_latest_end_time, t.year AS t_year, t.month AS t_month,
+         t.day AS t_day, t.hour AS t_hour, t.present AS t_present,
+         s.offer_id AS s_offer_id, s.start_time AS s_start_time, s.end_time AS s_end_time,
+         s.latest_end_time AS s_latest_end_time, s.year AS s_year, s.month AS s_month,
+         s.day AS s_day, s.hour AS s_hour, s.present AS s_present
+  FROM (SELECT *, true AS present FROM tgt) t
+  FULL OUTER JOIN (SELECT *, true AS present FROM src) s ON (t.offer_id = s.offer_id)
+),
+d AS (
+  SELECT *, (t_present IS NULL OR (s_present IS NOT NULL AND coalesce(
+      s_start_time <> t_start_time OR s_end_time <> t_end_time
+      OR s_latest_end_time <> t_latest_end_time, false))) AS take_source
+  FROM j
+)
+SELECT {", ".join(f"CASE WHEN take_source THEN s_{c} ELSE t_{c} END AS {c}"
+                  for c in ["offer_id", "start_time", "end_time", "latest_end_time",
+                            "year", "month", "day", "hour"])}
+FROM d"""
+
 
 def oracle_sql() -> dict[str, str]:
     state = _ctes_state()
@@ -327,29 +372,12 @@ SELECT * FROM o WHERE batch_id = (SELECT max(batch_id) FROM o)""",
         "q_offer_stage": f"""WITH {_RAW_OFFERS},
 {_offer_stage("st", "true")}
 SELECT offer_id, start_time, end_time, latest_end_time, year, month, day, hour FROM st""",
-        "q_offer_merge": f"""WITH {_RAW_OFFERS},
-{_offer_stage("tgt", f"make_timestamp(year, month, day, hour, 0, 0) < {_CUT}")},
-{_offer_stage("src", f"make_timestamp(year, month, day, hour, 0, 0) >= {_CUT}")},
-j AS (
-  SELECT t.offer_id AS t_offer_id, t.start_time AS t_start_time, t.end_time AS t_end_time,
-         t.latest_end_time AS t_latest_end_time, t.year AS t_year, t.month AS t_month,
-         t.day AS t_day, t.hour AS t_hour, t.present AS t_present,
-         s.offer_id AS s_offer_id, s.start_time AS s_start_time, s.end_time AS s_end_time,
-         s.latest_end_time AS s_latest_end_time, s.year AS s_year, s.month AS s_month,
-         s.day AS s_day, s.hour AS s_hour, s.present AS s_present
-  FROM (SELECT *, true AS present FROM tgt) t
-  FULL OUTER JOIN (SELECT *, true AS present FROM src) s ON (t.offer_id = s.offer_id)
-),
-d AS (
-  SELECT *, (t_present IS NULL OR (s_present IS NOT NULL AND coalesce(
-      s_start_time <> t_start_time OR s_end_time <> t_end_time
-      OR s_latest_end_time <> t_latest_end_time, false))) AS take_source
-  FROM j
-)
-SELECT {", ".join(f"CASE WHEN take_source THEN s_{c} ELSE t_{c} END AS {c}"
-                  for c in ["offer_id", "start_time", "end_time", "latest_end_time",
-                            "year", "month", "day", "hour"])}
-FROM d""",
+        "q_offer_merge": _OFFER_MERGE,
+        "q_saved_offers_job": _OFFER_MERGE,
+        "q_eligibility_job": f"""{_ctes_state(_legacy_flat_cte())}
+{_state_select('updates')}
+UNION ALL
+{_state_select('carried')}""",
         "q_expiry_status": f"{_PART_EXPIRY}\nSELECT * FROM st",
         "q_expiry_split": f"""{_PART_EXPIRY}
 SELECT 'active' AS side, count(*) AS n_rows, CAST(sum(p_partkey) AS BIGINT) AS key_checksum

@@ -159,7 +159,7 @@ def q_typed_progress(spark, sf_dir):
 
 
 def q_flatten_legacy(spark, sf_dir):
-    return flatten.legacy(S.legacy_payloads(_events(spark, sf_dir)))
+    return flatten.legacy(S.legacy_payloads(_events(spark, sf_dir)).select("payload"))
 
 
 def q_flatten_kafka(spark, sf_dir):
@@ -168,7 +168,7 @@ def q_flatten_kafka(spark, sf_dir):
 
 def q_stage_legacy(spark, sf_dir):
     """Legacy payloads -> flatten -> latest version per key, typed (C02 + C04)."""
-    return latest_per_key(flatten.legacy(S.legacy_payloads(_events(spark, sf_dir))))
+    return latest_per_key(flatten.legacy(S.legacy_payloads(_events(spark, sf_dir)).select("payload")))
 
 
 def q_stage_kafka(spark, sf_dir):
@@ -207,6 +207,44 @@ def q_offer_merge(spark, sf_dir):
                               ["start_time", "end_time", "latest_end_time"]).select(*SAVED_OFFER_COLS)
 
 
+def q_saved_offers_job(spark, sf_dir):
+    """The saved-offers job end to end: the events stand-in is written as a JSON
+    landing (year=/month=/day=/hour=) in the scratch folder, the job runs for
+    the window before the cut and then for the window after it, and the
+    published dimension is read back.  Equal to ``q_offer_merge``."""
+    from eligo.plans import batch_jobs
+    from eligo.schemas import Tables
+    root = scratch_path(spark, "saved_offers_job")
+    land = f"{root}/landing"
+    # one task per landing day writes that day's hour directories
+    (S.saved_offer_landing(_events(spark, sf_dir)).repartition("year", "month", "day")
+     .write.partitionBy("year", "month", "day", "hour").json(land))
+    tables = Tables(f"{root}/warehouse", "legacy")
+    cut = datetime.strptime(S.CUT, "%Y-%m-%d %H:%M:%S")
+    for start, end in [(datetime(2000, 1, 1), cut), (cut, datetime(2100, 1, 1))]:
+        batch_jobs.run_saved_offers(spark, tables, land, start, end)
+    return batch_jobs.current_saved_offers(spark, tables)
+
+
+def q_eligibility_job(spark, sf_dir):
+    """The incremental eligibility job end to end: legacy payloads derived from
+    events are written as a JSON landing in the scratch folder, the job runs for
+    the window before the cut (batch 1, no earlier state) and the window after
+    it (batch 2), each landing, staging, classifying, writing, auditing and
+    publishing; the published state is read back."""
+    from eligo.plans import batch_jobs
+    from eligo.schemas import Tables
+    root = scratch_path(spark, "eligibility_job")
+    land = f"{root}/landing"
+    (S.legacy_payloads(_events(spark, sf_dir)).repartition("year", "month", "day")
+     .write.partitionBy("year", "month", "day", "hour").json(land))
+    tables = Tables(f"{root}/warehouse", "legacy")
+    cut = datetime.strptime(S.CUT, "%Y-%m-%d %H:%M:%S")
+    batch_jobs.run_increment(spark, tables, land, datetime(2000, 1, 1), cut, S.HIST_BATCH_ID)
+    batch_jobs.run_increment(spark, tables, land, cut, datetime(2100, 1, 1), S.NEXT_BATCH_ID)
+    return batch_jobs.read_state(spark, tables)
+
+
 def _part_expiry(spark, sf_dir):
     part = S.table(spark, sf_dir, "part")
     li = S.table(spark, sf_dir, "lineitem")
@@ -264,6 +302,8 @@ QUERIES: dict[str, Query] = {
     "q_state_batch": q_state_batch,
     "q_offer_stage": q_offer_stage,
     "q_offer_merge": q_offer_merge,
+    "q_saved_offers_job": q_saved_offers_job,
+    "q_eligibility_job": q_eligibility_job,
     "q_expiry_status": q_expiry_status,
     "q_expiry_split": q_expiry_split,
     "q_clustered_rows": q_clustered_rows,

@@ -143,7 +143,15 @@ def legacy_payloads(events: DataFrame) -> DataFrame:
         ms.cast("string").alias("updated"),
         F.array(offer(k), offer((k + 1) % 100)).alias("offers"),
     ))
-    return events.select(payload.alias("payload"))
+    return events.select(payload.alias("payload"), *_landing_hour_text())
+
+
+def _landing_hour_text() -> list:
+    """Landing partition values of ``ts`` as the paths spell them (``month=01``)."""
+    return [F.year("ts").cast("string").alias("year"),
+            F.lpad(F.month("ts").cast("string"), 2, "0").alias("month"),
+            F.lpad(F.dayofmonth("ts").cast("string"), 2, "0").alias("day"),
+            F.lpad(F.hour("ts").cast("string"), 2, "0").alias("hour")]
 
 
 def kafka_snapshots(events: DataFrame) -> DataFrame:
@@ -180,3 +188,17 @@ def kafka_snapshots(events: DataFrame) -> DataFrame:
         ms.alias("updated_timestamp_ms"),
         F.array(offer(k), offer((k + 1) % 100)).alias("offers"),
     )
+
+
+def saved_offer_landing(events: DataFrame) -> DataFrame:
+    """events -> saved-offer landing rows as the JSON feed carries them, with
+    zero-padded text partition values (``month=01``) like the landing paths."""
+    raw = raw_saved_offers(events)
+    return raw.selectExpr(
+        "id", "startTime", "endTime",
+        "named_struct('latestEndTime', latestEndTime) AS eligibilityRequirement",
+        "CAST(year AS string) AS year",
+        "lpad(CAST(month AS string), 2, '0') AS month",
+        "lpad(CAST(day AS string), 2, '0') AS day",
+        "lpad(CAST(hour AS string), 2, '0') AS hour",
+    )
