@@ -115,11 +115,13 @@ def kafka(df: DataFrame) -> DataFrame:
     Kafka rows carry no bandit or experiment status; both are the text
     ``'NULL'`` so the two origins share one layout.
     """
-    exploded = df.select(
+    # As in ``legacy``: no inferred ``size(offers) > 0`` filter that would
+    # evaluate ``offers`` a second time when it is an expression.
+    exploded = (df.select(
         F.col("user_id"),
         F.col("updated_timestamp_ms").alias("updated_ms"),
-        F.explode("offers").alias("o"),
-    )
+        F.posexplode_outer("offers").alias("pos", "o"),
+    ).where(F.col("pos").isNotNull()).drop("pos"))
     return exploded.selectExpr(
         "user_id",
         f"{_ts('updated_ms')} AS updated_ts",
