@@ -221,7 +221,7 @@ def q_saved_offers_job(spark, sf_dir):
      .write.partitionBy("year", "month", "day", "hour").json(land))
     tables = Tables(f"{root}/warehouse", "legacy")
     cut = datetime.strptime(S.CUT, "%Y-%m-%d %H:%M:%S")
-    for start, end in [(datetime(2000, 1, 1), cut), (cut, datetime(2100, 1, 1))]:
+    for start, end in [(S.DATA_START, cut), (cut, S.DATA_END)]:
         batch_jobs.run_saved_offers(spark, tables, land, start, end)
     return batch_jobs.current_saved_offers(spark, tables)
 
@@ -240,8 +240,8 @@ def q_eligibility_job(spark, sf_dir):
      .write.partitionBy("year", "month", "day", "hour").json(land))
     tables = Tables(f"{root}/warehouse", "legacy")
     cut = datetime.strptime(S.CUT, "%Y-%m-%d %H:%M:%S")
-    batch_jobs.run_increment(spark, tables, land, datetime(2000, 1, 1), cut, S.HIST_BATCH_ID)
-    batch_jobs.run_increment(spark, tables, land, cut, datetime(2100, 1, 1), S.NEXT_BATCH_ID)
+    batch_jobs.run_increment(spark, tables, land, S.DATA_START, cut, S.HIST_BATCH_ID)
+    batch_jobs.run_increment(spark, tables, land, cut, S.DATA_END, S.NEXT_BATCH_ID)
     return batch_jobs.read_state(spark, tables)
 
 

@@ -14,6 +14,8 @@ The test tables carry no offer snapshots, so each query derives them:
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,9 @@ WINDOW_START = "2024-01-15 20"
 WINDOW_END = "2024-01-16 03"
 EXPIRY_AS_OF = "2001-08-01"
 PATH_ROOT = "s3://landing/offers/"
+# The events table spans January 2024: the job queries land it in two windows.
+DATA_START = datetime(2024, 1, 1)
+DATA_END = datetime(2024, 2, 1)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

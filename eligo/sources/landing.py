@@ -1,19 +1,20 @@
 """C01 sources: read one half-open hour window of a partitioned JSON landing.
 
-Layout: ``<base>/year=YYYY/month=MM/day=DD/hour=HH/*.json``.  The window is
-a predicate on the discovered partition columns, so Spark lists the landing
-once and reads only the hours inside the window; hours that are missing are
-simply empty.  The schema is given, not inferred (inference is a full extra
-pass over the JSON).
+Layout: ``<base>/year=YYYY/month=MM/day=DD/hour=HH/*.json``.  Only the
+window's days are listed, and the window is a predicate on the discovered
+partition columns, so only the hours inside the window are read; hours that
+are missing are simply empty.  The schema is given, not inferred (inference is
+a full extra pass over the JSON).
 """
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from eligo.functions.paths import hour_window, path_parts
 from eligo.operators.flatten import KAFKA_SCHEMA, LEGACY_SCHEMA
@@ -33,15 +34,47 @@ def landing_schema(origin: str) -> T.StructType:
     return {"legacy": LEGACY_SCHEMA, "kafka": KAFKA_SCHEMA}[origin]
 
 
+def window_days(start: datetime, end: datetime) -> list[str]:
+    """``year=YYYY/month=MM/day=DD`` of every day the window ``[start, end)`` touches."""
+    first = start.replace(hour=0, minute=0, second=0, microsecond=0)
+    last = (end - timedelta(hours=1)).replace(hour=0, minute=0, second=0, microsecond=0)
+    days, d = [], first
+    while d <= last:
+        days.append(f"year={d:%Y}/month={d:%m}/day={d:%d}")
+        d += timedelta(days=1)
+    return days
+
+
+# Up to a week, listing the window's days one by one beats listing the whole
+# landing; a longer window (a backfill) lists the landing once.
+MAX_GLOB_DAYS = 7
+
+
 def read_window(spark: SparkSession, base: str, start: datetime, end: datetime,
-                schema: T.StructType) -> DataFrame:
-    """Rows landed in hours ``start <= hour < end`` plus ``file_path``, year..hour."""
+                schema: T.StructType, max_glob_days: int = MAX_GLOB_DAYS) -> DataFrame:
+    """Rows landed in hours ``start <= hour < end`` plus ``file_path``, year..hour.
+
+    Only the window's day directories are listed (one glob with an alternative
+    per day), so the cost of listing does not grow with the landing's history;
+    the hour predicate then prunes to the window's hours.  Missing hours or
+    days are simply empty; a window with no data at all gives an empty frame.
+    A window longer than ``max_glob_days`` (a backfill) lists the whole landing
+    and prunes by the same predicate.
+    """
     base = base.rstrip("/")
-    df = (spark.read.schema(schema)
-          .option("basePath", base)
-          .option("recursiveFileLookup", "false")
-          .json(base))
-    df = df.where(hour_window(start, end))
+    window = hour_window(start, end)
+    days = window_days(start, end)
+    pattern = f"{base}/{{{','.join(days)}}}/hour=*" if len(days) <= max_glob_days else base
+    reader = spark.read.schema(schema).option("basePath", base)
+    try:
+        df = reader.json(pattern)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+            raise
+        parts = [T.StructField(c, T.IntegerType()) for c in PARTITION_COLS]
+        empty = spark.createDataFrame([], T.StructType(schema.fields + parts))
+        return empty.select("*", F.lit(None).cast("string").alias("file_path"))
+    df = df.where(window)
     return df.select("*", F.col("_metadata.file_path").alias("file_path"))
 
 

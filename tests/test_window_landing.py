@@ -37,9 +37,10 @@ def test_window_across_month_end_is_two_hours(spark, tmp_dir):
 def test_window_across_year_end_and_missing_hour(spark, tmp_dir):
     hours = [datetime(2023, 12, 31, 22), datetime(2024, 1, 1, 0), datetime(2024, 1, 1, 2)]
     make_landing(tmp_dir, hours)      # 2023-12-31 23h and 2024-01-01 01h are missing
-    df = read_window(spark, tmp_dir, datetime(2023, 12, 31, 22), datetime(2024, 1, 1, 3),
-                     SAVED_OFFER_LANDING_SCHEMA)
-    assert ids(df) == ["2023123122", "2024010100", "2024010102"]
+    for max_glob_days in (7, 0):       # day glob and whole-landing listing
+        df = read_window(spark, tmp_dir, datetime(2023, 12, 31, 22), datetime(2024, 1, 1, 3),
+                         SAVED_OFFER_LANDING_SCHEMA, max_glob_days)
+        assert ids(df) == ["2023123122", "2024010100", "2024010102"]
 
 
 def test_adjacent_windows_partition_the_landing(spark, tmp_dir):
@@ -72,3 +73,18 @@ def test_path_parts_missing_segment_is_null(spark):
     df = spark.createDataFrame([("s3://x/year=2024/month=01/day=15/f.json",)], "file_path string")
     r = df.select(*[c.alias(n) for n, c in path_parts("file_path").items()]).collect()[0]
     assert (r["year"], r["month"], r["day"], r["hour"]) == (2024, 1, 15, None)
+
+
+def test_window_without_data_is_empty(spark, tmp_dir):
+    make_landing(tmp_dir, [datetime(2024, 3, 1, 1)])
+    df = read_window(spark, tmp_dir, datetime(2024, 5, 1, 0), datetime(2024, 5, 1, 2),
+                     SAVED_OFFER_LANDING_SCHEMA)
+    assert df.count() == 0 and "hour" in df.columns and "file_path" in df.columns
+
+
+def test_only_window_days_are_listed():
+    from eligo.sources.landing import window_days
+    assert window_days(datetime(2024, 1, 31, 23), datetime(2024, 2, 1, 1)) == [
+        "year=2024/month=01/day=31", "year=2024/month=02/day=01"]
+    assert window_days(datetime(2024, 1, 31, 22), datetime(2024, 2, 1, 0)) == [
+        "year=2024/month=01/day=31"]
