@@ -41,9 +41,10 @@ def land_window(spark: SparkSession, base: str, start: datetime, end: datetime,
     """Copy one hour window of the landing into the raw table (only those
     hour partitions are replaced) and return the window read back from it."""
     df = landing.read_window(spark, base, start, end, schema)
-    write.overwrite_partitions(df.select(*landing.raw_columns(df)), raw_path, PARTITION_COLS)
-    from eligo.functions.paths import hour_window
-    return spark.read.parquet(raw_path).where(hour_window(start, end))
+    raw = df.select(*landing.raw_columns(df))
+    write.overwrite_partitions(raw, raw_path, PARTITION_COLS)
+    back = landing.read_hours(spark, raw_path, start, end, "parquet")
+    return back if back is not None else raw.limit(0)
 
 
 # ---- saved offers --------------------------------------------------------

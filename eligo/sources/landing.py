@@ -34,13 +34,24 @@ def landing_schema(origin: str) -> T.StructType:
     return {"legacy": LEGACY_SCHEMA, "kafka": KAFKA_SCHEMA}[origin]
 
 
+def _span_days(start: datetime, end: datetime) -> int:
+    first = start.date()
+    last = (end - timedelta(hours=1)).date()
+    return (last - first).days + 1
+
+
 def window_days(start: datetime, end: datetime) -> list[str]:
-    """``year=YYYY/month=MM/day=DD`` of every day the window ``[start, end)`` touches."""
+    """Directory paths (``year=YYYY/month=MM/day=DD``) of every day the window
+    ``[start, end)`` touches, in both spellings of month and day: zero-padded as
+    in the landing, and plain as Spark writes integer partition values.  The
+    alternatives are distinct, so no directory can match twice."""
     first = start.replace(hour=0, minute=0, second=0, microsecond=0)
     last = (end - timedelta(hours=1)).replace(hour=0, minute=0, second=0, microsecond=0)
     days, d = [], first
     while d <= last:
-        days.append(f"year={d:%Y}/month={d:%m}/day={d:%d}")
+        for m in dict.fromkeys([f"{d.month:02d}", str(d.month)]):
+            for dd in dict.fromkeys([f"{d.day:02d}", str(d.day)]):
+                days.append(f"year={d:%Y}/month={m}/day={dd}")
         d += timedelta(days=1)
     return days
 
@@ -61,21 +72,34 @@ def read_window(spark: SparkSession, base: str, start: datetime, end: datetime,
     A window longer than ``max_glob_days`` (a backfill) lists the whole landing
     and prunes by the same predicate.
     """
+    df = read_hours(spark, base, start, end, "json", schema, max_glob_days)
+    if df is None:
+        parts = [T.StructField(c, T.IntegerType()) for c in PARTITION_COLS]
+        empty = spark.createDataFrame([], T.StructType(schema.fields + parts))
+        return empty.select("*", F.lit(None).cast("string").alias("file_path"))
+    return df.select("*", F.col("_metadata.file_path").alias("file_path"))
+
+
+def read_hours(spark: SparkSession, base: str, start: datetime, end: datetime,
+               fmt: str, schema: T.StructType | None = None,
+               max_glob_days: int = MAX_GLOB_DAYS) -> DataFrame | None:
+    """The hour partitions ``[start, end)`` of a year/month/day/hour table in
+    ``fmt``; ``None`` when none of the window's days exists."""
     base = base.rstrip("/")
-    window = hour_window(start, end)
-    days = window_days(start, end)
-    pattern = f"{base}/{{{','.join(days)}}}/hour=*" if len(days) <= max_glob_days else base
-    reader = spark.read.schema(schema).option("basePath", base)
+    if _span_days(start, end) <= max_glob_days:
+        path = f"{base}/{{{','.join(window_days(start, end))}}}/hour=*"
+    else:
+        path = base
+    reader = spark.read.format(fmt).option("basePath", base)
+    if schema is not None:
+        reader = reader.schema(schema)
     try:
-        df = reader.json(pattern)
+        df = reader.load(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
             raise
-        parts = [T.StructField(c, T.IntegerType()) for c in PARTITION_COLS]
-        empty = spark.createDataFrame([], T.StructType(schema.fields + parts))
-        return empty.select("*", F.lit(None).cast("string").alias("file_path"))
-    df = df.where(window)
-    return df.select("*", F.col("_metadata.file_path").alias("file_path"))
+        return None
+    return df.where(hour_window(start, end))
 
 
 def parts_from_path(df: DataFrame) -> DataFrame:

@@ -85,6 +85,8 @@ def test_window_without_data_is_empty(spark, tmp_dir):
 def test_only_window_days_are_listed():
     from eligo.sources.landing import window_days
     assert window_days(datetime(2024, 1, 31, 23), datetime(2024, 2, 1, 1)) == [
-        "year=2024/month=01/day=31", "year=2024/month=02/day=01"]
-    assert window_days(datetime(2024, 1, 31, 22), datetime(2024, 2, 1, 0)) == [
-        "year=2024/month=01/day=31"]
+        "year=2024/month=01/day=31", "year=2024/month=1/day=31",
+        "year=2024/month=02/day=01", "year=2024/month=02/day=1",
+        "year=2024/month=2/day=01", "year=2024/month=2/day=1"]
+    assert window_days(datetime(2024, 11, 30, 22), datetime(2024, 12, 1, 0)) == [
+        "year=2024/month=11/day=30"]
