@@ -3,7 +3,6 @@
 import json
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from eligo.operators import flatten
 from eligo.operators.latest import latest_per_key

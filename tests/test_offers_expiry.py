@@ -3,7 +3,6 @@
 from datetime import date, datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from eligo.operators import expiry, merge, offers
 from eligo.schemas import SAVED_OFFER_COLS, SAVED_OFFER_SCHEMA
