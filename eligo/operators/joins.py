@@ -115,7 +115,8 @@ def anti_join(big: DataFrame, keys_df: "DataFrame | KeySet", keys: list[str],
 
 def lookup_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
                 max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-                rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
+                rows_per_task: int = DEFAULT_ROWS_PER_TASK,
+                hot_keys_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Join a large ``fact`` to a dimension that holds one row per ``key``.
 
     1. Dimension measured small enough: broadcast it, no shuffle of ``fact``.
@@ -146,7 +147,7 @@ def lookup_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
     counts = fact.groupBy(key).count().where(F.col("count") > rows_per_task)
     hot = counts.select(
         key, F.ceil(F.col("count") / F.lit(rows_per_task)).cast("int").alias("_buckets"))
-    hot_b = bounded_broadcast(hot, max_broadcast_bytes)
+    hot_b = bounded_broadcast(hot, hot_keys_broadcast_bytes)
     if hot_b is None:  # more hot keys than fit in memory: leave the split to AQE
         return _with_unkeyed(fact.join(dim, key, how))
 

@@ -125,3 +125,15 @@ def test_merge_null_keys_kept_and_inserted(spark):
     out = merge.merge_upsert(t, s, "offer_id", ["start_time", "end_time", "latest_end_time"])
     got = sorted((r["offer_id"] or "", r["start_time"]) for r in out.collect())
     assert got == [("", d(1)), ("", d(5)), ("a", d(1))]
+
+
+def test_lookup_salts_hot_keys(spark):
+    from eligo.operators.joins import lookup_join
+    from tests.helpers import explain
+    dim = spark.createDataFrame([("hot", 1), ("cold", 2)], "offer_id string, v int")
+    fact = spark.createDataFrame([("hot", i) for i in range(40)] + [("cold", 0), (None, 1)],
+                                 "offer_id string, u int")
+    out = lookup_join(fact, dim, "offer_id", "left", max_broadcast_bytes=0, rows_per_task=10)
+    assert "_salt" in explain(out, "simple")          # the salted join ran
+    got = sorted((r.offer_id or "", r.u, r.v) for r in out.collect())
+    assert got == sorted([("hot", i, 1) for i in range(40)] + [("cold", 0, 2), ("", 1, None)])
