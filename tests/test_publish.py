@@ -76,3 +76,18 @@ def test_create_table_in_catalog(spark, tmp_dir):
     write.create_table(spark, "eligo_t1", sch, ["hour"], os.path.join(tmp_dir, "t1"))  # idempotent
     assert [f.name for f in spark.table("eligo_t1").schema.fields] == ["v", "hour"]
     spark.sql("DROP TABLE eligo_t1")
+
+
+def test_audit_counts_and_tied_keys(spark, tmp_dir):
+    from tests.helpers import state, state_df
+    state_path = os.path.join(tmp_dir, "state")
+    prev = state_df(spark, [state("u1"), state("u2"), state(None, "o1")])
+    updates = state_df(spark, [state("u1", pct=0.5, batch_id=7), state("u1", pct=None, batch_id=7),
+                               state("u3", batch_id=7)])
+    carried = state_df(spark, [state("u2", batch_id=7), state(None, "o1", batch_id=7)])
+    publish.write_batch(updates.unionByName(carried), state_path, 7)
+    a = publish.audit_batch(spark, state_path, 7, updates, prev)
+    assert (a.rows, a.update_rows, a.carried_rows) == (5, 3, 2)
+    assert (a.previous_rows, a.previous_rows_replaced, a.written_rows_of_updated_keys) == (3, 1, 3)
+    assert a.null_key_rows == 1 and a.updated_keys_with_several_rows == 1
+    assert a.problems() == []
