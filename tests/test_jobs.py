@@ -165,3 +165,13 @@ def test_cli_saved_offers_runs(tmp_dir):
          "-s", "2024-01-02 00", "-e", "2024-01-01 00", "-w", os.path.join(tmp_dir, "wh")],
         capture_output=True, text=True, timeout=600)
     assert bad.returncode != 0
+
+
+@pytest.mark.parametrize("script", ["saved_offers.py", "init_state.py", "eligibility_incremental.py"])
+def test_cli_help(script):
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, os.path.join(repo, "jobs", script), "--help"],
+                         capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0 and "--raw-data" in out.stdout
