@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from eligo.session import materialize, scratch_path
 
-__all__ = ["is_empty", "materialize", "pick", "read_table", "scratch_path", "type_of",
-           "worker_state"]
+__all__ = ["is_empty", "materialize", "pick", "read_table", "scratch_path",
+           "slices", "type_of", "worker_state"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,3 +47,10 @@ def worker_state(name: str, make):
     if not hasattr(state, name):
         setattr(state, name, make())
     return getattr(state, name)
+
+
+def slices(batches, rows: int = 256):
+    """Arrow batches cut small (no copy), so that what Python makes of one stays small beside it."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)

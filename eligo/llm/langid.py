@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eligo.llm.common import pick
+from eligo.llm.common import pick, slices
 
 ORDERS = (1, 2, 3)
 BITS = 16
@@ -100,7 +100,7 @@ def train_language_model(docs: DataFrame, text_col: str = "text", label_col: str
     def count(batches):
         sums: dict[str, np.ndarray] = {}
         n_docs: dict[str, int] = {}
-        for batch in batches:
+        for batch in slices(batches):
             langs = batch.column(1).to_pylist()
             for lang in langs:
                 n_docs[lang] = n_docs.get(lang, 0) + 1
@@ -161,7 +161,7 @@ def predict_language(docs: DataFrame, model: LanguageModel, text_col: str = "tex
 
     def run(batches):
         model = LanguageModel(*shared.value)
-        for b in batches:
+        for b in slices(batches):
             lang, score = score_texts(b.column(at).to_pylist(), model)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                                              names=[*names, lang_out, score_out])

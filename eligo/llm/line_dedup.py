@@ -9,14 +9,13 @@ text is lost from the corpus and the original of a much-copied document stays wh
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from eligo.llm.common import content_key, materialize, pick
-
-CLEANED = "struct<text:string,n_lines:bigint,n_removed:bigint>"
+from eligo.llm.common import content_key, materialize, pick, slices
 
 
 def _keys(line: Column) -> list[Column]:
@@ -64,12 +63,30 @@ def boilerplate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         spread.where(~sure).join(exact, ["k1", "k2"], "left_semi").select("k1", "k2", "first")), "boilerplate")
 
 
-def _cleaned(text: str | None, drop) -> dict:
-    if text is None:
-        return {"text": None, "n_lines": 0, "n_removed": 0}
-    lines = text.split("\n")
-    kept = [x for i, x in enumerate(lines) if not drop(i, x)]
-    return {"text": "\n".join(kept), "n_lines": len(lines), "n_removed": len(lines) - len(kept)}
+def _clean(df: DataFrame, text_col: str, drops) -> DataFrame:
+    """``df`` with lines cut from the text, ``n_lines`` and ``n_removed``; map-only.
+
+    ``drops(batch)`` gives for each row a test of (position, line).
+    """
+    names = df.columns
+    at = names.index(text_col)
+    schema = T.StructType([*df.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
+
+    def run(batches):
+        for b in slices(batches):
+            texts, n_lines, n_removed = [], [], []
+            for text, drop in zip(b.column(at), drops(b), strict=True):
+                text = text.as_py()
+                lines = [] if text is None else text.split("\n")
+                kept = [x for i, x in enumerate(lines) if not drop(i, x)]
+                texts.append(None if text is None else text if len(kept) == len(lines) else "\n".join(kept))
+                n_lines.append(len(lines))
+                n_removed.append(len(lines) - len(kept))
+            out = [*b.columns, pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())]
+            out[at] = pa.array(texts, b.schema.field(at).type)
+            yield pa.RecordBatch.from_arrays(out, names=[*names, "n_lines", "n_removed"])
+
+    return df.mapInArrow(run, schema)
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source",
@@ -92,35 +109,28 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             k1.to_bytes(8, "big", signed=True) + k2.to_bytes(8, "big", signed=True): f
             for k1, k2, f in bad.select("k1", "k2", F.col("first").cast("string")).collect()})
 
-        @F.pandas_udf(CLEANED)
-        def clean(ids: pd.Series, texts: pd.Series) -> pd.DataFrame:
+        i = rest.columns.index(id_col)
+
+        def known(batch):
             firsts, none = first.value, object()
-            rows = []
-            for i, t in zip(ids, texts, strict=True):
-                rows.append(_cleaned(t, lambda _, x, i=i: len(x.strip(" ")) >= min_chars
-                                     and (f := firsts.get(_key(x), none)) is not none and f != i))
-            return pd.DataFrame(rows, columns=["text", "n_lines", "n_removed"])
-
-        out = rest.withColumn("_clean", clean(F.col(id_col).cast("string"), F.col(text_col)))
-    else:
-        src = pick(docs, id=id_col, text=text_col, site=site_col)
-        hits = (_lines(src, min_chars).join(bad, ["k1", "k2"]).where(~F.col("id").eqNullSafe(F.col("first")))
-                .groupBy("id", "t1", "t2").agg(F.collect_set("pos").alias("drop")))
-
-        @F.pandas_udf(CLEANED)
-        def cut(texts: pd.Series, drops: pd.Series) -> pd.DataFrame:
-            rows = []
-            for t, d in zip(texts, drops, strict=True):
-                gone = set() if d is None else set(d)
-                rows.append(_cleaned(t, lambda i, _, gone=gone: i in gone))
-            return pd.DataFrame(rows, columns=["text", "n_lines", "n_removed"])
-
-        t1, t2 = content_key(F.col(text_col))
-        keyed = rest.withColumns({"_t1": t1, "_t2": t2})
-        hits = hits.select(F.col("id").alias("_id"), F.col("t1").alias("_u1"), F.col("t2").alias("_u2"),
-                           F.col("drop").alias("_drop"))
-        out = (keyed.join(hits, keyed["_t1"].eqNullSafe(hits["_u1"]) & (keyed["_t2"] == hits["_u2"])
-                          & keyed[id_col].eqNullSafe(hits["_id"]), "left")
-               .withColumn("_clean", cut(F.col(text_col), F.col("_drop"))).drop("_t1", "_t2", "_u1", "_u2", "_id", "_drop"))
-    return out.withColumns({text_col: F.col("_clean.text"), "n_lines": F.col("_clean.n_lines"),
-                            "n_removed": F.col("_clean.n_removed")}).drop("_clean")
+            for id_ in batch.column(i):
+                id_ = None if (id_ := id_.as_py()) is None else str(id_)
+                yield lambda _, x, id_=id_: (len(x.strip(" ")) >= min_chars
+                                             and (f := firsts.get(_key(x), none)) is not none and f != id_)
+
+        return _clean(rest, text_col, known)
+    src = pick(docs, id=id_col, text=text_col, site=site_col)
+    hits = (_lines(src, min_chars).join(bad, ["k1", "k2"]).where(~F.col("id").eqNullSafe(F.col("first")))
+            .groupBy("id", "t1", "t2").agg(F.collect_set("pos").alias("drop"))
+            .select(F.col("id").alias("_id"), F.col("t1").alias("_u1"), F.col("t2").alias("_u2"), F.col("drop").alias("_drop")))
+    t1, t2 = content_key(F.col(text_col))
+    keyed = rest.withColumns({"_t1": t1, "_t2": t2})
+    joined = keyed.join(hits, keyed["_t1"].eqNullSafe(hits["_u1"]) & (keyed["_t2"] == hits["_u2"])
+                        & keyed[id_col].eqNullSafe(hits["_id"]), "left").select(*rest.columns, "_drop")
+
+    def placed(batch):
+        for gone in batch.column(len(batch.schema) - 1):
+            gone = set(gone.as_py() or ())
+            yield lambda pos, _, gone=gone: pos in gone
+
+    return _clean(joined, text_col, placed).drop("_drop")

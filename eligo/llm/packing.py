@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from eligo.llm.common import materialize, pick, type_of, worker_state
 
-CACHE_WORDS, CACHE_CHARS = 500_000, 64
+CACHE_WORDS, CACHE_CHARS = 250_000, 64
 
 
 # ---- configuration LP over {length: count} ----------------------------------
