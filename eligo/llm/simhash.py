@@ -126,7 +126,9 @@ def links(fps: DataFrame, max_distance: int) -> DataFrame:
                      pa.array(np.arange(len(v)) < n_small), pa.array(np.full(len(v), not odd))],
                     names=["variant", "fp", "inner", "even"])
 
-    balls = near.repartition("fp").mapInArrow(emit, "variant bigint, fp bigint, inner boolean, even boolean")
+    # A stated number of partitions: a few fingerprints make many variants, so their size says nothing.
+    spread = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    balls = near.repartition(spread, "fp").mapInArrow(emit, "variant bigint, fp bigint, inner boolean, even boolean")
     bucket = (balls.groupBy("variant")
               .agg(F.min(F.when(F.col("even"), F.col("fp"))).alias("even_c"),
                    F.min(F.when(F.col("inner"), F.col("fp"))).alias("inner_c"),

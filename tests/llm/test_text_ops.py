@@ -1,0 +1,151 @@
+"""Decontamination, language ID and license scan."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from eligo.llm import langid
+from eligo.llm.decontaminate import WuManber, contamination, merged, words_of
+from eligo.llm.langid import held_out, predict_language, train_language_model
+from eligo.llm.license_scan import TEMPLATES, license_scan
+from tests.llm.helpers import awkward, docs_frame, sentence
+
+
+def _words(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", low)
+
+
+def _brute_hits(text, items, window):
+    w = _words(text)
+    hit, names = set(), set()
+    for item, t in items:
+        v = _words(t)
+        for i in range(max(1, len(v) - window + 1)) if v else ():
+            p = v[i:i + window]
+            for s in range(len(w) - len(p) + 1):
+                if w[s:s + len(p)] == p:
+                    hit.update(range(s, s + len(p)))
+                    names.add("null" if item is None else str(item))
+    return len(w), len(hit), sorted(names)
+
+
+def _case(seed):
+    rng = random.Random(seed)
+    items = [(i, sentence(rng, rng.choice([1, 2, 4, 9, 10, 11, 25]))) for i in range(15)]
+    items += [(20, None), (21, ""), (22, "!!"), (None, "one null item of six words"), (23, items[3][1])]
+    rows = awkward(seed, 25)
+    for k, (_, t) in enumerate(items):
+        if t:
+            rows.append((500 + k, sentence(rng, 5) + ", " + t.upper() + "; " + " ".join(t.split()[2:]), "en", "s"))
+    return rows, items
+
+
+@pytest.mark.parametrize("block_rows", [100_000, 20])
+def test_contamination_matches_brute_force(spark, block_rows):
+    rows, items = _case(3)
+    bench = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id bigint, text string, words string")
+    got = contamination(docs_frame(spark, rows), bench, block_rows=block_rows).collect()
+    have = Counter((r.doc_id, r.n_words, sum(s.length for s in r.spans), tuple(r["items"])) for r in got)
+    want = Counter()
+    for i, t, *_ in rows:
+        n, h, names = _brute_hits(t, items, 10)
+        want[(i, n, h, tuple(names))] += 1
+    assert have == want
+
+
+def test_wu_manber_jumps_and_finds_overlaps():
+    p = {(b"a", b"b", b"a"): ["x"], (b"b", b"a", b"b"): ["y"]}
+    text = [b"z"] * 50 + [b"a", b"b", b"a", b"b", b"a"]
+    assert [(s, i) for s, i in WuManber(p).find(text)] == [(50, ["x"]), (51, ["y"]), (52, ["x"])]
+    assert words_of("Éa-B_c d9".encode()) == ["Éa".encode(), b"b", "c d9".encode()]
+    assert merged([(5, 2), (0, 3), (3, 1)]) == [(0, 4), (5, 2)]
+
+
+def test_empty_benchmark_and_documents(spark):
+    none = spark.createDataFrame([], "item_id bigint, text string")
+    rows = awkward(1, 5)
+    got = contamination(docs_frame(spark, rows), none).collect()
+    assert len(got) == len(rows) and not any(r.spans for r in got)
+    assert contamination(docs_frame(spark, []), none).collect() == []
+
+
+def _two_languages(n=80):
+    rng = random.Random(1)
+    rows = []
+    for i in range(n):
+        alphabet = "abcdeé" if i % 2 else "vwxyzß"
+        text = " ".join("".join(rng.choice(alphabet) for _ in range(rng.randint(2, 6))) for _ in range(30))
+        rows.append((i, text, "aa" if i % 2 else "zz", "s"))
+    return rows
+
+
+def test_language_accuracy_and_rejects(spark):
+    rows = _two_languages() + [(200, None, "aa", "s"), (201, "", None, "s"), (202, "12 ½ --", "zz", "s"),
+                               (203, "ABCDE " * 100_000, None, "s")]
+    docs = docs_frame(spark, rows)
+    model = train_language_model(docs.where(~held_out(docs.doc_id)))
+    got = {r.doc_id: r for r in predict_language(docs, model).collect()}
+    assert all(got[i].lang_pred == lang for i, _, lang, _ in rows[:80])
+    assert [got[i].lang_pred for i in (200, 201, 202, 203)] == ["und", "und", "und", "aa"]
+    assert all(0 <= r.score <= 1 for r in got.values())
+    assert got[0].n_chars == len(rows[0][1])  # other columns stay
+
+
+def test_language_model_counts_every_ngram_once(monkeypatch):
+    """Cutting a text into overlapping pieces changes no count."""
+    text = "".join(random.Random(2).choice("abcé ") for _ in range(5_000))
+
+    def counts():
+        total = np.zeros((1 << langid.BITS) + 1, np.int64)
+        for group in langid._chunks([text, "xy", ""]):
+            for b, _ in langid._buckets(group):
+                total += np.bincount(b, minlength=len(total))
+        return total[:-1]
+
+    whole = counts()
+    monkeypatch.setattr(langid, "_CHUNK", 64)
+    assert (counts() == whole).all()
+    assert whole.sum() == sum(len(t) + 2 - n + 1 for t in (text, "xy", "") for n in langid.ORDERS if len(t) + 2 >= n)
+
+
+def test_language_model_without_labels(spark):
+    docs = docs_frame(spark, [(1, "some words", None, "s")])
+    assert [r.lang_pred for r in predict_language(docs, train_language_model(docs)).collect()] == ["und"]
+    assert predict_language(docs.limit(0), train_language_model(docs)).collect() == []
+
+
+def _contained(text, template, n=5):
+    def sh(t):
+        w = [x for x in re.split(r"[\W_]+", t.lower()) if x]
+        return {" ".join(w[i:i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
+    return len(sh(text or "") & sh(template)) / len(sh(template))
+
+
+def test_license_scan_matches_brute_force(spark):
+    rng = random.Random(4)
+    rows = awkward(5, 10)
+    for k, t in enumerate(TEMPLATES.values()):
+        w = t.split()
+        edited = " ".join(w[:-1] + ["changed"]) if len(w) > 30 else t
+        for j, body in enumerate((t, t.upper() + " " + sentence(rng, 50), sentence(rng, 300) + ". " + edited,
+                                  sentence(rng, 40) + " " + " ".join(w[:len(w) // 2]))):
+            rows.append((1000 + 10 * k + j, body, "en", "s"))
+    got = Counter((r.doc_id, tuple(r.licenses)) for r in license_scan(docs_frame(spark, rows)).collect())
+    want = Counter((i, tuple(sorted(n for n, x in TEMPLATES.items() if _contained(t, x) >= 0.8))) for i, t, *_ in rows)
+    assert got == want
+
+
+def test_license_scan_is_native_and_checks_templates(spark):
+    docs = docs_frame(spark, awkward(6, 5))
+    plan = license_scan(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    assert license_scan(docs.limit(0)).collect() == []
+    assert {r.n_licenses for r in license_scan(docs, templates={}).collect()} == {0}
+    with pytest.raises(ValueError):
+        license_scan(docs, templates={"blank": " - "})
