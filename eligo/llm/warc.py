@@ -91,16 +91,19 @@ def parse_record(raw: bytes) -> dict:
             "payload": payload if f["WARC-Type"] == "response" else None}
 
 
-def dedup_plan(pages: DataFrame, id_col: str, url_col: str, body_col: str, min_bytes: int) -> DataFrame:
+def numbered_pages(pages: DataFrame, id_col: str, url_col: str, body_col: str) -> DataFrame:
+    """(id, url, body, row, sha, n), written: row numbers are made once and read from the table from now on."""
+    src = pick(pages, id=id_col, url=url_col, body=body_col).select(
+        "id", F.col("url").cast("string").alias("url"), F.coalesce(F.col("body"), F.lit("")).cast("binary").alias("body"))
+    return materialize(src.withColumns({"row": F.monotonically_increasing_id(), "sha": F.sha2("body", 256),
+                                        "n": F.octet_length("body")}), "warc-rows")
+
+
+def dedup_plan(rows: DataFrame, min_bytes: int) -> DataFrame:
     """(id, url, body, refers_to, revisit): of equal payloads the smallest id is the response.
 
     Payloads are told apart by length and SHA-256.  Repeated rows of that id: one is the response (nulls last).
     """
-    src = pick(pages, id=id_col, url=url_col, body=body_col).select(
-        "id", F.col("url").cast("string").alias("url"), F.coalesce(F.col("body"), F.lit("")).cast("binary").alias("body"))
-    # Row numbers are made here once and read from the written table from now on.
-    rows = materialize(src.withColumns({"row": F.monotonically_increasing_id(), "sha": F.sha2("body", 256),
-                                        "n": F.octet_length("body")}), "warc-rows")
     first = rows.where(F.col("n") >= min_bytes).groupBy("sha", "n").agg(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first"))
     return rows.join(first, ["sha", "n"], "left").select(
@@ -113,8 +116,9 @@ def write_warc(pages: DataFrame, path: str | None = None, id_col: str = "page_id
                **sample) -> DataFrame:
     """Writes a record for each row into files under ``path`` (a shared folder) and returns the index:
     ``file, offset, length, page_id, record_type``."""
-    plan = materialize(dedup_plan(pages, id_col, url_col, body_col, min_bytes), "warc-plan")
-    dictionary = train_dictionary(plan.where(~F.col("revisit")), "body", **sample)
+    rows = numbered_pages(pages, id_col, url_col, body_col)
+    plan = dedup_plan(rows, min_bytes)
+    dictionary = train_dictionary(rows, "body", **sample)
     folder = path or scratch_path(pages.sparkSession, "warc")
     shared = pages.sparkSession.sparkContext.broadcast(dictionary)
 
