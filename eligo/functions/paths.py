@@ -7,8 +7,6 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from eligo.functions.time import landing_hour_ts
-
 # How each partition value is written in a landing path.
 PATH_PART_PATTERNS = {
     "year": r"year=(\d{4})",
@@ -35,14 +33,15 @@ def path_parts(path) -> dict[str, Column]:
 def hour_window(start: datetime, end: datetime) -> Column:
     """Half-open landing window ``start <= hour < end`` over year/month/day/hour.
 
-    The predicate reads partition columns only, so on a partitioned landing it
+    The predicate compares hour numbers (``yyyymmddhh``), so an invalid date in a
+    directory name is outside or inside like any number and never an error.
+    It reads partition columns only, so on a partitioned landing it
     is applied as a partition filter: only the hours inside the window are listed
     and read, across midnight, month and year ends, and a missing hour is simply
     empty instead of an error.
     """
     if not start < end:
         raise ValueError(f"empty window: start {start} is not before end {end}")
-    hour_ts = landing_hour_ts()
-    lo = F.lit(start.strftime("%Y-%m-%d %H:00:00")).cast("timestamp_ntz")
-    hi = F.lit(end.strftime("%Y-%m-%d %H:00:00")).cast("timestamp_ntz")
-    return (hour_ts >= lo) & (hour_ts < hi)
+    year, month, day, hour = (F.col(c).cast("bigint") for c in PATH_PART_PATTERNS)
+    number = year * 1_000_000 + month * 10_000 + day * 100 + hour
+    return (number >= int(start.strftime("%Y%m%d%H"))) & (number < int(end.strftime("%Y%m%d%H")))

@@ -11,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
+# 0001-01-01 00:00:00 and 9999-12-31 23:59:59.999 in epoch milliseconds.
+MIN_EPOCH_MS, MAX_EPOCH_MS = -62_135_596_800_000, 253_402_300_799_999
 
 
 def _col(c) -> Column:
@@ -20,10 +22,12 @@ def _col(c) -> Column:
 def epoch_ms_to_ts(ms) -> Column:
     """Epoch milliseconds (number or numeric text) -> timestamp_ntz, seconds grain.
 
-    Text that is not a number gives NULL instead of failing under ANSI mode.
+    Text that is not a number, and a number outside the years 1 to 9999, give
+    NULL instead of failing under ANSI mode.
     """
     ms_num = _col(ms).try_cast("double")
-    whole_secs = (ms_num / F.lit(1000)).try_cast("bigint")
+    in_range = F.when(ms_num.between(MIN_EPOCH_MS, MAX_EPOCH_MS), ms_num)
+    whole_secs = (in_range / F.lit(1000)).try_cast("bigint")
     return F.expr(_EPOCH) + F.make_dt_interval(secs=whole_secs)
 
 
@@ -44,9 +48,9 @@ def utc_to_zone(ts, zone: str) -> Column:
 
 
 def landing_hour_ts(year="year", month="month", day="day", hour="hour") -> Column:
-    """Start of a landing hour from its partition values, as timestamp_ntz."""
-    return F.make_timestamp_ntz(_col(year), _col(month), _col(day), _col(hour),
-                                F.lit(0), F.lit(0))
+    """Start of a landing hour from its partition values, as timestamp_ntz; NULL for an invalid date."""
+    return F.try_make_timestamp_ntz(_col(year), _col(month), _col(day), _col(hour),
+                                    F.lit(0), F.lit(0))
 
 
 def date_plus_days(ts, days: int) -> Column:
@@ -58,8 +62,9 @@ def date_plus_days(ts, days: int) -> Column:
 # (one JVM parse per expression instead of a chain of Column calls).
 
 def epoch_ms_to_ts_sql(ms: str) -> str:
-    return (f"{_EPOCH} + make_dt_interval(0, 0, 0, "
-            f"try_cast(try_cast({ms} AS double) / 1000 AS bigint))")
+    num = f"try_cast({ms} AS double)"
+    return (f"{_EPOCH} + make_dt_interval(0, 0, 0, try_cast("
+            f"CASE WHEN {num} BETWEEN {MIN_EPOCH_MS} AND {MAX_EPOCH_MS} THEN {num} END / 1000 AS bigint))")
 
 
 def utc_to_zone_sql(ts: str, zone: str) -> str:

@@ -36,13 +36,37 @@ def window_batch_id(end: datetime) -> int:
     return int(end.strftime("%Y%m%d%H"))
 
 
+def next_version(last: int | None, wanted: int | None, end: datetime) -> int:
+    """The id of a run.  A wanted id must be after the last published one.  Without one it is the
+    window's id, or the next number if the table has come past that: a window that is run
+    again for late data, or one after an initial state with a larger id, gets a new version."""
+    if wanted is None:
+        return max(window_batch_id(end), (last or 0) + 1)
+    if last is not None and wanted <= last:
+        raise ValueError(f"version {wanted} is not after the last published one, {last}")
+    return wanted
+
+
+def replace_hours(spark: SparkSession, raw: DataFrame, raw_path: str, start: datetime, end: datetime) -> None:
+    """Write a window's hours into a raw table; hours of the window that no longer
+    land are removed, all other hours stay."""
+    def hours(df):   # at most the window's hours
+        return {tuple(r) for r in df.select(*PARTITION_COLS).distinct().collect()}
+
+    before = landing.read_hours(spark, raw_path, start, end, "parquet")
+    stale = hours(before) - hours(raw) if before is not None else set()
+    write.overwrite_partitions(raw, raw_path, PARTITION_COLS)
+    write.drop_partitions(spark, raw_path, [
+        "/".join(f"{c}={v}" for c, v in zip(PARTITION_COLS, h)) for h in sorted(stale)])
+
+
 def land_window(spark: SparkSession, base: str, start: datetime, end: datetime,
                 schema, raw_path: str) -> DataFrame:
-    """Copy one hour window of the landing into the raw table (only those
-    hour partitions are replaced) and return the window read back from it."""
+    """Copy one hour window of the landing into the raw table (only that
+    window's hours are replaced) and return the window read back from it."""
     df = landing.read_window(spark, base, start, end, schema)
     raw = df.select(*landing.raw_columns(df))
-    write.overwrite_partitions(raw, raw_path, PARTITION_COLS)
+    replace_hours(spark, raw, raw_path, start, end)
     back = landing.read_hours(spark, raw_path, start, end, "parquet")
     return back if back is not None else raw.limit(0)
 
@@ -51,11 +75,12 @@ def land_window(spark: SparkSession, base: str, start: datetime, end: datetime,
 
 def run_saved_offers(spark: SparkSession, tables: Tables, base: str,
                      start: datetime, end: datetime, version: int | None = None) -> int:
-    version = version or window_batch_id(end)
+    previous = publish.last_logged_batch(spark, tables.saved_offers_log)
+    version = next_version(previous, version, end)      # refused before anything is written
     df = landing.read_window(spark, base, start, end, landing.SAVED_OFFER_LANDING_SCHEMA)
     raw = df.select("id", F.col("eligibilityRequirement.latestEndTime").alias("latestEndTime"),
                     "startTime", "endTime", *PARTITION_COLS)
-    write.overwrite_partitions(raw, tables.raw_saved_offers, PARTITION_COLS)
+    replace_hours(spark, raw, tables.raw_saved_offers, start, end)
 
     staged = offers.stage_saved_offers(spark.read.parquet(tables.raw_saved_offers))
     write.overwrite(staged, tables.stg_saved_offers)
@@ -64,9 +89,6 @@ def run_saved_offers(spark: SparkSession, tables: Tables, base: str,
     if dups:
         raise ValueError(f"staged saved offers repeat an offer id: {dups}")
 
-    previous = publish.last_logged_batch(spark, tables.saved_offers_log)
-    if previous is not None and previous >= version:
-        raise ValueError(f"saved offers version {version} is not after {previous}")
     target = publish.read_current(spark, tables.saved_offers, tables.saved_offers_log,
                                   SAVED_OFFER_COLS)
     if target is None:
@@ -107,8 +129,10 @@ def run_init(spark: SparkSession, tables: Tables, dump_path: str, as_of: date,
     if saved is None:
         saved = spark.createDataFrame([], SAVED_OFFER_SCHEMA)
     with_status = expiry.with_expiry_status(dump, saved, as_of)
-    write.create_if_absent(with_status, tables.dump_with_expiry, ["expiry_status"])
-    status = spark.read.parquet(tables.dump_with_expiry)
+    # One table for each batch id, overwritten: neither a stopped run's rows nor another snapshot's are taken up.
+    status_path = publish.batch_path(tables.dump_with_expiry, batch_id)
+    write.overwrite(with_status, status_path, ["expiry_status"])
+    status = spark.read.schema(with_status.schema).parquet(status_path)
     active, inactive = expiry.split_by_expiry(status)
 
     def as_state(df):
@@ -116,9 +140,13 @@ def run_init(spark: SparkSession, tables: Tables, dump_path: str, as_of: date,
 
     publish.write_batch(as_state(active), tables.cs_active, batch_id)
     publish.write_batch(as_state(inactive), tables.cs_inactive, batch_id)
-    rows = publish.read_batch(spark, tables.cs_active, batch_id).count()
+    rows, gone, dumped = (df.count() for df in (
+        publish.read_batch(spark, tables.cs_active, batch_id),
+        publish.read_batch(spark, tables.cs_inactive, batch_id), dump))
+    if rows + gone != dumped:
+        raise ValueError(f"batch {batch_id}: {rows} active and {gone} inactive rows of {dumped} in the dump")
     publish.commit_version(spark, tables.batch_log, batch_id, rows, None, f"init from {dump_path}")
-    return {"batch_id": batch_id, "active_rows": rows}
+    return {"batch_id": batch_id, "active_rows": rows, "inactive_rows": gone}
 
 
 # ---- incremental eligibility ---------------------------------------------
@@ -139,10 +167,8 @@ def run_increment(spark: SparkSession, tables: Tables, base: str, start: datetim
     """One hourly increment.  With ``compact_rows_per_file`` the new batch is
     rewritten into clustered files before it is audited and published (the
     carried rows otherwise keep the previous batch's file layout)."""
-    batch_id = batch_id or window_batch_id(end)
     previous_id = publish.last_logged_batch(spark, tables.batch_log)
-    if previous_id is not None and batch_id <= previous_id:
-        raise ValueError(f"batch {batch_id} is not after the last published batch {previous_id}")
+    batch_id = next_version(previous_id, batch_id, end)
 
     window = land_window(spark, base, start, end, landing.landing_schema(tables.origin), tables.raw)
     staged = latest_per_key(flatten.by_origin(window, tables.origin), tiebreak)

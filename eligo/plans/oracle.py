@@ -128,29 +128,39 @@ def _to_state(name: str, src: str) -> str:
 
 
 def _labels() -> str:
+    """Labels from sets, not from one CASE: each row's known versions are split by freshness,
+    then by what the previous version shows, and each set is labelled on its own."""
+    hist = ", ".join(f"h.{c} AS {a}" for c, a in (
+        ("start_time_first_observed", "h_first_observed"), ("start_time_recently_observed", "h_start_recent"),
+        ("percentage_recently_observed", "h_pct_recent"), ("uses_recently_observed", "h_uses_recent"),
+        ("start_time", "h_start"), ("percentage", "h_pct"), ("uses", "h_uses")))
+    none = ", ".join(f"NULL AS {a}" for a in (
+        "h_first_observed", "h_start_recent", "h_pct_recent", "h_uses_recent", "h_start", "h_pct", "h_uses"))
+    eligible, later = "x.potentiallyeligibleinfuture IS FALSE", "x.potentiallyeligibleinfuture IS TRUE"
     return f""",
+known AS (SELECT i.*, {hist}, h.updated AS h_updated FROM incr i JOIN hist h USING (user_id, offer_id)),
+unknown AS (SELECT i.*, {none} FROM incr i
+            WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.user_id = i.user_id AND h.offer_id = i.offer_id)),
+fresh AS (SELECT * FROM known WHERE updated > h_updated),
+old AS (SELECT * FROM known WHERE updated <= h_updated OR updated IS NULL OR h_updated IS NULL),
 labelled AS (
-  SELECT DISTINCT {_I(STAGE_COLS)},
-    h.start_time_first_observed AS h_first_observed, h.start_time_recently_observed AS h_start_recent,
-    h.percentage_recently_observed AS h_pct_recent, h.uses_recently_observed AS h_uses_recent,
-    h.start_time AS h_start, h.percentage AS h_pct, h.uses AS h_uses,
-    CASE
-      WHEN h.hit IS NULL AND i.potentiallyeligibleinfuture = false THEN 'N1'
-      WHEN h.hit IS NULL AND i.potentiallyeligibleinfuture = true THEN 'N2'
-      WHEN h.hit IS NULL THEN 'new_pef_null'
-      WHEN NOT coalesce(i.updated > h.updated, false) THEN 'stale'
-      WHEN i.potentiallyeligibleinfuture IS NULL THEN 'pef_null'
-      WHEN h.start_time_first_observed IS NULL AND NOT i.potentiallyeligibleinfuture THEN 'M1'
-      WHEN NOT i.potentiallyeligibleinfuture AND i.percentage IS NOT NULL THEN 'M2'
-      WHEN NOT i.potentiallyeligibleinfuture THEN 'M3'
-      WHEN h.start_time_first_observed IS NULL THEN 'M4'
-      ELSE 'gap'
-    END AS rule
-  FROM incr i LEFT JOIN (SELECT *, true AS hit FROM hist) h
-    ON (i.offer_id = h.offer_id AND i.user_id = h.user_id)
+  SELECT 'N1' AS rule, {_LABEL_COLS} FROM unknown x WHERE {eligible}
+  UNION SELECT 'N2', {_LABEL_COLS} FROM unknown x WHERE {later}
+  UNION SELECT 'new_pef_null', {_LABEL_COLS} FROM unknown x WHERE potentiallyeligibleinfuture IS NULL
+  UNION SELECT 'stale', {_LABEL_COLS} FROM old x
+  UNION SELECT 'pef_null', {_LABEL_COLS} FROM fresh x WHERE potentiallyeligibleinfuture IS NULL
+  UNION SELECT 'M1', {_LABEL_COLS} FROM fresh x WHERE {eligible} AND h_first_observed IS NULL
+  UNION SELECT 'M4', {_LABEL_COLS} FROM fresh x WHERE {later} AND h_first_observed IS NULL
+  UNION SELECT 'M2', {_LABEL_COLS} FROM fresh x WHERE {eligible} AND h_first_observed IS NOT NULL AND percentage IS NOT NULL
+  UNION SELECT 'M3', {_LABEL_COLS} FROM fresh x WHERE {eligible} AND h_first_observed IS NOT NULL AND percentage IS NULL
+  UNION SELECT 'gap', {_LABEL_COLS} FROM fresh x WHERE {later} AND h_first_observed IS NOT NULL
 )"""
 
 
+_LABEL_COLS = ", ".join([*STAGE_COLS, "h_first_observed", "h_start_recent", "h_pct_recent", "h_uses_recent",
+                         "h_start", "h_pct", "h_uses"])
+
+
 def _state_select(src: str) -> str:
     return f"SELECT {', '.join(STATE_COLS)} FROM {src}"
 
@@ -189,8 +199,8 @@ def _offer_stage(name: str, where: str) -> str:
 
 
 _PART_EXPIRY = f"""WITH dim AS (
-  SELECT l_partkey AS p_partkey, max(l_shipdate) AS latest_end_time
-  FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_partkey
+  SELECT l_partkey AS p_partkey, max(l_shipdate) FILTER (l_returnflag <> 'R') AS latest_end_time
+  FROM lineitem GROUP BY l_partkey
 ),
 st AS (
   SELECT p.p_partkey, p.p_name, p.p_brand, p.p_type, p.p_size, p.p_retailprice,

@@ -221,7 +221,8 @@ def q_saved_offers_job(spark, sf_dir):
      .write.partitionBy("year", "month", "day", "hour").json(land))
     tables = Tables(f"{root}/warehouse", "legacy")
     cut = datetime.strptime(S.CUT, "%Y-%m-%d %H:%M:%S")
-    for start, end in [(S.DATA_START, cut), (cut, S.DATA_END)]:
+    first, last = S.data_span(_events(spark, sf_dir))
+    for start, end in [(first, cut), (cut, last)]:
         batch_jobs.run_saved_offers(spark, tables, land, start, end)
     return batch_jobs.current_saved_offers(spark, tables)
 
@@ -240,17 +241,18 @@ def q_eligibility_job(spark, sf_dir):
      .write.partitionBy("year", "month", "day", "hour").json(land))
     tables = Tables(f"{root}/warehouse", "legacy")
     cut = datetime.strptime(S.CUT, "%Y-%m-%d %H:%M:%S")
-    batch_jobs.run_increment(spark, tables, land, S.DATA_START, cut, S.HIST_BATCH_ID)
-    batch_jobs.run_increment(spark, tables, land, cut, S.DATA_END, S.NEXT_BATCH_ID)
+    first, last = S.data_span(_events(spark, sf_dir))
+    batch_jobs.run_increment(spark, tables, land, first, cut, S.HIST_BATCH_ID)
+    batch_jobs.run_increment(spark, tables, land, cut, last, S.NEXT_BATCH_ID)
     return batch_jobs.read_state(spark, tables)
 
 
 def _part_expiry(spark, sf_dir):
     part = S.table(spark, sf_dir, "part")
     li = S.table(spark, sf_dir, "lineitem")
-    dim = (li.where(F.col("l_returnflag") == "R")
-           .select(F.col("l_partkey").alias("p_partkey"),
-                   F.col("l_shipdate").alias("latest_end_time")))
+    # a returned line's end is open (NULL) and loses to any known one; all lines are aggregated
+    end = F.when(F.col("l_returnflag") != "R", F.col("l_shipdate"))
+    dim = li.select(F.col("l_partkey").alias("p_partkey"), end.alias("latest_end_time"))
     as_of = date.fromisoformat(S.EXPIRY_AS_OF)
     return expiry.with_expiry_status(part, dim, as_of, key="p_partkey")
 

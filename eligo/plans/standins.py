@@ -14,7 +14,7 @@ The test tables carry no offer snapshots, so each query derives them:
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,9 +32,15 @@ WINDOW_START = "2024-01-15 20"
 WINDOW_END = "2024-01-16 03"
 EXPIRY_AS_OF = "2001-08-01"
 PATH_ROOT = "s3://landing/offers/"
-# The events table spans January 2024: the job queries land it in two windows.
-DATA_START = datetime(2024, 1, 1)
-DATA_END = datetime(2024, 2, 1)
+
+
+def data_span(events: DataFrame) -> tuple[datetime, datetime]:
+    """Whole days from the first event to past the last; the job queries land it in two windows."""
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    day = {"hour": 0, "minute": 0, "second": 0, "microsecond": 0}
+    cut = datetime.strptime(CUT, "%Y-%m-%d %H:%M:%S")
+    return (min(first.replace(**day), cut - timedelta(days=1)),
+            max(last.replace(**day), cut) + timedelta(days=1))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -50,3 +50,12 @@ def create_if_absent(df: DataFrame, path: str, partition_cols=None) -> None:
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.parquet(path)
+
+
+def drop_partitions(spark: SparkSession, path: str, specs: list[str]) -> None:
+    """Delete partition directories (``a=1/b=2``) of a table; missing ones are passed over."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for spec in specs:
+        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{spec}")
+        p.getFileSystem(conf).delete(p, True)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from eligo.functions.paths import hour_window, path_parts
+from eligo.functions.paths import hour_window
 from eligo.operators.flatten import KAFKA_SCHEMA, LEGACY_SCHEMA
 from eligo.schemas import PARTITION_COLS
 
@@ -34,12 +34,6 @@ def landing_schema(origin: str) -> T.StructType:
     return {"legacy": LEGACY_SCHEMA, "kafka": KAFKA_SCHEMA}[origin]
 
 
-def _span_days(start: datetime, end: datetime) -> int:
-    first = start.date()
-    last = (end - timedelta(hours=1)).date()
-    return (last - first).days + 1
-
-
 def window_days(start: datetime, end: datetime) -> list[str]:
     """Directory paths (``year=YYYY/month=MM/day=DD``) of every day the window
     ``[start, end)`` touches, in both spellings of month and day: zero-padded as
@@ -56,23 +50,18 @@ def window_days(start: datetime, end: datetime) -> list[str]:
     return days
 
 
-# Up to a week, listing the window's days one by one beats listing the whole
-# landing; a longer window (a backfill) lists the landing once.
-MAX_GLOB_DAYS = 7
-
-
 def read_window(spark: SparkSession, base: str, start: datetime, end: datetime,
-                schema: T.StructType, max_glob_days: int = MAX_GLOB_DAYS) -> DataFrame:
+                schema: T.StructType) -> DataFrame:
     """Rows landed in hours ``start <= hour < end`` plus ``file_path``, year..hour.
 
     Only the window's day directories are listed (one glob with an alternative
     per day), so the cost of listing does not grow with the landing's history;
     the hour predicate then prunes to the window's hours.  Missing hours or
     days are simply empty; a window with no data at all gives an empty frame.
-    A window longer than ``max_glob_days`` (a backfill) lists the whole landing
-    and prunes by the same predicate.
+    Windows of any length are read this way, so other directories beside the
+    landing's years never matter.
     """
-    df = read_hours(spark, base, start, end, "json", schema, max_glob_days)
+    df = read_hours(spark, base, start, end, "json", schema)
     if df is None:
         parts = [T.StructField(c, T.IntegerType()) for c in PARTITION_COLS]
         empty = spark.createDataFrame([], T.StructType(schema.fields + parts))
@@ -81,15 +70,11 @@ def read_window(spark: SparkSession, base: str, start: datetime, end: datetime,
 
 
 def read_hours(spark: SparkSession, base: str, start: datetime, end: datetime,
-               fmt: str, schema: T.StructType | None = None,
-               max_glob_days: int = MAX_GLOB_DAYS) -> DataFrame | None:
+               fmt: str, schema: T.StructType | None = None) -> DataFrame | None:
     """The hour partitions ``[start, end)`` of a year/month/day/hour table in
     ``fmt``; ``None`` when none of the window's days exists."""
     base = base.rstrip("/")
-    if _span_days(start, end) <= max_glob_days:
-        path = f"{base}/{{{','.join(window_days(start, end))}}}/hour=*"
-    else:
-        path = base
+    path = f"{base}/{{{','.join(window_days(start, end))}}}/hour=*"
     reader = spark.read.format(fmt).option("basePath", base)
     if schema is not None:
         reader = reader.schema(schema)
@@ -102,11 +87,6 @@ def read_hours(spark: SparkSession, base: str, start: datetime, end: datetime,
     return df.where(hour_window(start, end))
 
 
-def parts_from_path(df: DataFrame) -> DataFrame:
-    """Year..hour parsed from ``file_path`` (for files read without discovery)."""
-    return df.withColumns(path_parts("file_path"))
-
-
 def raw_columns(df: DataFrame) -> list[str]:
     data = [c for c in df.columns if c not in PARTITION_COLS and c != "file_path"]
     return data + ["file_path"] + PARTITION_COLS

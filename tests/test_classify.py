@@ -3,7 +3,6 @@
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from eligo.operators import classify
 from eligo.schemas import STAGE_COLS, STATE_COLS
@@ -123,51 +122,56 @@ def test_broadcast_and_shuffle_paths_agree(spark):
     assert norm(a.rows()) == norm(b.rows())
 
 
-def literal_union(spark, incr, prev, batch_id):
-    """The reference's six-branch form, written with the DataFrame API."""
-    keys = ["offer_id", "user_id"]
-    new = incr.join(prev.select(*keys), keys, "left_anti")
-
-    def add(df, fo, sr, pr, ur):
-        return df.select(*STAGE_COLS, fo.alias("fo"), sr.alias("sr"), pr.alias("pr"), ur.alias("ur"))
-    n = F.lit(None)
-    n1 = add(new.where("potentiallyeligibleinfuture = false"), F.col("start_time"), n, n, n)
-    n2 = add(new.where("potentiallyeligibleinfuture = true"), n, n, n, n)
-    h = prev.select(*keys, F.col("updated").alias("h_updated"),
-                    F.col("start_time_first_observed").alias("hfo"),
-                    F.col("start_time_recently_observed").alias("hsr"),
-                    F.col("percentage_recently_observed").alias("hpr"),
-                    F.col("uses_recently_observed").alias("hur"),
-                    F.col("start_time").alias("hs"), F.col("percentage").alias("hp"),
-                    F.col("uses").alias("hu"))
-    m = (incr.join(h, keys).where(F.col("updated") > F.col("h_updated")).drop("h_updated")
-         .dropDuplicates())
-    c = F.col
-    m1 = add(m.where("hfo IS NULL AND potentiallyeligibleinfuture = false"), c("start_time"), c("hsr"), c("hpr"), c("hur"))
-    m2 = add(m.where("hfo IS NOT NULL AND potentiallyeligibleinfuture = false AND percentage IS NOT NULL"), c("hfo"), c("hs"), c("hp"), c("hu"))
-    m3 = add(m.where("hfo IS NOT NULL AND potentiallyeligibleinfuture = false AND percentage IS NULL"), c("hfo"), c("hs"), c("hpr"), c("hu"))
-    m4 = add(m.where("hfo IS NULL AND potentiallyeligibleinfuture = true"), c("hfo"), c("hsr"), c("hpr"), c("hur"))
-    u = m1.union(m2).union(m3).union(m4).union(n1).union(n2)
-    upd = u.select(*[
-        (c({"start_time_first_observed": "fo", "start_time_recently_observed": "sr",
-            "percentage_recently_observed": "pr", "uses_recently_observed": "ur"}.get(x, x))
-         if x not in ("expiry_status", "batch_id") else
-         (F.lit("active") if x == "expiry_status" else F.lit(batch_id).cast("bigint"))).alias(x)
-        for x in STATE_COLS])
-    carried = (prev.join(upd.select(*keys).distinct(), keys, "left_anti")
-               .withColumn("batch_id", F.lit(batch_id).cast("bigint")).select(*STATE_COLS))
-    return upd.unionByName(carried)
-
-
-def test_single_pass_equals_six_branch_union(spark):
+def update_for(new, old):
+    """The state columns a rule sets for an increment row and a previous row of its key (or None):
+    (first observed, start, percentage, uses recently observed), or None if there is no update."""
+    soon = new["potentiallyeligibleinfuture"]
+    if soon is None:
+        return None
+    if old is None:
+        return (None if soon else new["start_time"], None, None, None)
+    if new["updated"] is None or old["updated"] is None or new["updated"] <= old["updated"]:
+        return None
+    seen = old["start_time_first_observed"]
+    kept = [old[f"{c}_recently_observed"] for c in ("start_time", "percentage", "uses")]
+    if seen is None:
+        return (None if soon else new["start_time"], *kept)
+    if soon:
+        return None
+    pct = kept[1] if new["percentage"] is None else old["percentage"]
+    return (seen, old["start_time"], pct, old["uses"])
+
+
+def next_state(incr, prev, batch_id):
+    """The next batch row by row, from the rule table: rows as tuples of text, sorted."""
+    def key(r):
+        return None if None in (r["user_id"], r["offer_id"]) else (r["user_id"], r["offer_id"])
+
+    pairs = {}
+    for new in incr:
+        olds = [h for h in prev if key(h) is not None and key(h) == key(new)] or [None]
+        for old in olds:
+            got = update_for(new, old)
+            if got is None:
+                continue
+            row = dict(new, expiry_status="active", batch_id=batch_id, **dict(zip(
+                ("start_time_first_observed", "start_time_recently_observed",
+                 "percentage_recently_observed", "uses_recently_observed"), got)))
+            seen = None if old is None else tuple(str(old[c]) for c in (
+                "start_time_first_observed", "start_time_recently_observed", "percentage_recently_observed",
+                "uses_recently_observed", "start_time", "percentage", "uses"))
+            at = len(pairs) if old is None else (tuple(str(new[c]) for c in STAGE_COLS), seen)
+            pairs[at] = row                    # a matched pair counts once
+    updated = {key(r) for r in pairs.values()} - {None}
+    carried = [dict(h, batch_id=batch_id) for h in prev if key(h) not in updated]
+    return sorted(tuple(str(r[c]) for c in STATE_COLS) for r in [*pairs.values(), *carried])
+
+
+def test_plan_equals_the_rule_table(spark):
     incr, prev = _scenario()
-    i, p = stage_df(spark, incr), state_df(spark, prev)
-    ours = classify.next_batch(i, p, BATCH).rows()
-    ref = literal_union(spark, i, p, BATCH)
-
-    def norm(df):
-        return sorted((tuple(str(v) for v in r) for r in df.select(*STATE_COLS).collect()))
-    assert norm(ours) == norm(ref)
+    ours = classify.next_batch(stage_df(spark, incr), state_df(spark, prev), BATCH).rows()
+    assert sorted(tuple(str(v) for v in r) for r in ours.select(*STATE_COLS).collect()) \
+        == next_state(incr, prev, BATCH)
 
 
 def test_invariants(spark):

@@ -4,6 +4,7 @@ import json
 from decimal import Decimal
 
 
+from eligo.functions.time import epoch_ms_to_ts, epoch_ms_to_ts_sql
 from eligo.operators import flatten
 from eligo.operators.latest import latest_per_key
 from eligo.schemas import FLAT_COLS, STAGE_COLS
@@ -129,3 +130,19 @@ def test_tiebreak_keeps_one_row_deterministically(spark):
     a = latest_per_key(_flat_rows(spark, rows), tiebreak=True).collect()
     b = latest_per_key(_flat_rows(spark, list(reversed(rows))), tiebreak=True).collect()
     assert len(a) == 1 and a == b and a[0]["percentage"] == 0.7
+
+
+def test_sentinel_epochs_give_null(spark):
+    """Numbers beyond the years 1 to 9999 are NULL, with ANSI on and off, and stop nothing."""
+    values = ["9223372036854775807", "-9223372036854775808", "1e300", "253402300799999", "253402300800000",
+              "-62135596800000", "NaN", "abc", None, "0"]
+    df = spark.createDataFrame([(v,) for v in values], "ms string")
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            a = [r[0] for r in df.select(epoch_ms_to_ts("ms")).collect()]
+            b = [r[0] for r in df.selectExpr(epoch_ms_to_ts_sql("ms")).collect()]
+        finally:
+            spark.conf.unset("spark.sql.ansi.enabled")
+        assert a == b
+        assert [x is None for x in a] == [True, True, True, False, True, False, True, True, True, False]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from eligo.plans import batch_jobs as J
 from eligo.schemas import STATE_COLS, Tables
 from eligo.sinks import publish
+from eligo.sources import landing
 
 MS_H = 3_600_000
 
@@ -70,7 +71,7 @@ def world(spark, tmp_dir):
 def test_init_then_two_increments(world):
     spark, tables, wh, tmp_dir, dump = world
     out = J.run_init(spark, tables, dump, date(2024, 2, 1))
-    assert out == {"batch_id": 100, "active_rows": 2}
+    assert out == {"batch_id": 100, "active_rows": 2, "inactive_rows": 1}
     inactive = publish.read_batch(spark, tables.cs_inactive, 100).collect()
     assert [(r.user_id, r.expiry_status) for r in inactive] == [("u3", "expired")]
 
@@ -108,7 +109,63 @@ def test_init_then_two_increments(world):
 
     # a batch id that is not after the last one is refused
     with pytest.raises(ValueError):
-        J.run_increment(spark, tables, land, datetime(2024, 1, 10, 0), datetime(2024, 1, 10, 6))
+        J.run_increment(spark, tables, land, datetime(2024, 1, 10, 0), datetime(2024, 1, 10, 6), 2024011106)
+    # without a wanted id an earlier window is run again, as the next version
+    late = J.run_increment(spark, tables, land, datetime(2024, 1, 10, 0), datetime(2024, 1, 10, 6))
+    assert late.batch_id == 2024011107 and J.read_state(spark, tables).count() == 3
+
+
+def test_hours_that_no_longer_land_are_removed(spark, tmp_dir):
+    land, tables = os.path.join(tmp_dir, "land"), Tables(os.path.join(tmp_dir, "wh"), "legacy")
+    for h in (1, 2):
+        write_hour(land, datetime(2024, 1, 10, h), [legacy(f"u{h}", datetime(2024, 1, 10), [off("o", datetime(2024, 1, 1))])])
+    window = datetime(2024, 1, 10, 0), datetime(2024, 1, 10, 4)
+
+    def landed():
+        return J.land_window(spark, land, *window, landing.landing_schema("legacy"), tables.raw).count()
+
+    assert landed() == 2
+    os.remove(os.path.join(land, "year=2024", "month=01", "day=10", "hour=02", "part-0.json"))
+    assert landed() == 1
+    assert spark.read.parquet(tables.raw).count() == 1
+
+
+def test_late_rows_of_an_earlier_window(spark, tmp_dir):
+    """Windows 1, 2, then 1 again with a late file: the late key joins, the fresher row of window 2 stays."""
+    land, tables = os.path.join(tmp_dir, "land"), Tables(os.path.join(tmp_dir, "wh"), "legacy")
+    d = datetime(2024, 1, 10)
+    write_hour(land, datetime(2024, 1, 10, 1), [legacy("u1", d, [off("o", d)])])
+    write_hour(land, datetime(2024, 1, 10, 2), [legacy("u1", datetime(2024, 1, 11), [off("o", datetime(2024, 1, 11))])])
+    one, two = (d.replace(hour=1), d.replace(hour=2)), (d.replace(hour=2), d.replace(hour=3))
+    ids = [J.run_increment(spark, tables, land, *w).batch_id for w in (one, two)]
+    write_hour(land, datetime(2024, 1, 10, 1), [legacy("u1", d, [off("o", d)]), legacy("u9", d, [off("o", d)])])
+    ids.append(J.run_increment(spark, tables, land, *one).batch_id)
+    assert ids == [2024011002, 2024011003, 2024011004]
+    state = {r.user_id: r.start_time for r in J.read_state(spark, tables).collect()}
+    assert set(state) == {"u1", "u9"} and state["u1"] > state["u9"]
+
+
+def test_refused_version_writes_nothing(world, spark, tmp_dir):
+    _, tables, _, _, _ = world
+    before = spark.read.parquet(tables.raw_saved_offers).count()
+    with pytest.raises(ValueError):
+        J.run_saved_offers(spark, tables, os.path.join(tmp_dir, "saved"), datetime(2024, 1, 1, 4),
+                           datetime(2024, 1, 1, 6), 5)
+    assert spark.read.parquet(tables.raw_saved_offers).count() == before
+
+
+def test_stopped_init_leaves_no_rows_to_another_snapshot(world, monkeypatch):
+    spark, tables, wh, tmp_dir, dump = world
+    real = publish.write_batch
+    monkeypatch.setattr(publish, "write_batch", lambda *a: (_ for _ in ()).throw(RuntimeError("stopped")))
+    with pytest.raises(RuntimeError):
+        J.run_init(spark, tables, dump, date(2024, 2, 1))
+    monkeypatch.setattr(publish, "write_batch", real)
+    other = os.path.join(tmp_dir, "dump", "snapshot=101")
+    spark.read.parquet(dump).where("user_id = 'u2'").write.parquet(other)
+    got = J.run_init(spark, tables, other, date(2024, 2, 1))
+    assert got == {"batch_id": 101, "active_rows": 1, "inactive_rows": 0}
+    assert [r.user_id for r in J.read_state(spark, tables).collect()] == ["u2"]
 
 
 def test_rerun_of_failed_batch_is_invisible(world):
