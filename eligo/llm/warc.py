@@ -95,8 +95,11 @@ def numbered_pages(pages: DataFrame, id_col: str, url_col: str, body_col: str) -
     """(id, url, body, row, sha, n), written: row numbers are made once and read from the table from now on."""
     src = pick(pages, id=id_col, url=url_col, body=body_col).select(
         "id", F.col("url").cast("string").alias("url"), F.coalesce(F.col("body"), F.lit("")).cast("binary").alias("body"))
-    return materialize(src.withColumns({"row": F.monotonically_increasing_id(), "sha": F.sha2("body", 256),
-                                        "n": F.octet_length("body")}), "warc-rows")
+    path = scratch_path(pages.sparkSession, "warc-rows")
+    rows = src.withColumns({"row": F.monotonically_increasing_id(), "sha": F.unhex(F.sha2("body", 256)),
+                            "n": F.octet_length("body")})
+    rows.write.option("compression", "zstd").parquet(path)  # whole bodies: the denser codec halves the copy
+    return pages.sparkSession.read.parquet(path)
 
 
 def dedup_plan(rows: DataFrame, min_bytes: int) -> DataFrame:
