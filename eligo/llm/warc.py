@@ -166,7 +166,8 @@ def read_warc(index: DataFrame) -> DataFrame:
     ``page_id, refers_to`` (text), ``url, record_type, payload_bytes, payload_digest, payload`` (null for revisits).
     """
     files = index.select("file").distinct()
-    files = files.repartition("file")
+    # A stated number of partitions: the list of names is small, the files are not.
+    files = files.repartition(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")), "file")
     names = ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "payload"]
     types = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.binary()]
 
