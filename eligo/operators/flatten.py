@@ -30,7 +30,7 @@ LEGACY_PROGRESS_FIELDS = [
 ]
 LEGACY_PROGRESS = T.StructType([T.StructField(n, _S) for n in LEGACY_PROGRESS_FIELDS])
 
-# Kafka landing: typed JSON.
+# Kafka snapshots as typed frames; landed JSON is read with the same names as text.
 KAFKA_PROGRESS = T.StructType([
     T.StructField("type", _S),
     T.StructField("uses", T.LongType()),
@@ -60,6 +60,32 @@ KAFKA_SCHEMA = T.StructType([
 LEGACY_SCHEMA = T.StructType([T.StructField("payload", _S)])
 
 
+def as_text(dtype: T.DataType) -> T.DataType:
+    """The same nesting with every scalar as text: a landed ``12.5`` or ``"10"`` then reaches the
+    ``try_cast`` of staging instead of failing a typed JSON parse."""
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, as_text(f.dataType)) for f in dtype.fields])
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(as_text(dtype.elementType))
+    return _S
+
+
+KAFKA_OFFERS_TEXT = as_text(KAFKA_SCHEMA["offers"].dataType)
+
+
+def landed_fields(landed: DataFrame, origin: str) -> DataFrame:
+    """Landed lines (``line``, ``corrupt``) -> the feed's columns, scalars as text.  Corrupt lines
+    stay behind in raw, where the job counts them."""
+    lines = landed.where(~F.col("corrupt"))
+    if origin == "legacy":
+        return lines.select(F.json_tuple("line", "payload").alias("payload"))
+    fields = lines.select(F.json_tuple("line", *KAFKA_SCHEMA.fieldNames())
+                          .alias("user_id", "updated_timestamp_ms", "offers_text"))
+    return fields.select("user_id", "updated_timestamp_ms",
+                         F.when(F.ltrim("offers_text").startswith("["),
+                                F.from_json("offers_text", KAFKA_OFFERS_TEXT)).alias("offers"))
+
+
 def legacy(df: DataFrame) -> DataFrame:
     """``payload`` JSON text -> FLAT_COLS.
 
@@ -110,7 +136,7 @@ def legacy(df: DataFrame) -> DataFrame:
 
 
 def kafka(df: DataFrame) -> DataFrame:
-    """Typed kafka snapshot (``user_id, updated_timestamp_ms, offers``) -> FLAT_COLS.
+    """Kafka snapshot (``user_id, updated_timestamp_ms, offers``; typed or text) -> FLAT_COLS.
 
     Kafka rows carry no bandit or experiment status; both are the text
     ``'NULL'`` so the two origins share one layout.

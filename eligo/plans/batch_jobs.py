@@ -47,25 +47,26 @@ def next_version(last: int | None, wanted: int | None, end: datetime) -> int:
     return wanted
 
 
-def replace_hours(spark: SparkSession, raw: DataFrame, raw_path: str, start: datetime, end: datetime) -> None:
+def replace_hours(spark: SparkSession, raw: DataFrame, raw_path: str, start: datetime, end: datetime) -> bool:
     """Write a window's hours into a raw table; hours of the window that no longer
-    land are removed, all other hours stay."""
+    land are removed, all other hours stay.  Returns whether the window had landed before."""
     def hours(df):   # at most the window's hours
         return {tuple(r) for r in df.select(*PARTITION_COLS).distinct().collect()}
 
     before = landing.read_hours(spark, raw_path, start, end, "parquet")
-    stale = hours(before) - hours(raw) if before is not None else set()
+    landed = hours(before) if before is not None else set()
+    stale = landed - hours(raw) if landed else set()
     write.overwrite_partitions(raw, raw_path, PARTITION_COLS)
     write.drop_partitions(spark, raw_path, [
         "/".join(f"{c}={v}" for c, v in zip(PARTITION_COLS, h)) for h in sorted(stale)])
+    return bool(landed)
 
 
 def land_window(spark: SparkSession, base: str, start: datetime, end: datetime,
-                schema, raw_path: str) -> DataFrame:
-    """Copy one hour window of the landing into the raw table (only that
-    window's hours are replaced) and return the window read back from it."""
-    df = landing.read_window(spark, base, start, end, schema)
-    raw = df.select(*landing.raw_columns(df))
+                raw_path: str) -> DataFrame:
+    """Copy one hour window of the landing into the raw table, every line whole (only that
+    window's hours are replaced), and return the window read back from it."""
+    raw = landing.read_window(spark, base, start, end)
     replace_hours(spark, raw, raw_path, start, end)
     back = landing.read_hours(spark, raw_path, start, end, "parquet")
     return back if back is not None else raw.limit(0)
@@ -79,12 +80,20 @@ def run_saved_offers(spark: SparkSession, tables: Tables, base: str,
     version = next_version(previous, version, end)      # refused before anything is written
     df = landing.read_window(spark, base, start, end, landing.SAVED_OFFER_LANDING_SCHEMA)
     raw = df.select("id", F.col("eligibilityRequirement.latestEndTime").alias("latestEndTime"),
-                    "startTime", "endTime", *PARTITION_COLS)
-    replace_hours(spark, raw, tables.raw_saved_offers, start, end)
-
-    staged = offers.stage_saved_offers(spark.read.parquet(tables.raw_saved_offers))
-    write.overwrite(staged, tables.stg_saved_offers)
-    source = spark.read.parquet(tables.stg_saved_offers)
+                    "startTime", "endTime", "line", "corrupt", *PARTITION_COLS)
+    landed_before = replace_hours(spark, raw, tables.raw_saved_offers, start, end)
+
+    # One stage for each version.  A window on new hours is merged into the last stage, so an hourly
+    # run reads its own hours only; one that replaces hours rebuilds the stage from all of raw.
+    window = landing.read_hours(spark, tables.raw_saved_offers, start, end, "parquet")
+    if previous is None or landed_before:
+        staged = offers.stage_saved_offers(spark.read.schema(raw.schema).parquet(tables.raw_saved_offers))
+    else:
+        last_stage = publish.read_batch(spark, tables.stg_saved_offers, previous, SAVED_OFFER_COLS)
+        staged = offers.restage_saved_offers(last_stage, window if window is not None else raw.limit(0))
+    rows_staged = publish.write_version(staged, tables.stg_saved_offers, version)
+    corrupt = window.where("corrupt").count() if window is not None else 0
+    source = publish.read_batch(spark, tables.stg_saved_offers, version, SAVED_OFFER_COLS)
     dups = merge.duplicate_keys(source.where(F.col("offer_id").isNotNull()), "offer_id").limit(1).collect()
     if dups:
         raise ValueError(f"staged saved offers repeat an offer id: {dups}")
@@ -97,7 +106,8 @@ def run_saved_offers(spark: SparkSession, tables: Tables, base: str,
                                 ["start_time", "end_time", "latest_end_time"])
     rows = publish.write_version(merged.select(*SAVED_OFFER_COLS), tables.saved_offers, version)
     publish.commit_version(spark, tables.saved_offers_log, version, rows, previous,
-                           f"window {start:%Y-%m-%d %H} -> {end:%Y-%m-%d %H}")
+                           f"window {start:%Y-%m-%d %H} -> {end:%Y-%m-%d %H}; "
+                           f"{rows_staged} offers staged; corrupt lines {corrupt}")
     return rows
 
 
@@ -157,6 +167,7 @@ class IncrementResult:
     previous_batch_id: int | None
     audit: publish.BatchAudit
     rule_counts: dict
+    corrupt_lines: int = 0
 
 
 def run_increment(spark: SparkSession, tables: Tables, base: str, start: datetime,
@@ -170,8 +181,10 @@ def run_increment(spark: SparkSession, tables: Tables, base: str, start: datetim
     previous_id = publish.last_logged_batch(spark, tables.batch_log)
     batch_id = next_version(previous_id, batch_id, end)
 
-    window = land_window(spark, base, start, end, landing.landing_schema(tables.origin), tables.raw)
-    staged = latest_per_key(flatten.by_origin(window, tables.origin), tiebreak)
+    window = land_window(spark, base, start, end, tables.raw)
+    corrupt = window.where("corrupt").count()
+    fields = flatten.landed_fields(window, tables.origin)
+    staged = latest_per_key(flatten.by_origin(fields, tables.origin), tiebreak)
     write.overwrite(staged, tables.stg)
     incr = spark.read.parquet(tables.stg)
 
@@ -191,8 +204,8 @@ def run_increment(spark: SparkSession, tables: Tables, base: str, start: datetim
     counts = {r["rule"]: r["n"] for r in
               nb.pairs.groupBy("rule").agg(F.count(F.lit(1)).alias("n")).collect()}
     publish.publish(spark, tables.batch_log, audit, previous_id,
-                    f"window {start:%Y-%m-%d %H} -> {end:%Y-%m-%d %H}; rules {counts}")
-    return IncrementResult(batch_id, previous_id, audit, counts)
+                    f"window {start:%Y-%m-%d %H} -> {end:%Y-%m-%d %H}; rules {counts}; corrupt lines {corrupt}")
+    return IncrementResult(batch_id, previous_id, audit, counts, corrupt)
 
 
 def read_state(spark: SparkSession, tables: Tables) -> DataFrame | None:

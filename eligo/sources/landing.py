@@ -3,35 +3,39 @@
 Layout: ``<base>/year=YYYY/month=MM/day=DD/hour=HH/*.json``.  Only the
 window's days are listed, and the window is a predicate on the discovered
 partition columns, so only the hours inside the window are read; hours that
-are missing are simply empty.  The schema is given, not inferred (inference is
-a full extra pass over the JSON).
+are missing are simply empty.  Lines are read as text and kept whole, so no field
+is cut and no broken line is lost; nothing is inferred (an extra pass over the JSON).
 """
 
 from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from eligo.functions.paths import hour_window
-from eligo.operators.flatten import KAFKA_SCHEMA, LEGACY_SCHEMA
 from eligo.schemas import PARTITION_COLS
 
+# The saved-offer feed's columns, as text: staging types them.
 SAVED_OFFER_LANDING_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()),
-    T.StructField("startTime", T.LongType()),
-    T.StructField("endTime", T.LongType()),
+    T.StructField("startTime", T.StringType()),
+    T.StructField("endTime", T.StringType()),
     T.StructField("eligibilityRequirement", T.StructType([
-        T.StructField("latestEndTime", T.LongType()),
+        T.StructField("latestEndTime", T.StringType()),
     ])),
 ])
+_CORRUPT = "_corrupt_record"
 
 
-def landing_schema(origin: str) -> T.StructType:
-    return {"legacy": LEGACY_SCHEMA, "kafka": KAFKA_SCHEMA}[origin]
+def is_corrupt(line: str = "line") -> Column:
+    """True where a landed line is no JSON object, by the rule of Spark's own JSON reader."""
+    parsed = F.from_json(line, f"{_CORRUPT} STRING", {"mode": "PERMISSIVE",
+                                                      "columnNameOfCorruptRecord": _CORRUPT})
+    return parsed.isNull() | parsed[_CORRUPT].isNotNull()
 
 
 def window_days(start: datetime, end: datetime) -> list[str]:
@@ -51,8 +55,11 @@ def window_days(start: datetime, end: datetime) -> list[str]:
 
 
 def read_window(spark: SparkSession, base: str, start: datetime, end: datetime,
-                schema: T.StructType) -> DataFrame:
-    """Rows landed in hours ``start <= hour < end`` plus ``file_path``, year..hour.
+                schema: T.StructType | None = None) -> DataFrame:
+    """Everything landed in hours ``start <= hour < end``: one row per line, with ``line`` (the
+    text as landed, unknown fields included), ``corrupt``, ``file_path`` and year..hour.  With a
+    ``schema`` its columns are parsed from the line and come first (NULL for a corrupt line).
+    Blank lines are no rows.
 
     Only the window's day directories are listed (one glob with an alternative
     per day), so the cost of listing does not grow with the landing's history;
@@ -61,12 +68,20 @@ def read_window(spark: SparkSession, base: str, start: datetime, end: datetime,
     Windows of any length are read this way, so other directories beside the
     landing's years never matter.
     """
-    df = read_hours(spark, base, start, end, "json", schema)
+    df = read_hours(spark, base, start, end, "text")
     if df is None:
         parts = [T.StructField(c, T.IntegerType()) for c in PARTITION_COLS]
-        empty = spark.createDataFrame([], T.StructType(schema.fields + parts))
-        return empty.select("*", F.lit(None).cast("string").alias("file_path"))
-    return df.select("*", F.col("_metadata.file_path").alias("file_path"))
+        df = spark.createDataFrame([], T.StructType([T.StructField("value", T.StringType()), *parts]))
+        file_path = F.lit(None).cast("string")
+    else:
+        file_path = F.col("_metadata.file_path")
+    lines = (df.where(F.trim("value") != "")
+             .select(F.col("value").alias("line"), is_corrupt("value").alias("corrupt"),
+                     file_path.alias("file_path"), *PARTITION_COLS))
+    if schema is None:
+        return lines
+    named = lines.withColumn("_f", F.when(~F.col("corrupt"), F.from_json("line", schema)))
+    return named.select("_f.*", *lines.columns)
 
 
 def read_hours(spark: SparkSession, base: str, start: datetime, end: datetime,
@@ -76,8 +91,6 @@ def read_hours(spark: SparkSession, base: str, start: datetime, end: datetime,
     base = base.rstrip("/")
     path = f"{base}/{{{','.join(window_days(start, end))}}}/hour=*"
     reader = spark.read.format(fmt).option("basePath", base)
-    if schema is not None:
-        reader = reader.schema(schema)
     try:
         df = reader.load(path)
     except AnalysisException as e:
@@ -85,8 +98,3 @@ def read_hours(spark: SparkSession, base: str, start: datetime, end: datetime,
             raise
         return None
     return df.where(hour_window(start, end))
-
-
-def raw_columns(df: DataFrame) -> list[str]:
-    data = [c for c in df.columns if c not in PARTITION_COLS and c != "file_path"]
-    return data + ["file_path"] + PARTITION_COLS

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from eligo.plans import batch_jobs as J
 from eligo.schemas import STATE_COLS, Tables
 from eligo.sinks import publish
-from eligo.sources import landing
 
 MS_H = 3_600_000
 
@@ -122,7 +121,7 @@ def test_hours_that_no_longer_land_are_removed(spark, tmp_dir):
     window = datetime(2024, 1, 10, 0), datetime(2024, 1, 10, 4)
 
     def landed():
-        return J.land_window(spark, land, *window, landing.landing_schema("legacy"), tables.raw).count()
+        return J.land_window(spark, land, *window, tables.raw).count()
 
     assert landed() == 2
     os.remove(os.path.join(land, "year=2024", "month=01", "day=10", "hour=02", "part-0.json"))
