@@ -272,6 +272,34 @@ def _legacy_flat_cte() -> str:
 )"""
 
 
+def _kafka_job_sql() -> str:
+    """The state after both windows; the first window's second run carries every row into batch 3."""
+    flat = f"""flat AS (
+  WITH f AS (SELECT * REPLACE (progress_quantity + 0.5 AS progress_quantity)
+             FROM ({_flatten_oracle(legacy=False)}) x)
+  {_TYPED_FROM_FLAT.strip()} FROM f
+)"""
+    cols = ", ".join(c for c in STATE_COLS if c != "batch_id")
+    return f"""{_ctes_state(flat)}
+SELECT {cols}, CAST({S.NEXT_BATCH_ID + 1} AS BIGINT) AS batch_id
+FROM (SELECT {cols} FROM updates UNION ALL SELECT {cols} FROM carried) s"""
+
+
+def _init_job_sql() -> str:
+    cols = ", ".join({"offer_id": "d.offer_id", "expiry_status":
+                      f"CASE WHEN CAST(o.latest_end_time AS DATE) + 91 < DATE '{S.INIT_AS_OF}' "
+                      "THEN 'expired' ELSE 'active' END AS expiry_status"}.get(c, f"d.{c}") for c in STATE_COLS)
+    return f"""{_ctes_state()},
+{_RAW_OFFERS},
+{_offer_stage("st", "true")},
+dumped AS (
+  SELECT * REPLACE (CAST(CAST(user_id AS BIGINT) * 1000 + CAST(offer_id AS BIGINT) AS VARCHAR) AS offer_id)
+  FROM hist
+)
+SELECT {cols} FROM dumped d
+LEFT JOIN (SELECT offer_id, max(latest_end_time) AS latest_end_time FROM st GROUP BY offer_id) o USING (offer_id)"""
+
+
 def _stage_from_flat(flat_sql: str) -> str:
     """Typing and latest-version selection over a flattened layout, as staged."""
     return f"""WITH f AS ({flat_sql}),
@@ -388,6 +416,14 @@ SELECT offer_id, start_time, end_time, latest_end_time, year, month, day, hour F
 {_state_select('updates')}
 UNION ALL
 {_state_select('carried')}""",
+        "q_kafka_job": _kafka_job_sql(),
+        "q_init_job": _init_job_sql(),
+        "q_landing_window": f"""SELECT {_PARTS},
+       count(*) + count(*) FILTER (event_type = 'error') AS n_lines,
+       count(*) FILTER (event_type = 'error') AS n_corrupt
+FROM events
+WHERE date_trunc('hour', ts) >= TIMESTAMP '{S.WINDOW_START}:00:00' AND ts < TIMESTAMP '{S.WINDOW_END}:00:00'
+GROUP BY ALL""",
         "q_expiry_status": f"{_PART_EXPIRY}\nSELECT * FROM st",
         "q_expiry_split": f"""{_PART_EXPIRY}
 SELECT 'active' AS side, count(*) AS n_rows, CAST(sum(p_partkey) AS BIGINT) AS key_checksum

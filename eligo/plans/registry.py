@@ -247,6 +247,60 @@ def q_eligibility_job(spark, sf_dir):
     return batch_jobs.read_state(spark, tables)
 
 
+def q_kafka_job(spark, sf_dir):
+    """The incremental job over landed kafka JSON, untidy lines included (``standins.kafka_landing``):
+    two windows, then the first one again, which brings nothing fresher; the published state is
+    read back."""
+    from eligo.plans import batch_jobs
+    from eligo.schemas import Tables
+    root = scratch_path(spark, "kafka_job")
+    land = f"{root}/kafka-stream"
+    (S.kafka_landing(_events(spark, sf_dir)).repartition("year", "month", "day")
+     .write.partitionBy("year", "month", "day", "hour").text(land))
+    tables = Tables.for_raw_path(f"{root}/warehouse", land)
+    cut = datetime.strptime(S.CUT, "%Y-%m-%d %H:%M:%S")
+    first, last = S.data_span(_events(spark, sf_dir))
+    batch_jobs.run_increment(spark, tables, land, first, cut, S.HIST_BATCH_ID)
+    batch_jobs.run_increment(spark, tables, land, cut, last, S.NEXT_BATCH_ID)
+    batch_jobs.run_increment(spark, tables, land, first, cut, S.NEXT_BATCH_ID + 1)
+    return batch_jobs.read_state(spark, tables)
+
+
+def q_init_job(spark, sf_dir):
+    """The init job end to end: the history state as a Parquet dump (offer ids as saved offers spell
+    them), the dimension published by the saved-offers job, then dump -> expiry -> active and
+    inactive batch, both read back."""
+    from eligo.plans import batch_jobs
+    from eligo.schemas import STATE_COLS, Tables
+    from eligo.sinks import publish
+    root = scratch_path(spark, "init_job")
+    land, dump = f"{root}/landing", f"{root}/dump/snapshot={S.HIST_BATCH_ID}"
+    events = _events(spark, sf_dir)
+    (S.saved_offer_landing(events).repartition("year", "month", "day")
+     .write.partitionBy("year", "month", "day", "hour").json(land))
+    offer_id = (F.col("user_id").cast("bigint") * 1000 + F.col("offer_id").cast("bigint")).cast("string")
+    (_history_state(_staged_pair(spark, sf_dir)[0]).withColumn("offer_id", offer_id)
+     .drop("expiry_status", "batch_id").write.parquet(dump))
+    tables = Tables(f"{root}/warehouse", "legacy")
+    batch_jobs.run_saved_offers(spark, tables, land, *S.data_span(events))
+    batch_jobs.run_init(spark, tables, dump, date.fromisoformat(S.INIT_AS_OF))
+    active, inactive = (publish.read_batch(spark, path, S.HIST_BATCH_ID)
+                        for path in (tables.cs_active, tables.cs_inactive))
+    return active.unionByName(inactive).select(*STATE_COLS)
+
+
+def q_landing_window(spark, sf_dir):
+    """A written landing read for one hour window: every line of its hours, whole."""
+    from eligo.sources import landing
+    land = f"{scratch_path(spark, 'landing_window')}/landing"
+    (S.kafka_landing(_events(spark, sf_dir)).repartition("year", "month", "day")
+     .write.partitionBy("year", "month", "day", "hour").text(land))
+    win = landing.read_window(spark, land, datetime.strptime(S.WINDOW_START, "%Y-%m-%d %H"),
+                              datetime.strptime(S.WINDOW_END, "%Y-%m-%d %H"))
+    return win.groupBy("year", "month", "day", "hour").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.count_if("corrupt").alias("n_corrupt"))
+
+
 def _part_expiry(spark, sf_dir):
     part = S.table(spark, sf_dir, "part")
     li = S.table(spark, sf_dir, "lineitem")
@@ -306,6 +360,9 @@ QUERIES: dict[str, Query] = {
     "q_offer_merge": q_offer_merge,
     "q_saved_offers_job": q_saved_offers_job,
     "q_eligibility_job": q_eligibility_job,
+    "q_kafka_job": q_kafka_job,
+    "q_init_job": q_init_job,
+    "q_landing_window": q_landing_window,
     "q_expiry_status": q_expiry_status,
     "q_expiry_split": q_expiry_split,
     "q_clustered_rows": q_clustered_rows,

@@ -31,6 +31,7 @@ END_OFFSET_MS = 30 * DAY_MS
 WINDOW_START = "2024-01-15 20"
 WINDOW_END = "2024-01-16 03"
 EXPIRY_AS_OF = "2001-08-01"
+INIT_AS_OF = "2024-06-01"
 PATH_ROOT = "s3://landing/offers/"
 
 
@@ -167,6 +168,10 @@ def _landing_hour_text() -> list:
 
 def kafka_snapshots(events: DataFrame) -> DataFrame:
     """events -> typed kafka landing rows, two offers per event."""
+    return events.select(*_kafka_columns())
+
+
+def _kafka_columns() -> list[Column]:
     ms = ts_to_epoch_ms("ts")
     k = offer_k().cast("int")
 
@@ -194,11 +199,28 @@ def kafka_snapshots(events: DataFrame) -> DataFrame:
             ).alias("progress"),
         )
 
-    return events.select(
+    return [
         F.col("user_id").cast("string").alias("user_id"),
         ms.alias("updated_timestamp_ms"),
         F.array(offer(k), offer((k + 1) % 100)).alias("offers"),
-    )
+    ]
+
+
+def kafka_landing(events: DataFrame) -> DataFrame:
+    """events -> kafka landing lines (``value``) as an untidy feed sends them: quantities with a
+    decimal (k mod 7 and a half), epochs as text for views, a field no schema names, and for every
+    error event a second line that breaks off."""
+    typed = events.select("event_type", *_landing_hour_text(), F.struct(*_kafka_columns()).alias("s"))
+    halves = F.transform("s.offers", lambda o: o.withField(
+        "progress", o["progress"].withField("quantity", o["progress"]["quantity"] + F.lit(0.5))))
+
+    def line(updated):
+        return F.to_json(F.struct(F.col("s.user_id").alias("user_id"), updated.alias("updated_timestamp_ms"),
+                                  halves.alias("offers"), F.lit("h1").alias("source_host")))
+    ms = F.col("s.updated_timestamp_ms")
+    whole = F.when(F.col("event_type") == "view", line(ms.cast("string"))).otherwise(line(ms))
+    lines = F.when(F.col("event_type") == "error", F.array(whole, F.substring(whole, 1, 40))).otherwise(F.array(whole))
+    return typed.select(F.explode(lines).alias("value"), "year", "month", "day", "hour")
 
 
 def saved_offer_landing(events: DataFrame) -> DataFrame:
