@@ -10,6 +10,7 @@ invisible, and a re-run overwrites it.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,6 @@ from pyspark.sql import types as T
 
 from eligo.operators.joins import DEFAULT_BROADCAST_BYTES, key_set
 from eligo.schemas import KEY_COLS, STATE_COLS
-from eligo.session import scratch_path
 from eligo.sources.tables import read_parquet_or_none
 
 LOG_SCHEMA = T.StructType([
@@ -104,21 +104,18 @@ class BatchAudit:
 
 
 def _key_profile(df: DataFrame, ks) -> tuple[int, int, int]:
-    """(rows, rows whose key is in the key set, rows with a NULL key) in one pass.
+    """(rows, rows whose key is in the key set, rows with a NULL key).
 
-    A left join against the (broadcast, when measured small) key set marks the
-    hits; one aggregate counts all three.
+    Rows with a NULL key are in no key set; they are counted before the join and stay out
+    of it, so past the broadcast limit they do not all hash to one task.
     """
-    marked = ks.frame.select(*ks.keys, F.lit(1).alias("_hit"))
     any_null = F.lit(False)
     for k in ks.keys:
         any_null = any_null | F.col(k).isNull()
-    r = (df.select(*ks.keys).join(marked, list(ks.keys), "left")
-         .agg(F.count(F.lit(1)).alias("n"),
-              F.coalesce(F.sum("_hit"), F.lit(0)).alias("hits"),
-              F.sum(F.when(any_null, 1).otherwise(0)).alias("nulls"))
-         .first())
-    return int(r["n"]), int(r["hits"]), int(r["nulls"] or 0)
+    keys = df.select(*ks.keys)
+    r = keys.agg(F.count(F.lit(1)).alias("n"), F.count_if(any_null).alias("nulls")).first()
+    hits = keys.where(~any_null).join(ks.frame.select(*ks.keys), list(ks.keys), "left_semi").count()
+    return int(r["n"]), hits, int(r["nulls"])
 
 
 def audit_batch(spark: SparkSession, state_path: str, batch_id: int,
@@ -183,9 +180,11 @@ def compact(spark: SparkSession, table_path: str, partition_cols: list[str],
     One pass for all selected partitions (``where`` is a predicate on the
     partition columns, so the read is pruned): the rows are range-partitioned
     on (partition columns, ``cluster_by``) into about ``rows / rows_per_file``
-    files, written to the shared scratch folder, compared partition by
-    partition (rows and checksum) with the original, and only then swapped in
-    by a dynamic partition overwrite.  Returns the number of rows rewritten.
+    files, written beside the table (moves need one file system), compared partition by
+    partition (rows and checksum) with the original, and only then moved into
+    place as they are, so the clustering stays; the old directories are kept
+    beside the table too (``<table>_compact-<id>-old``).  Returns the number of rows
+    rewritten.
     """
     src = spark.read.parquet(table_path.rstrip("/"))
     if where is not None:
@@ -194,7 +193,7 @@ def compact(spark: SparkSession, table_path: str, partition_cols: list[str],
     if rows == 0:
         return 0
     n_files = max(1, -(-rows // rows_per_file))
-    staged = scratch_path(spark, "compact")
+    staged = f"{table_path.rstrip('/')}_compact-{uuid.uuid4().hex}"
     (src.repartitionByRange(n_files, *partition_cols, *cluster_by)
      .sortWithinPartitions(*partition_cols, *cluster_by)
      .write.partitionBy(*partition_cols).parquet(staged))
@@ -206,6 +205,24 @@ def compact(spark: SparkSession, table_path: str, partition_cols: list[str],
     bad = diff.limit(5).collect()
     if bad:
         raise AuditError(f"compaction of {table_path} changed partitions: {bad}")
-    (restaged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_cols).parquet(table_path))
+    swap_partitions(spark, staged, table_path, staged + "-old", len(partition_cols))
     return rows
+
+
+def swap_partitions(spark: SparkSession, staged: str, table_path: str, old: str, depth: int) -> None:
+    """Move each partition directory of ``staged`` into the table, its old directory to ``old``.
+
+    File-system moves of directories only (one listing, two moves a partition); tables that are
+    read while they are compacted belong behind a batch log."""
+    jvm = spark.sparkContext._jvm
+    Path = jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    base = Path(staged)
+    fs = base.getFileSystem(conf)
+    base = fs.makeQualified(base).toString()
+    for status in fs.globStatus(Path(base + "/*=*" * depth)):
+        part = status.getPath().toString()[len(base):].lstrip("/")
+        target, kept = Path(f"{table_path.rstrip('/')}/{part}"), Path(f"{old}/{part}")
+        fs.mkdirs(kept.getParent())
+        if not fs.rename(target, kept) or not fs.rename(status.getPath(), target):
+            raise AuditError(f"compaction of {table_path}: {part} could not be moved; its files are in {old} and {staged}")
