@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eligo.operators.joins import (
-    DEFAULT_BROADCAST_BYTES, KeySet, anti_join, key_set, semi_join,
+    DEFAULT_BROADCAST_BYTES, KeySet, anti_join, key_set, semi_join, split_null_keys,
 )
 from eligo.schemas import EXPIRY_ACTIVE, KEY_COLS, STAGE_COLS, STATE_COLS, STATE_SCHEMA
 
@@ -78,13 +78,15 @@ def label_pairs(incr: DataFrame, prev: DataFrame | None) -> DataFrame:
     no shuffle is spent on it).
     """
     incr = incr.select(*STAGE_COLS)
+    nothing = ["*", "CAST(NULL AS boolean) AS _h",
+               *[f"CAST(NULL AS {STATE_SCHEMA[k].dataType.simpleString()}) AS {v}" for k, v in _H.items()]]
     if prev is None:
-        joined = incr.selectExpr("*", "CAST(NULL AS boolean) AS _h",
-                                 *[f"CAST(NULL AS {STATE_SCHEMA[k].dataType.simpleString()}) AS {v}"
-                                   for k, v in _H.items()])
+        joined = incr.selectExpr(*nothing)
     else:
         h = prev.selectExpr(*KEY_COLS, "true AS _h", *[f"{k} AS {v}" for k, v in _H.items()])
-        joined = incr.join(h, KEY_COLS, "left")
+        # a NULL key matches nothing: those rows stay out of the join, where they would share one task
+        keyed, unkeyed = split_null_keys(incr, KEY_COLS)
+        joined = keyed.join(h, KEY_COLS, "left").unionByName(unkeyed.selectExpr(*nothing))
     out = joined.selectExpr(*STAGE_COLS, *_PAIR_HIST_COLS, f"{_LABEL_SQL} AS rule")
     return out if prev is None else out.dropDuplicates()
 

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eligo.session import materialize
+
 # Defaults; each caller may pass its own.
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 DEFAULT_ROWS_PER_TASK = 5_000_000
@@ -23,6 +25,7 @@ _FIXED_BYTES = {
     T.DoubleType: 8, T.DecimalType: 16, T.BooleanType: 1, T.DateType: 4,
     T.TimestampType: 8, T.TimestampNTZType: 8,
 }
+_LEAST_HOT_BYTES = 4096   # some hot keys always fit
 _OTHER_BYTES = 64   # nested types: a flat guess per value
 
 
@@ -60,7 +63,7 @@ def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -
     return F.broadcast(df) if estimate_size(df).bytes <= max_bytes else None
 
 
-def _split_null_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+def split_null_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | F.col(k).isNull()
@@ -109,7 +112,7 @@ def anti_join(big: DataFrame, keys_df: "DataFrame | KeySet", keys: list[str],
     ks = _as_key_set(keys_df, keys, max_broadcast_bytes)
     if ks.broadcast:
         return big.join(ks.frame, list(ks.keys), "left_anti")
-    keyed, unkeyed = _split_null_keys(big, list(ks.keys))
+    keyed, unkeyed = split_null_keys(big, list(ks.keys))
     return keyed.join(ks.frame, list(ks.keys), "left_anti").unionByName(unkeyed)
 
 
@@ -122,18 +125,24 @@ def lookup_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
     1. Dimension measured small enough: broadcast it, no shuffle of ``fact``.
     2. Otherwise a shuffle join in which every key with more than
        ``rows_per_task`` fact rows is salted: its fact rows spread over
-       ``ceil(count / rows_per_task)`` buckets by a hash of the whole row (stable
-       when a task is re-run), and its dimension row is copied to each bucket.
-       The hot-key list is bounded by ``rows / rows_per_task`` entries.
+       ``ceil(count / rows_per_task)`` buckets by a hash of the row and of the task it
+       is read in (stable when a task is re-run; copies of a row spread as well), and its
+       dimension row is copied to each bucket.  The hot-key list is bounded by
+       ``rows / rows_per_task`` entries.  Should it not fit ``hot_keys_broadcast_bytes``,
+       ``rows_per_task`` is doubled until it does, so the hottest keys are always split.
+
+    The dimension and the hot-key list are stored once; measuring and joining both read
+    that copy.
     """
     if how not in ("left", "inner"):
         raise ValueError("lookup_join supports left and inner joins")
+    dim = materialize(dim, "lookup-dim")
     b = bounded_broadcast(dim, max_broadcast_bytes)
     if b is not None:
         return fact.join(b, key, how)
 
     # A NULL key matches nothing: those rows skip the shuffle (and the salting).
-    fact, unkeyed = _split_null_keys(fact, [key])
+    fact, unkeyed = split_null_keys(fact, [key])
     if how == "left":
         dim_cols = [F.lit(None).cast(f.dataType).alias(f.name)
                     for f in dim.schema.fields if f.name != key]
@@ -144,14 +153,15 @@ def lookup_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
     def _with_unkeyed(joined: DataFrame) -> DataFrame:
         return joined if unkeyed is None else joined.unionByName(unkeyed)
 
-    counts = fact.groupBy(key).count().where(F.col("count") > rows_per_task)
-    hot = counts.select(
-        key, F.ceil(F.col("count") / F.lit(rows_per_task)).cast("int").alias("_buckets"))
-    hot_b = bounded_broadcast(hot, hot_keys_broadcast_bytes)
-    if hot_b is None:  # more hot keys than fit in memory: leave the split to AQE
-        return _with_unkeyed(fact.join(dim, key, how))
+    counts = materialize(fact.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+                         .where(F.col("_n") > rows_per_task), "lookup-hot-keys")
+    hot = counts
+    while estimate_size(hot).bytes > max(hot_keys_broadcast_bytes, _LEAST_HOT_BYTES):
+        rows_per_task *= 2
+        hot = counts.where(F.col("_n") > rows_per_task)
+    hot_b = F.broadcast(hot.select(key, F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("int").alias("_buckets")))
 
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns])
+    row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in fact.columns])
     salted_fact = (fact.join(hot_b, key, "left")
                    .withColumn("_salt", F.when(F.col("_buckets").isNull(), F.lit(0))
                                .otherwise(F.pmod(row_hash, F.col("_buckets"))))

@@ -41,35 +41,36 @@ def latest_per_key(flat: DataFrame, tiebreak: bool = False) -> DataFrame:
     """Keep the rows at the latest ``updated_ts`` of each key, all ties included,
     then collapse ties that differ only in ``uses`` to their largest ``uses``.
 
-    Order of work, chosen so that no key can pile up in one task:
+    Order of work, chosen so that old versions never cross the network and no key can
+    pile up in one task:
 
-    1. group by all staged columns but ``uses`` (MAX(uses)).  Partial
-       aggregation runs before the shuffle, so repeated copies of a snapshot
-       collapse map-side; the shuffle hashes on all grouping columns, so the
-       versions of one busy key spread over many tasks.
-    2. ``rank() = 1`` over (user_id, offer_id) by ``updated``.  Its map-side
-       ``WindowGroupLimit`` keeps only each task's latest rows per key, so the
-       second shuffle carries about one row per key and task, and a key's task
-       receives little more than the rows it outputs.
+    1. ``rank() = 1`` by ``updated`` over (user_id, offer_id, input task).  Its map-side
+       ``WindowGroupLimit`` drops older versions before the shuffle, and the task in
+       the key spreads a busy key over as many tasks as it came from.
+    2. On that partitioning, copies collapse: one row for each distinct staged row
+       (but ``uses``: MAX) and input task.
+    3. ``rank() = 1`` over (user_id, offer_id), again limited map-side: a key's task
+       receives at most its distinct latest rows from each input task.  The final
+       MAX(uses) uses this partitioning, so there is no third shuffle.
 
-    The rank filter only compares a row's ``updated`` with its key's latest, and
-    grouping keeps every (key, updated) pair, so grouping first gives the same
-    rows as ranking first.  Ties that differ in more than ``uses`` stay separate
-    rows, as staged.
+    A row that is not the latest of its task is not the latest of its key, and ties
+    that differ in more than ``uses`` stay separate rows, as staged.
 
     ``tiebreak=True`` (off by default) keeps one row per key instead: the
     largest in a fixed order of all columns, so re-runs pick the same row.
     """
     staged = flat.selectExpr(*typed_stage_columns())
     group_cols = [c for c in STAGE_COLS if c != "uses"]
-    collapsed = staged.groupBy(*group_cols).agg(F.max("uses").alias("uses"))
-    order = [F.col("updated").desc()]
-    rank = F.rank
-    if tiebreak:
-        order += [F.col(c).desc_nulls_last() for c in STAGE_COLS
-                  if c not in ("user_id", "offer_id", "updated")]
-        rank = F.row_number
-    w = Window.partitionBy("user_id", "offer_id").orderBy(*order)
-    return (collapsed.withColumn("_rank", rank().over(w))
-            .where(F.col("_rank") == 1)
-            .select(*STAGE_COLS))
+    keys = ["user_id", "offer_id"]
+    by_task = Window.partitionBy(*keys, "_task").orderBy(F.col("updated").desc())
+    collapsed = (staged.withColumn("_task", F.spark_partition_id())
+                 .withColumn("_rank", F.rank().over(by_task)).where(F.col("_rank") == 1)
+                 .groupBy(*group_cols, "_task").agg(F.max("uses").alias("uses")))
+    over_key = Window.partitionBy(*keys).orderBy(F.col("updated").desc())
+    latest = (collapsed.withColumn("_rank", F.rank().over(over_key)).where(F.col("_rank") == 1)
+              .groupBy(*group_cols).agg(F.max("uses").alias("uses")))
+    if not tiebreak:
+        return latest.select(*STAGE_COLS)
+    order = [F.col(c).desc_nulls_last() for c in STAGE_COLS if c not in (*keys, "updated")]
+    return (latest.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+            .where(F.col("_rank") == 1).select(*STAGE_COLS))

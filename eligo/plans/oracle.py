@@ -425,6 +425,9 @@ FROM events
 WHERE date_trunc('hour', ts) >= TIMESTAMP '{S.WINDOW_START}:00:00' AND ts < TIMESTAMP '{S.WINDOW_END}:00:00'
 GROUP BY ALL""",
         "q_expiry_status": f"{_PART_EXPIRY}\nSELECT * FROM st",
+        "q_expiry_salted": f"""{_PART_EXPIRY}
+SELECT l_orderkey, l_linenumber, l_partkey AS p_partkey, coalesce(st.expiry_status, 'active') AS expiry_status
+FROM lineitem LEFT JOIN st ON (l_partkey = st.p_partkey)""",
         "q_expiry_split": f"""{_PART_EXPIRY}
 SELECT 'active' AS side, count(*) AS n_rows, CAST(sum(p_partkey) AS BIGINT) AS key_checksum
 FROM st WHERE expiry_status <> 'expired'

@@ -301,20 +301,31 @@ def q_landing_window(spark, sf_dir):
         F.count(F.lit(1)).alias("n_lines"), F.count_if("corrupt").alias("n_corrupt"))
 
 
-def _part_expiry(spark, sf_dir):
-    part = S.table(spark, sf_dir, "part")
-    li = S.table(spark, sf_dir, "lineitem")
+def _part_end_times(li):
     # a returned line's end is open (NULL) and loses to any known one; all lines are aggregated
     end = F.when(F.col("l_returnflag") != "R", F.col("l_shipdate"))
-    dim = li.select(F.col("l_partkey").alias("p_partkey"), end.alias("latest_end_time"))
-    as_of = date.fromisoformat(S.EXPIRY_AS_OF)
-    return expiry.with_expiry_status(part, dim, as_of, key="p_partkey")
+    return li.select(F.col("l_partkey").alias("p_partkey"), end.alias("latest_end_time"))
+
+
+def _part_expiry(spark, sf_dir):
+    part = S.table(spark, sf_dir, "part")
+    dim = _part_end_times(S.table(spark, sf_dir, "lineitem"))
+    return expiry.with_expiry_status(part, dim, date.fromisoformat(S.EXPIRY_AS_OF), key="p_partkey")
 
 
 def q_expiry_status(spark, sf_dir):
     return _part_expiry(spark, sf_dir)
 
 
+def q_expiry_salted(spark, sf_dir):
+    """The lookup past the broadcast limit: every order line looks its part up; a part on
+    more than 30 lines is hot and salted."""
+    li = S.table(spark, sf_dir, "lineitem")
+    lines = li.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("p_partkey"))
+    return expiry.with_expiry_status(lines, _part_end_times(li), date.fromisoformat(S.EXPIRY_AS_OF), key="p_partkey",
+                                     max_broadcast_bytes=0, rows_per_task=30)
+
+
 def q_expiry_split(spark, sf_dir):
     active, inactive = expiry.split_by_expiry(_part_expiry(spark, sf_dir))
 
@@ -365,6 +376,7 @@ QUERIES: dict[str, Query] = {
     "q_landing_window": q_landing_window,
     "q_expiry_status": q_expiry_status,
     "q_expiry_split": q_expiry_split,
+    "q_expiry_salted": q_expiry_salted,
     "q_clustered_rows": q_clustered_rows,
     "q_compact_check": q_compact_check,
 }

@@ -108,15 +108,27 @@ def test_latest_wins(spark):
     assert [r["uses"] for r in st.collect()] == [Decimal(1)]
 
 
-def test_latest_plan_pre_aggregates_before_each_shuffle(spark):
+def test_latest_plan_limits_before_each_shuffle(spark):
     st = latest_per_key(_flat_rows(spark, [("u", "o", MS, 1, 0.5)]))
     from tests.helpers import explain
     lines = [ln.strip() for ln in explain(st, "simple").splitlines()]
     ex = [i for i, ln in enumerate(lines) if "Exchange hashpartitioning" in ln]
     assert len(ex) == 2
-    # below each exchange: a partial aggregate, then a partial window limit
-    assert any("HashAggregate" in ln and "partial_max" in ln for ln in lines[ex[1]:])
+    # below each exchange a partial window limit; copies collapse between the two
     assert any("WindowGroupLimit" in ln for ln in lines[ex[0]:ex[1]])
+    assert any("WindowGroupLimit" in ln for ln in lines[ex[1]:])
+    assert any("HashAggregate" in ln and "max(uses" in ln for ln in lines[ex[0]:ex[1]])
+    assert "_task" in lines[ex[1]] and "_task" not in lines[ex[0]]
+
+
+def test_hot_key_with_copies_and_ties_over_many_tasks(spark):
+    rows = ([("u", "o", MS, n % 7, 0.5) for n in range(300)] + [("u", "o", MS, n % 5, 0.7) for n in range(200)]
+            + [("u", "o", MS - 1000 * n, 9, 0.9) for n in range(1, 300)] + [("v", "o", MS, 1, 0.1)])
+    flat = _flat_rows(spark, rows).repartition(13)
+    got = sorted((r["user_id"], r["percentage"], int(r["uses"])) for r in latest_per_key(flat).collect())
+    assert got == [("u", 0.5, 6), ("u", 0.7, 4), ("v", 0.1, 1)]
+    one = latest_per_key(flat, tiebreak=True).where("user_id = 'u'").collect()
+    assert [(r["percentage"], int(r["uses"])) for r in one] == [(0.7, 4)]
 
 
 def test_copies_of_one_snapshot_collapse(spark):

@@ -137,3 +137,16 @@ def test_lookup_salts_hot_keys(spark):
     assert "_salt" in explain(out, "simple")          # the salted join ran
     got = sorted((r.offer_id or "", r.u, r.v) for r in out.collect())
     assert got == sorted([("hot", i, 1) for i in range(40)] + [("cold", 0, 2), ("", 1, None)])
+
+
+def test_lookup_still_salts_when_hot_keys_do_not_fit(spark):
+    """Too long a hot list is cut to the hottest keys; copies of one row spread over the buckets."""
+    from eligo.operators.joins import lookup_join
+    dim = spark.range(400).selectExpr("CAST(id AS string) AS offer_id", "id AS v")
+    fact = spark.range(4000).selectExpr("CAST(id % 400 AS string) AS offer_id", "1 AS u").unionAll(
+        spark.range(3000).selectExpr("'7'", "1")).repartition(16)
+    out = lookup_join(fact, dim, "offer_id", "left", max_broadcast_bytes=0, rows_per_task=5,
+                      hot_keys_broadcast_bytes=0)
+    got = {r.offer_id: r for r in out.groupBy("offer_id").agg({"u": "count", "v": "max"}).collect()}
+    assert len(got) == 400 and all(int(k) == r["max(v)"] for k, r in got.items())
+    assert {k: r["count(u)"] for k, r in got.items()} == {str(i): 3010 if i == 7 else 10 for i in range(400)}

@@ -91,3 +91,36 @@ def test_audit_counts_and_tied_keys(spark, tmp_dir):
     assert (a.previous_rows, a.previous_rows_replaced, a.written_rows_of_updated_keys) == (3, 1, 3)
     assert a.null_key_rows == 1 and a.updated_keys_with_several_rows == 1
     assert a.problems() == []
+
+
+def test_each_audit_check_can_fail(spark, tmp_dir):
+    """One fault at a time in a written batch, and the check that finds it."""
+    from tests.helpers import state, state_df
+    prev = state_df(spark, [state("u1"), state("u2"), state("u4")])
+    updates = state_df(spark, [state("u1", pct=0.5, batch_id=7), state("u3", batch_id=7)])
+
+    def problems(rows, name):
+        path = os.path.join(tmp_dir, name)
+        publish.write_batch(state_df(spark, rows), path, 7)
+        return publish.audit_batch(spark, path, 7, updates, prev, 0).problems()
+
+    new = [state("u1", pct=0.5, batch_id=7), state("u3", batch_id=7)]
+    kept = [state("u2", batch_id=7), state("u4", batch_id=7)]
+    assert problems(new + kept, "good") == []
+    assert any("carried rows" in p for p in problems(new + kept[:1], "lost"))
+    assert problems([*new, kept[0], state("u1", batch_id=7)], "swapped") == [
+        "carried rows do not equal previous rows minus replaced ones", "an updated key also has carried rows"]
+    assert problems([*new, *kept, kept[0]], "twice") == [
+        "rows != updates + previous rows that were not replaced",
+        "carried rows do not equal previous rows minus replaced ones"]
+    assert "an updated key also has carried rows" in problems([new[0], *kept], "update lost")
+
+
+def test_audit_counts_copies_of_updates(spark, tmp_dir):
+    from tests.helpers import state, state_df
+    path = os.path.join(tmp_dir, "copies")
+    updates = state_df(spark, [state("u1", batch_id=7)] * 3 + [state("u2", batch_id=7)])
+    publish.write_batch(updates, path, 7)
+    a = publish.audit_batch(spark, path, 7, updates, None)
+    assert (a.update_rows, a.update_row_copies, a.updated_keys_with_several_rows) == (4, 2, 1)
+    assert a.problems() == []
