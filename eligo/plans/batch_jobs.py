@@ -230,3 +230,39 @@ def register_views(spark: SparkSession, tables: Tables) -> list[str]:
         df.createOrReplaceTempView(name)
         names.append(name)
     return names
+
+
+def register_tables(spark: SparkSession, tables: Tables, database: str,
+                    start: datetime, end: datetime) -> list[str]:
+    """The warehouse's tables in the catalog, ``CREATE TABLE IF NOT EXISTS`` over their folders.
+
+    Raw tables learn the hours of the window ``[start, end)``; versioned tables learn the logged
+    versions only, so an unpublished batch stays invisible to SQL users as well.  Returns the
+    names; a table that does not exist yet is skipped."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    names = []
+
+    def create(path, df, partition_cols, specs):
+        name = f"{database}.{path.rstrip('/').rsplit('/', 1)[-1]}"
+        write.create_table(spark, name, df.schema, partition_cols, path)
+        if specs:
+            write.add_partitions(spark, name, specs)
+        spark.catalog.refreshTable(name)
+        names.append(name)
+
+    for path in (tables.raw, tables.raw_saved_offers):
+        hours = landing.read_hours(spark, path, start, end, "parquet")
+        if hours is not None:
+            found = hours.select(*PARTITION_COLS).distinct().collect()   # at most the window's hours
+            create(path, hours, PARTITION_COLS, [r.asDict() for r in found])
+    stg = read_parquet_or_none(spark, tables.stg)
+    if stg is not None:
+        create(tables.stg, stg, None, [])
+    for path, log_path in ((tables.cs_active, tables.batch_log), (tables.saved_offers, tables.saved_offers_log),
+                           (tables.stg_saved_offers, tables.saved_offers_log)):
+        log = publish.logged_batches(spark, log_path)
+        if log is not None:
+            versions = [r[0] for r in log.select("batch_id").distinct().collect()]   # one row for each run
+            create(path, publish.read_batch(spark, path, max(versions), None), ["batch_id"],
+                   [{"batch_id": v} for v in versions])
+    return names

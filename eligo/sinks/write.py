@@ -14,7 +14,7 @@ def create_table_ddl(name: str, schema: T.StructType, partition_cols=None,
     if partition_cols:
         ddl += " PARTITIONED BY (" + ", ".join(f"`{c}`" for c in partition_cols) + ")"
     if location:
-        ddl += f" LOCATION '{location}'"
+        ddl += " LOCATION '" + location.replace("\\", "\\\\").replace("'", "\\'") + "'"
     return ddl
 
 
@@ -23,6 +23,14 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType,
     spark.sql(create_table_ddl(name, schema, partition_cols, location))
 
 
+def add_partitions(spark: SparkSession, name: str, specs: list[dict]) -> None:
+    """Make partitions of a catalog table known (integer values); known ones are passed over."""
+    for i in range(0, len(specs), 100):
+        parts = " ".join("PARTITION (" + ", ".join(f"`{k}`={int(v)}" for k, v in x.items()) + ")"
+                         for x in specs[i:i + 100])
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str]) -> None:
     """Replace only the partitions present in ``df``; all others stay.
 

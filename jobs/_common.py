@@ -38,16 +38,28 @@ def window_parser(description: str) -> argparse.ArgumentParser:
                    help="payload format; default: 'kafka' when the landing path says so")
     p.add_argument("--batch-id", type=int, default=None,
                    help="version to write (default: window end as yyyymmddhh)")
+    p.add_argument("--database", default=None,
+                   help="catalog database to register the tables in (default: paths only)")
+    scratch_arg(p)
     return p
 
 
+def scratch_arg(p: argparse.ArgumentParser) -> None:
+    p.add_argument("--scratch", default=None,
+                   help="folder shared by all executors, used where spark.checkpoint.dir is unset")
+
+
 def check_window(args) -> None:
     if not args.start < args.end:
         raise SystemExit(f"start {args.start} must be before end {args.end}")
 
 
-def session(app: str) -> SparkSession:
+def session(app: str, scratch: str | None = None) -> SparkSession:
     b = SparkSession.builder.appName(app)
     for k, v in RECOMMENDED_CONF.items():
         b = b.config(k, v)
-    return b.getOrCreate()
+    spark = b.getOrCreate()
+    if scratch and not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", scratch)
+        spark.sparkContext.setCheckpointDir(scratch)
+    return spark

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from _common import check_window, session, window_parser
 
-from eligo.plans.batch_jobs import run_increment
+from eligo.plans.batch_jobs import register_tables, run_increment
 from eligo.schemas import Tables
 
 
@@ -18,13 +18,15 @@ def main(argv=None) -> None:
                    help="keep one row per key when versions tie beyond uses (default: keep all)")
     args = p.parse_args(argv)
     check_window(args)
-    spark = session("offer-eligibility")
+    spark = session("offer-eligibility", args.scratch)
     tables = (Tables(args.warehouse, args.origin) if args.origin
               else Tables.for_raw_path(args.warehouse, args.raw_data))
     res = run_increment(spark, tables, args.raw_data, args.start, args.end, args.batch_id,
                         args.max_broadcast_mb * 1024 * 1024, args.compact_rows_per_file,
                         args.tiebreak)
     print(f"published batch {res.batch_id} (previous {res.previous_batch_id}): {res.audit}")
+    if args.database:
+        print("catalog:", *register_tables(spark, tables, args.database, args.start, args.end))
     spark.stop()
 
 

@@ -178,6 +178,29 @@ def test_rerun_of_failed_batch_is_invisible(world):
     assert {r.batch_id for r in J.read_state(spark, tables).collect()} == {100}
 
 
+def test_tables_in_the_catalog(world):
+    """Jobs' tables by name: raw hours of the window, published batches only, and again without harm."""
+    spark, tables, wh, tmp, dump = world
+    J.run_init(spark, tables, dump, date(2024, 1, 1))
+    land = os.path.join(tmp, "elig")
+    start, end = datetime(2024, 1, 2, 0), datetime(2024, 1, 2, 2)
+    write_hour(land, start, [legacy("u1", datetime(2024, 1, 2, 0, 5), [off("o1", datetime(2024, 1, 2))])])
+    try:
+        res = J.run_increment(spark, tables, land, start, end)
+        publish.write_batch(J.read_state(spark, tables).withColumn("batch_id", F.lit(res.batch_id + 1)),
+                            tables.cs_active, res.batch_id + 1)          # never logged
+        for _ in range(2):
+            names = J.register_tables(spark, tables, "eligo_cat", start, end)
+        base = tables.cs_active.rsplit("/", 1)[-1]
+        assert f"eligo_cat.{base}" in names and "eligo_cat.saved_offers" in names
+        by_batch = {r[0]: r[1] for r in spark.table(f"eligo_cat.{base}").groupBy("batch_id").count().collect()}
+        assert set(by_batch) == {100, res.batch_id} and by_batch[res.batch_id] == res.audit.rows
+        raw = spark.table("eligo_cat." + tables.raw.rsplit("/", 1)[-1])
+        assert raw.count() == 1 and raw.where("hour = 1").count() == 0
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS eligo_cat CASCADE")
+
+
 def test_dump_path_batch_id():
     assert J.batch_id_from_dump_path("s3://b/dump/snapshot=2024120100/") == 2024120100
     with pytest.raises(ValueError):
