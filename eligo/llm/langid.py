@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eligo.llm.common import pick, slices
+from eligo.llm.common import materialize, pick, slices
 
 ORDERS = (1, 2, 3)
 BITS = 16
@@ -115,8 +115,9 @@ def train_language_model(docs: DataFrame, text_col: str = "text", label_col: str
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at), pa.array(s[at])],
                                              names=["lang", "bucket", "n"])
 
-    rows = (src.mapInArrow(count, "lang string, bucket bigint, n bigint")
-            .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
+    # written once (a row for each language and bucket at most): two reads follow, the corpus is not scanned again
+    rows = materialize(src.mapInArrow(count, "lang string, bucket bigint, n bigint")
+                       .groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "language-counts")
     langs = sorted(r[0] for r in rows.select("lang").distinct().collect())
     if len(langs) << (BITS + 2) > MAX_MODEL_BYTES:
         raise ValueError(f"{len(langs)} languages: the model would pass its size bound")
