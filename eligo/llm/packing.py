@@ -3,11 +3,12 @@
 Documents are tokenized once and cut into pieces of at most one sequence.  Only the
 histogram of piece lengths (``capacity`` numbers at most) reaches the driver,
 where the configuration LP is solved by multiplicative weights: every length has a
-price, a knapsack dynamic program finds the dearest configuration (a set of
-lengths that fits a sequence), it is used for a share of what its scarcest length
-still needs, and prices of what it covered fall.  Uses are rounded down; what is
-left is packed best-fit decreasing, by classes of equal bins.  Both work on
-counts, so their cost depends on the capacity, not on the corpus.
+price, a knapsack dynamic program finds the dearest configurations (sets of
+lengths that fit a sequence), and prices of what they cover fall.  Their average is a
+fractional cover, the prices bound it from below.  Uses are rounded down; what is
+left is packed best-fit decreasing, by classes of equal bins.  The smaller of this plan
+and best-fit alone is kept.  All work on counts, so their cost depends on the
+capacity, not on the corpus.
 
 Pieces then find their place on their own: the r-th piece of a length has a
 place in the plan, which is a few numbers for each length and configuration.
@@ -34,8 +35,8 @@ CACHE_WORDS, CACHE_CHARS = 250_000, 64
 
 # ---- configuration LP over {length: count} ----------------------------------
 
-def knapsack(lengths: np.ndarray, most: np.ndarray, price: np.ndarray, capacity: int) -> list[tuple[int, int]]:
-    """The dearest multiset of lengths within capacity, at most ``most[i]`` of each: [(index, uses)]."""
+def _table(lengths: np.ndarray, most: np.ndarray, price: np.ndarray, capacity: int) -> tuple[np.ndarray, list, list]:
+    """Knapsack table: dearest value within each room, and the steps that led there."""
     value = np.zeros(capacity + 1)
     taken, steps = [], []
     for i, (n, m, p) in enumerate(zip(lengths.tolist(), most.tolist(), price.tolist(), strict=True)):
@@ -50,49 +51,97 @@ def knapsack(lengths: np.ndarray, most: np.ndarray, price: np.ndarray, capacity:
             taken.append(take)
             steps.append((i, k, k * n))
             m, k = m - k, k * 2
-    out: dict[int, int] = {}
-    room = capacity
-    for (i, k, size), take in zip(reversed(steps), reversed(taken), strict=True):
-        if room >= size and take[room - size]:
-            out[i] = out.get(i, 0) + k
-            room -= size
-    return sorted(out.items())
+    return value, taken, steps
 
 
-def configurations(hist: dict[int, int], capacity: int, rounds: int = 1000, share: float = 0.5,
-                   rate: float = 2.0, columns: int = 96) -> list[tuple[list[tuple[int, int]], float]]:
-    """Fractional uses of configurations, ``[([(length, uses)], x)]``, that never pass a length's count.
+def _trace(rooms: np.ndarray, taken: list, steps: list) -> list[dict[int, int]]:
+    """The dearest multiset within each of ``rooms``: {index: uses}."""
+    out: list[dict[int, int]] = [{} for _ in rooms]
+    room = rooms.copy()
+    for (i, k, size), take in zip(reversed(steps), reversed(taken), strict=True):
+        at = room - size
+        hit = np.flatnonzero((at >= 0) & take[np.maximum(at, 0)])
+        if len(hit):
+            room[hit] -= size
+            for h in hit.tolist():
+                out[h][i] = out[h].get(i, 0) + k
+    return out
+
 
-    Multiplicative weights: a length's price is its size, times exp(rate x the
-    share of it that no configuration covers yet).  Each round prices out the
-    ``columns`` dearest lengths; a covered length drops out.  ``rounds`` bounds
-    the driver's work; what is then uncovered goes to best-fit.
+def knapsack(lengths: np.ndarray, most: np.ndarray, price: np.ndarray, capacity: int) -> list[tuple[int, int]]:
+    """The dearest multiset of lengths within capacity, at most ``most[i]`` of each: [(index, uses)]."""
+    _, taken, steps = _table(lengths, most, price, capacity)
+    return sorted(_trace(np.array([capacity]), taken, steps)[0].items())
+
+
+def cover(hist: dict[int, int], capacity: int, rounds: int = 512, gap: float = 1e-3,
+          columns: int = 256) -> tuple[list[tuple[list[tuple[int, int]], float]], float]:
+    """A fractional cover ``[([(length, uses)], x)]`` of every length's count, and a lower bound of any cover's value.
+
+    Multiplicative weights on the covering program: every length has a weight,
+    which is its knapsack price (first its size; later times exp(-rate x how often it
+    was covered)).  A round prices all lengths, takes the dearest
+    configuration and those near it that hold one given length (``columns`` at most),
+    and lowers the weights of what they cover.  The cover is the average over an
+    epoch; epochs double and their rates halve.  Prices scaled so that the dearest configuration is
+    worth 1 are a solution of the dual, so their total value is the bound.
+    Ends when the cover's value is within ``gap`` of the bound, or after ``rounds``.
     """
     n = np.array(sorted(hist))
     need = np.array([hist[x] for x in n.tolist()], float)
-    left = need.copy()
-    found: dict[tuple, float] = {}
-    for _ in range(rounds):
-        open_ = np.flatnonzero(left >= 1)
-        if not len(open_) or left[open_] @ n[open_] < capacity:
-            break
-        weight = np.exp(rate * left[open_] / need[open_])
-        # dearest by the mass that is still open, so that rounds go where most is to be covered
-        pick_ = open_[np.argsort(-weight * left[open_] * n[open_], kind="stable")[:columns]]
-        price = n[pick_] / capacity * (1 + 0.02 * np.exp(rate * (left[pick_] / need[pick_] - 1)))
-        most = np.minimum(np.minimum(left[pick_], capacity // n[pick_]), 1 << 30).astype(np.int64)
-        config = knapsack(n[pick_], most, price, capacity)
-        scarce = min(left[pick_[i]] / k for i, k in config)
-        x = scarce if scarce < 2 else scarce * share
-        for i, k in config:
-            left[pick_[i]] -= k * x
-        key = tuple((int(n[pick_[i]]), k) for i, k in config)
-        found[key] = found.get(key, 0.0) + x
-    return [(list(k), x) for k, x in found.items()]
-
-
-def best_fit(hist: dict[int, int], capacity: int) -> list[tuple[list[tuple[int, int]], int]]:
-    """Best-fit decreasing on counts: ``[([(length, uses)], bins)]``.  Bins alike are one class."""
+    per = capacity // n
+    most = np.minimum(need, per).astype(np.int64)
+    log_price = np.log(n / capacity)
+    bound, value, best = 0.0, np.inf, []
+    done, epoch, rate = 0, 8, 0.25
+    while len(n) and done < rounds and value > bound * (1 + gap):
+        uses: dict[tuple, float] = {}
+        for _ in range(min(epoch, rounds - done)):
+            price = np.exp(log_price - log_price.max())
+            worth, taken, steps = _table(n, most, price, capacity)
+            bound = max(bound, need @ price / worth[-1])
+            holds = price + worth[capacity - n]    # the dearest configuration that holds a given length
+            near = np.flatnonzero(holds >= worth[-1] * (1 - 0.1 * rate))
+            near = near[np.argsort(-holds[near], kind="stable")[:columns]]
+            found = _trace(np.r_[capacity, capacity - n[near]], taken, steps)
+            for i, config in zip(near.tolist(), found[1:], strict=True):
+                config[i] = config.get(i, 0) + 1
+            step: dict[tuple, float] = {}
+            hit = np.zeros(len(n))
+            for config in found:
+                key = tuple(sorted(config.items()))
+                if key not in step:
+                    step[key] = x = min(need[i] / k for i, k in key)
+                    for i, k in key:
+                        hit[i] += k * x / need[i]
+            for key, x in step.items():
+                uses[key] = uses.get(key, 0.0) + x / hit.max()
+            log_price -= rate * hit / hit.max()
+        done, epoch, rate = done + epoch, epoch * 2, max(rate / 2, 0.01)
+        covered = np.zeros(len(n))
+        for key, x in uses.items():
+            for i, k in key:
+                covered[i] += k * x
+        share = covered / need
+        for q in np.unique(np.quantile(share[share > 0], np.linspace(0, 1, 33))):  # what the average lacks goes alone
+            lack = np.maximum(need - covered / q, 0)
+            if (v := sum(uses.values()) / q + (lack / per).sum()) < value:
+                value = v
+                best = [([(int(n[i]), k) for i, k in key], x / q) for key, x in uses.items()] + [
+                    ([(int(n[i]), int(per[i]))], lack[i] / per[i]) for i in np.flatnonzero(lack > 1e-9 * need)]
+    return best, bound
+
+
+def configurations(hist: dict[int, int], capacity: int, **lp) -> list[tuple[list[tuple[int, int]], float]]:
+    """Fractional uses of configurations that cover every length's count."""
+    return cover(hist, capacity, **lp)[0]
+
+
+def best_fit(hist: dict[int, int], capacity: int, begun=()) -> list[tuple[list[tuple[int, int]], int]]:
+    """Best-fit decreasing on counts: ``[([(length, uses)], bins)]``.  Bins alike are one class.
+
+    ``begun`` are bins that hold something already.
+    """
     classes: dict[int, list] = {}   # room -> [(pattern, bins)]
     rooms: list[int] = []
     done = []
@@ -115,6 +164,8 @@ def best_fit(hist: dict[int, int], capacity: int) -> list[tuple[list[tuple[int,
             rooms.pop(bisect.bisect_left(rooms, room))
         return got
 
+    for pattern, bins in begun:
+        put(capacity - sum(n * k for n, k in pattern), pattern, bins)
     for n in sorted(hist, reverse=True):
         count = hist[n]
         while count:
@@ -140,16 +191,27 @@ def best_fit(hist: dict[int, int], capacity: int) -> list[tuple[list[tuple[int,
 
 
 def plan(hist: dict[int, int], capacity: int, **lp) -> list[tuple[list[tuple[int, int]], int]]:
-    """Whole uses of configurations that hold every piece: the LP's rounded down, best-fit for the rest."""
+    """Whole uses of configurations that hold every piece: the smaller of the rounded cover and best-fit.
+
+    The cover's uses are rounded down, less what would be too much of a length; the rest
+    is packed best-fit, also into the room that configurations leave.  Best-fit alone
+    is kept without a cover if it needs no more than the tokens do.
+    """
+    greedy = best_fit(hist, capacity)
+    if sum(u for _, u in greedy) <= -(-sum(n * c for n, c in hist.items()) // capacity):
+        return greedy
     left = dict(hist)
     whole = []
-    for config, x in configurations(hist, capacity, **lp):
+    for config, x in sorted(configurations(hist, capacity, **lp), key=lambda c: -c[1]):
         uses = int(x + 1e-9)
-        if uses:
-            whole.append((config, uses))
-            for n, k in config:
-                left[n] -= k * uses
-    return whole + best_fit({n: c for n, c in left.items() if c}, capacity)
+        while uses and (fits := [(n, min(k, left[n])) for n, k in config if left[n]]):
+            some = min(uses, *(left[n] // k for n, k in fits))
+            whole.append((fits, some))
+            for n, k in fits:
+                left[n] -= k * some
+            uses -= some
+    rounded = best_fit({n: c for n, c in left.items() if c}, capacity, whole)
+    return min(rounded, greedy, key=lambda bins: sum(u for _, u in bins))
 
 
 def _places(bins: list[tuple[list[tuple[int, int]], int]]) -> dict[str, np.ndarray]:

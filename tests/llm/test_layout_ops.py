@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eligo.llm.chat import CONTROL, escape, format_conversations, read_loss_text, read_turns, unescape
-from eligo.llm.packing import WordTokens, best_fit, configurations, knapsack, pack, plan, sequences
+from eligo.llm.packing import WordTokens, best_fit, configurations, cover, knapsack, pack, plan, sequences
 from eligo.llm.queries import tokenizer_path
 from eligo.llm.shard import Leaf, assign_shards, descend, grow, layout
 from eligo.llm.warc import read_warc, write_warc
@@ -190,6 +190,24 @@ def test_configuration_program_beats_greedy_where_greedy_is_wrong():
     assert plan({}, 10) == []
 
 
+@pytest.mark.parametrize("hist,most", [
+    ({2049: 8000, 1024: 8000, 1020: 8000}, 8000), ({2100: 8000, 1365: 8000, 600: 8000}, 8000),
+    ({2089: 6000, 1065: 6000, 1024: 12000, 983: 12000}, 10500),   # best-fit alone: 12,000
+    ({n: 1000 + n % 7 * 900 for n in range(700, 2500, 61)}, 43200)])  # best-fit alone: 43,674
+def test_spiky_histograms_are_packed_near_the_dual_bound(hist, most):
+    bins = plan(dict(hist), 4096)
+    _check_bins(bins, hist, 4096)
+    config, bound = cover(hist, 4096)
+    value, held = sum(x for _, x in config), Counter()
+    for c, x in config:
+        assert sum(n * k for n, k in c) <= 4096
+        for n, k in c:
+            held[n] += k * x
+    assert all(held[n] >= c * (1 - 1e-6) for n, c in hist.items())
+    n = sum(u for _, u in bins)
+    assert bound <= value + 1e-6 <= 1.01 * bound and bound <= n + 1e-6 and n <= most
+
+
 def test_tokens_equal_the_tokenizers(spark):
     words = WordTokens(tokenizer_path())
     rng = random.Random(9)
