@@ -32,8 +32,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts boilerplate lines; drops documents that had nothing else."""
-    cut = line_dedup(docs, min_sites=10)
+    """Cuts boilerplate lines of any length; drops documents that had nothing else."""
+    cut = line_dedup(docs, min_sites=10, min_chars=1)
     kept = cut.where((F.col("n_removed") == 0) | (F.trim(F.translate("text", "\n\t\r", "")) != ""))
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))

@@ -61,6 +61,14 @@ def test_stages_keep_the_columns_and_take_nothing(spark, tmp_dir):
             assert out.dtypes == docs.dtypes
 
 
+def test_short_boilerplate_lines_are_cut(spark, tmp_dir):
+    rows = [(i, f"And ornd.\nown text of document {i}\n\n}}", "en", f"s{i % 11}") for i in range(30)]
+    docs = docs_frame(spark, rows).selectExpr("doc_id", "text", "lang", "source", "n_chars")
+    got = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, docs, tmp_dir).collect()}
+    assert got == {i: t for i, t, *_ in _brute_lines(rows, 10, 1)}
+    assert got[0] == rows[0][1] and got[7] == "own text of document 7\n"
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_its_sql(spark, name):
     import duckdb
