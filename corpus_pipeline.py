@@ -19,9 +19,14 @@ from eligo.llm.queries import tokenizer_path
 from eligo.llm.simhash import simhash_dedup
 
 
-def _without(docs: DataFrame, gone: DataFrame, name: str) -> DataFrame:
-    """The documents whose id is not in ``gone`` (null ids stay)."""
-    return docs.join(materialize(gone.select("doc_id").distinct(), name), "doc_id", "left_anti").select(*docs.columns)
+def _numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` written once with a row number, by which verdicts find their row (ids may be null or shared)."""
+    return materialize(docs.withColumn("_row", F.monotonically_increasing_id()), name)
+
+
+def _without(numbered: DataFrame, gone: DataFrame, name: str) -> DataFrame:
+    """The rows whose number is not in ``gone``."""
+    return numbered.join(materialize(gone.select("_row"), name), "_row", "left_anti").drop("_row")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,21 +47,19 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group; repeated rows once."""
-    found = materialize(simhash_dedup(docs, shingle_words=3, max_distance=3), "pipeline-simhash")
-    kept = _without(docs, found.where("doc_id <> component_id"), "pipeline-copies")
-    twice = materialize(found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1"),
-                        "pipeline-repeated")
-    if twice.limit(1).count():
-        again = kept.join(twice.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-        kept = _without(kept, twice, "pipeline-repeated-ids").unionByName(again.select(*docs.columns))
-    return kept
+    """Keeps one row of each group: that with the smallest id (null ids last), the first of equal ids."""
+    numbered = _numbered(docs, "pipeline-simhash-docs")
+    ids = numbered.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row").alias("id"), "text")
+    found = simhash_dedup(ids, id_col="id", shingle_words=3, max_distance=3)
+    return _without(numbered, found.where("id._row <> component_id._row").select("id._row"),
+                    "pipeline-copies").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark window."""
-    found = contamination(docs, read_table(spark, sf_dir, "benchmark"), window=10)
-    return _without(docs, found.where(F.size("spans") > 0), "pipeline-contaminated")
+    numbered = _numbered(docs, "pipeline-decontaminate-docs")
+    found = contamination(numbered, read_table(spark, sf_dir, "benchmark"), id_col="_row", window=10)
+    return _without(numbered, found.where(F.size("spans") > 0), "pipeline-contaminated").select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -69,6 +69,25 @@ def test_short_boilerplate_lines_are_cut(spark, tmp_dir):
     assert got[0] == rows[0][1] and got[7] == "own text of document 7\n"
 
 
+def test_verdicts_fall_on_rows_not_on_ids(spark, tmp_dir):
+    folder = f"{tmp_dir}/ids"
+    _, items = _tables(spark, folder)
+    rng = random.Random(4)
+    text = [sentence(rng, 60) for _ in range(6)]
+    leak = text[4] + " " + items[0][1]
+    rows = [(5, text[0], "en", "s"), (None, text[0], "en", "s"),       # a copy without an id
+            (6, text[1], "en", "s"), (7, text[1], "en", "s"), (7, text[2], "en", "s"),   # a copy's namesake
+            (None, text[3], "en", "s"), (None, text[3], "en", "s"),    # copies without any id
+            (8, leak, "en", "s"), (8, text[5], "en", "s"), (None, leak + " z", "en", "s")]
+    docs = docs_frame(spark, rows).selectExpr("doc_id", "text", "lang", "source", "n_chars")
+    kept = corpus_pipeline.near_duplicates(spark, docs, folder)
+    assert sorted(map(str, ((r.doc_id, r.text) for r in kept.where("text not like '% z'").collect()))) == sorted(map(str, [
+        (5, text[0]), (6, text[1]), (7, text[2]), (None, text[3]), (8, leak), (8, text[5])]))
+    clean = corpus_pipeline.decontaminate(spark, docs, folder).collect()
+    assert sorted(str((r.doc_id, r.text)) for r in clean) == sorted(
+        str((i, t)) for i, t, *_ in rows if not t.startswith(leak))
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_its_sql(spark, name):
     import duckdb
