@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from eligo.llm.common import materialize, read_table
 from eligo.llm.decontaminate import contamination
-from eligo.llm.langid import UNDETERMINED, held_out, predict_language, train_language_model
+from eligo.llm.langid import UNDETERMINED, held_out, one_language, predict_language, train_language_model
 from eligo.llm.line_dedup import line_dedup
 from eligo.llm.packing import pack
 from eligo.llm.queries import tokenizer_path
@@ -30,8 +30,14 @@ def _without(numbered: DataFrame, gone: DataFrame, name: str) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: null texts and texts without a letter."""
+    """Drops documents without a language: null texts and texts without a letter.
+
+    Without a learned language (no labelled row outside the held-out fold) a model of one stands
+    in, so that the same documents go.  Which language is predicted decides nothing.
+    """
     model = train_language_model(docs.where(~held_out(F.col("doc_id"))))
+    if not model.langs:
+        model = one_language()
     return (predict_language(docs, model, lang_out="_pred", score_out="_score")
             .where(F.col("_pred") != UNDETERMINED).select(*docs.columns))
 

@@ -35,6 +35,11 @@ class LanguageModel:
     logp: np.ndarray       # (2**BITS + 1, languages); the last row is 0, for n-grams that don't count
 
 
+def one_language(lang: str = "any") -> LanguageModel:
+    """A model of one language, which every text with a letter is then of."""
+    return LanguageModel([lang], np.zeros(1), np.zeros(((1 << BITS) + 1, 1), np.float32))
+
+
 def held_out(id_: Column, folds: int = 5) -> Column:
     """The fold that is never learned from; a null id is held out."""
     text = F.coalesce(id_.cast("string"), F.lit(""))
@@ -170,4 +175,4 @@ def predict_language(docs: DataFrame, model: LanguageModel, text_col: str = "tex
     return rest.mapInArrow(run, schema)
 
 
-__all__ = ["LanguageModel", "held_out", "predict_language", "score_texts", "train_language_model"]
+__all__ = ["LanguageModel", "held_out", "one_language", "predict_language", "score_texts", "train_language_model"]

@@ -88,6 +88,13 @@ def test_verdicts_fall_on_rows_not_on_ids(spark, tmp_dir):
         str((i, t)) for i, t, *_ in rows if not t.startswith(leak))
 
 
+def test_unlabelled_corpus_is_kept(spark, tmp_dir):
+    rows = [(i, t, None, "s") for i, t in enumerate(["some text", "né", "漢", "", None, "12 --", " \n"] * 3)]
+    docs = docs_frame(spark, rows).selectExpr("doc_id", "text", "lang", "source", "n_chars")
+    got = corpus_pipeline.language_id(spark, docs, tmp_dir).collect()
+    assert sorted(r.doc_id for r in got) == [i for i, t, *_ in rows if any(c.isalpha() for c in t or "")]
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_its_sql(spark, name):
     import duckdb
