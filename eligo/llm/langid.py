@@ -89,18 +89,31 @@ def _buckets(group):
 
 
 def train_language_model(docs: DataFrame, text_col: str = "text", label_col: str = "lang",
-                         max_train_docs: int = 50_000, alpha: float = 0.5) -> LanguageModel:
+                         max_train_docs: int = 50_000, alpha: float = 0.5, id_col: str = "doc_id",
+                         least: int = 100) -> LanguageModel:
     """Learns from the labelled rows of ``docs``; null texts and labels are passed over.
 
     Of more than ``max_train_docs`` labelled rows, a sample of about that many is
-    drawn by a hash of the text (whole texts, at any size of input).
+    drawn by a hash of id and text, so that copies of a text are drawn each on their own.
+    Every language keeps about ``least`` rows (or all it has; fewer if languages are
+    many), one at any rate; priors are of all labelled rows.
     """
-    src = pick(docs, text=text_col, lang=label_col).where("text is not null and lang is not null")
-    total = src.count()
+    draw = F.pmod(F.xxhash64("id", "text", F.lit("train")), F.lit(1 << 30)) / float(1 << 30)
+    src = (pick(docs, id=id_col, text=text_col, lang=label_col).where("text is not null and lang is not null")
+           .select("text", F.col("lang").cast("string").alias("lang"), draw.alias("draw")))
+    most = MAX_MODEL_BYTES >> (BITS + 2)
+    rows = src.groupBy("lang").agg(F.count("*").alias("n"), F.min("draw").alias("first")).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} languages: the model would pass its size bound")
+    of_lang = {r["lang"]: r["n"] for r in rows}
+    total = sum(of_lang.values())
     if total > max_train_docs:
-        share = F.pmod(F.xxhash64("text", F.lit("train")), F.lit(1 << 30)) / float(1 << 30)
-        src = src.where(share < max_train_docs / total)
-    src = src.withColumn("lang", F.col("lang").cast("string"))
+        least = min(least, max_train_docs // (2 * len(rows)))
+        share = (max_train_docs - least * len(rows)) / total
+        limits = F.create_map(*[F.lit(x) for r in rows for x in (
+            r["lang"], max(share + least / r["n"], r["first"]))])
+        src = src.where(F.col("draw") <= limits[F.col("lang")])
+    src = src.select("text", "lang")
 
     def count(batches):
         sums: dict[str, np.ndarray] = {}
@@ -124,13 +137,11 @@ def train_language_model(docs: DataFrame, text_col: str = "text", label_col: str
     rows = materialize(src.mapInArrow(count, "lang string, bucket bigint, n bigint")
                        .groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "language-counts")
     langs = sorted(r[0] for r in rows.select("lang").distinct().collect())
-    if len(langs) << (BITS + 2) > MAX_MODEL_BYTES:
-        raise ValueError(f"{len(langs)} languages: the model would pass its size bound")
     counts = np.zeros(((1 << BITS) + 1, len(langs)))
     at = {x: i for i, x in enumerate(langs)}
     for lang, bucket, n in rows.toLocalIterator():
         counts[bucket, at[lang]] = n
-    n_docs, counts = counts[-1].copy(), counts[:-1] + alpha
+    n_docs, counts = np.array([of_lang[x] for x in langs], float), counts[:-1] + alpha
     logp = np.vstack([np.log(counts / counts.sum(axis=0)), np.zeros(len(langs))]).astype(np.float32)
     return LanguageModel(langs, np.log(n_docs / n_docs.sum()) if len(langs) else n_docs, logp)
 

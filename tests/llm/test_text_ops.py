@@ -120,6 +120,20 @@ def test_language_model_without_labels(spark):
     assert predict_language(docs.limit(0), train_language_model(docs)).collect() == []
 
 
+def test_training_sample_holds_its_bound_under_copies_and_keeps_rare_languages(spark, monkeypatch):
+    rng = random.Random(2)
+    rows = [(i, f"copy {c}", "en", "s") for c in range(8) for i in range(c * 500, c * 500 + 500)]
+    rows += [(4000 + i, sentence(rng, 4), "de", "s") for i in range(1996)] + [(6000 + i, f"rare {i}", "xx", "s") for i in range(4)]
+    seen = []
+    real = langid.materialize
+    monkeypatch.setattr(langid, "materialize", lambda df, name: seen.append(real(df, name)) or seen[-1])
+    model = train_language_model(docs_frame(spark, rows), max_train_docs=300)
+    drawn = {r.lang: r.n for r in seen[0].where(f"bucket = {1 << langid.BITS}").collect()}
+    assert set(drawn) == {"de", "en", "xx"} and drawn["xx"] == 4 and 200 < sum(drawn.values()) < 400
+    assert 50 < drawn["en"] < 250   # no copied text (500 rows each) is drawn whole
+    assert np.allclose(np.exp(model.prior), [1996 / 6000, 4000 / 6000, 4 / 6000])
+
+
 def _contained(text, template, n=5):
     def sh(t):
         w = [x for x in re.split(r"[\W_]+", t.lower()) if x]
