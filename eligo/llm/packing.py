@@ -1,14 +1,8 @@
 """Best-fit packing by a configuration linear program over the length histogram.
 
 Documents are tokenized once and cut into pieces of at most one sequence.  Only the
-histogram of piece lengths (``capacity`` numbers at most) reaches the driver,
-where the configuration LP is solved by multiplicative weights: every length has a
-price, a knapsack dynamic program finds the dearest configurations (sets of
-lengths that fit a sequence), and prices of what they cover fall.  Their average is a
-fractional cover, the prices bound it from below.  Uses are rounded down; what is
-left is packed best-fit decreasing, by classes of equal bins.  The smaller of this plan
-and best-fit alone is kept.  All work on counts, so their cost depends on the
-capacity, not on the corpus.
+histogram of piece lengths (``capacity`` numbers at most) reaches the driver, where
+``config_lp.plan`` solves the configuration program by multiplicative weights and rounds it.
 
 Pieces then find their place on their own: the r-th piece of a length has a
 place in the plan, which is a few numbers for each length and configuration.
@@ -16,7 +10,6 @@ place in the plan, which is a few numbers for each length and configuration.
 
 from __future__ import annotations
 
-import bisect
 import os
 import re
 import zlib
@@ -29,190 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eligo.llm.common import materialize, pick, type_of, worker_state
+from eligo.llm.config_lp import plan
+
+CACHE_WORDS, CACHE_CHARS = 400_000, 64   # of a generation; two generations of words and of their parts are held
+MOST_BROADCAST_ROWS = 500_000   # of 16 bytes
 
-CACHE_WORDS, CACHE_CHARS = 250_000, 64
-
-
-# ---- configuration LP over {length: count} ----------------------------------
-
-def _table(lengths: np.ndarray, most: np.ndarray, price: np.ndarray, capacity: int) -> tuple[np.ndarray, list, list]:
-    """Knapsack table: dearest value within each room, and the steps that led there."""
-    value = np.zeros(capacity + 1)
-    taken, steps = [], []
-    for i, (n, m, p) in enumerate(zip(lengths.tolist(), most.tolist(), price.tolist(), strict=True)):
-        k = 1
-        while m > 0:  # uses in powers of two
-            k = min(k, m)
-            if k * n > capacity:
-                break
-            better = value[:capacity + 1 - k * n] + k * p
-            take = better > value[k * n:] + 1e-12
-            np.maximum(value[k * n:], better, out=value[k * n:])
-            taken.append(take)
-            steps.append((i, k, k * n))
-            m, k = m - k, k * 2
-    return value, taken, steps
-
-
-def _trace(rooms: np.ndarray, taken: list, steps: list) -> list[dict[int, int]]:
-    """The dearest multiset within each of ``rooms``: {index: uses}."""
-    out: list[dict[int, int]] = [{} for _ in rooms]
-    room = rooms.copy()
-    for (i, k, size), take in zip(reversed(steps), reversed(taken), strict=True):
-        at = room - size
-        hit = np.flatnonzero((at >= 0) & take[np.maximum(at, 0)])
-        if len(hit):
-            room[hit] -= size
-            for h in hit.tolist():
-                out[h][i] = out[h].get(i, 0) + k
-    return out
-
-
-def knapsack(lengths: np.ndarray, most: np.ndarray, price: np.ndarray, capacity: int) -> list[tuple[int, int]]:
-    """The dearest multiset of lengths within capacity, at most ``most[i]`` of each: [(index, uses)]."""
-    _, taken, steps = _table(lengths, most, price, capacity)
-    return sorted(_trace(np.array([capacity]), taken, steps)[0].items())
-
-
-def cover(hist: dict[int, int], capacity: int, rounds: int = 512, gap: float = 1e-3,
-          columns: int = 256) -> tuple[list[tuple[list[tuple[int, int]], float]], float]:
-    """A fractional cover ``[([(length, uses)], x)]`` of every length's count, and a lower bound of any cover's value.
-
-    Multiplicative weights on the covering program: every length has a weight,
-    which is its knapsack price (first its size; later times exp(-rate x how often it
-    was covered)).  A round prices all lengths, takes the dearest
-    configuration and those near it that hold one given length (``columns`` at most),
-    and lowers the weights of what they cover.  The cover is the average over an
-    epoch; epochs double and their rates halve.  Prices scaled so that the dearest configuration is
-    worth 1 are a solution of the dual, so their total value is the bound.
-    Ends when the cover's value is within ``gap`` of the bound, or after ``rounds``.
-    """
-    n = np.array(sorted(hist))
-    need = np.array([hist[x] for x in n.tolist()], float)
-    per = capacity // n
-    most = np.minimum(need, per).astype(np.int64)
-    log_price = np.log(n / capacity)
-    bound, value, best = 0.0, np.inf, []
-    done, epoch, rate = 0, 8, 0.25
-    while len(n) and done < rounds and value > bound * (1 + gap):
-        uses: dict[tuple, float] = {}
-        for _ in range(min(epoch, rounds - done)):
-            price = np.exp(log_price - log_price.max())
-            worth, taken, steps = _table(n, most, price, capacity)
-            bound = max(bound, need @ price / worth[-1])
-            holds = price + worth[capacity - n]    # the dearest configuration that holds a given length
-            near = np.flatnonzero(holds >= worth[-1] * (1 - 0.1 * rate))
-            near = near[np.argsort(-holds[near], kind="stable")[:columns]]
-            found = _trace(np.r_[capacity, capacity - n[near]], taken, steps)
-            for i, config in zip(near.tolist(), found[1:], strict=True):
-                config[i] = config.get(i, 0) + 1
-            step: dict[tuple, float] = {}
-            hit = np.zeros(len(n))
-            for config in found:
-                key = tuple(sorted(config.items()))
-                if key not in step:
-                    step[key] = x = min(need[i] / k for i, k in key)
-                    for i, k in key:
-                        hit[i] += k * x / need[i]
-            for key, x in step.items():
-                uses[key] = uses.get(key, 0.0) + x / hit.max()
-            log_price -= rate * hit / hit.max()
-        done, epoch, rate = done + epoch, epoch * 2, max(rate / 2, 0.01)
-        covered = np.zeros(len(n))
-        for key, x in uses.items():
-            for i, k in key:
-                covered[i] += k * x
-        share = covered / need
-        for q in np.unique(np.quantile(share[share > 0], np.linspace(0, 1, 33))):  # what the average lacks goes alone
-            lack = np.maximum(need - covered / q, 0)
-            if (v := sum(uses.values()) / q + (lack / per).sum()) < value:
-                value = v
-                best = [([(int(n[i]), k) for i, k in key], x / q) for key, x in uses.items()] + [
-                    ([(int(n[i]), int(per[i]))], lack[i] / per[i]) for i in np.flatnonzero(lack > 1e-9 * need)]
-    return best, bound
-
-
-def configurations(hist: dict[int, int], capacity: int, **lp) -> list[tuple[list[tuple[int, int]], float]]:
-    """Fractional uses of configurations that cover every length's count."""
-    return cover(hist, capacity, **lp)[0]
-
-
-def best_fit(hist: dict[int, int], capacity: int, begun=()) -> list[tuple[list[tuple[int, int]], int]]:
-    """Best-fit decreasing on counts: ``[([(length, uses)], bins)]``.  Bins alike are one class.
-
-    ``begun`` are bins that hold something already.
-    """
-    classes: dict[int, list] = {}   # room -> [(pattern, bins)]
-    rooms: list[int] = []
-    done = []
-
-    def put(room, pattern, bins):
-        if not bins:
-            return
-        if room == 0:
-            done.append((pattern, bins))
-            return
-        if room not in classes:
-            classes[room] = []
-            bisect.insort(rooms, room)
-        classes[room].append((pattern, bins))
-
-    def take(room):
-        got = classes[room].pop()
-        if not classes[room]:
-            del classes[room]
-            rooms.pop(bisect.bisect_left(rooms, room))
-        return got
-
-    for pattern, bins in begun:
-        put(capacity - sum(n * k for n, k in pattern), pattern, bins)
-    for n in sorted(hist, reverse=True):
-        count = hist[n]
-        while count:
-            at = bisect.bisect_left(rooms, n)
-            if at == len(rooms):
-                per = capacity // n
-                put(capacity - per * n, [(n, per)], count // per)
-                if count % per:
-                    put(capacity - (count % per) * n, [(n, count % per)], 1)
-                break
-            room = rooms[at]
-            pattern, bins = take(room)
-            per = room // n
-            full = min(bins, count // per)
-            put(room - per * n, [*pattern, (n, per)], full)
-            count -= full * per
-            rest = bins - full
-            if rest and count:  # fewer than `per` are left
-                put(room - count * n, [*pattern, (n, count)], 1)
-                rest, count = rest - 1, 0
-            put(room, pattern, rest)
-    return done + [c for v in classes.values() for c in v]
-
-
-def plan(hist: dict[int, int], capacity: int, **lp) -> list[tuple[list[tuple[int, int]], int]]:
-    """Whole uses of configurations that hold every piece: the smaller of the rounded cover and best-fit.
-
-    The cover's uses are rounded down, less what would be too much of a length; the rest
-    is packed best-fit, also into the room that configurations leave.  Best-fit alone
-    is kept without a cover if it needs no more than the tokens do.
-    """
-    greedy = best_fit(hist, capacity)
-    if sum(u for _, u in greedy) <= -(-sum(n * c for n, c in hist.items()) // capacity):
-        return greedy
-    left = dict(hist)
-    whole = []
-    for config, x in sorted(configurations(hist, capacity, **lp), key=lambda c: -c[1]):
-        uses = int(x + 1e-9)
-        while uses and (fits := [(n, min(k, left[n])) for n, k in config if left[n]]):
-            some = min(uses, *(left[n] // k for n, k in fits))
-            whole.append((fits, some))
-            for n, k in fits:
-                left[n] -= k * some
-            uses -= some
-    rounded = best_fit({n: c for n, c in left.items() if c}, capacity, whole)
-    return min(rounded, greedy, key=lambda bins: sum(u for _, u in bins))
 
+# ---- places -----------------------------------------------------------------------
 
 def _places(bins: list[tuple[list[tuple[int, int]], int]]) -> dict[str, np.ndarray]:
     """For each (length, class of bins): first rank, uses in a bin, first sequence, first offset; sorted."""
@@ -237,18 +53,28 @@ def _places(bins: list[tuple[list[tuple[int, int]], int]]) -> dict[str, np.ndarr
 # ---- tokens ------------------------------------------------------------------
 
 class _Cache(dict):
-    """Computes what it lacks; keeps it if the key is short."""
+    """Computes what it lacks; keeps it if the key is short.
+
+    ``trim`` starts anew when full, with the last generation behind it, from which words still in use are taken over.
+    """
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.last = make, {}
 
     def __missing__(self, key: str) -> bytes:
-        out = self.make(key)
+        out = self.last.get(key)
+        if out is None:
+            out = self.make(key)
         if len(key) <= CACHE_CHARS:
             self[key] = out
         return out
 
+    def trim(self) -> None:
+        if len(self) > CACHE_WORDS:
+            self.last = dict(self)
+            self.clear()
+
 
 class WordTokens:
     """Token bytes of whole texts, for the public lower-casing word BPE.
@@ -257,8 +83,8 @@ class WordTokens:
     line ends and each distinct word is encoded once (bounded caches hold the
     common ones).  A word of plain characters, on which normalization is the
     lower case and nothing else, is split by the tokenizer's own pattern and its parts go
-    to the BPE model; any other word goes through the whole tokenizer.
-    Special tokens' strings are ordinary text.
+    to the BPE model; any other word goes through the whole tokenizer, and so does any text that
+    holds the string of an added token, which the tokenizer finds before all else.
     """
 
     PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
@@ -268,7 +94,7 @@ class WordTokens:
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.words, self.parts = _Cache(self._word), _Cache(self._part)
 
@@ -281,13 +107,17 @@ class WordTokens:
             return b""
         if self.PLAIN.fullmatch(word):
             return b"".join(map(self.parts.__getitem__, self.PARTS.findall(word.lower())))
-        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        return self._whole(word)
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Unsigned 32-bit ids of a text, in this machine's (little-endian) order."""
-        for cache in (self.words, self.parts):
-            if len(cache) > CACHE_WORDS:
-                cache.clear()
+        if any(a in text for a in self.added):
+            return self._whole(text)
+        self.words.trim()
+        self.parts.trim()
         return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
@@ -344,6 +174,8 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
 
     # A piece's rank within its length: ranks of the partitions before, and its own in its partition.
     before = counts.select("part", "length", (F.sum("n").over(_by_part()) - F.col("n")).alias("before"))
+    # One row for each partition and length: it grows with the corpus, so it is counted before it is broadcast.
+    before = F.broadcast(before) if counts.count() <= MOST_BROADCAST_ROWS else before.hint("shuffle_hash")
     ranked = pieces.join(before, ["part", "length"]).withColumn("r", F.col("r") + F.col("before"))
     keep = ["id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
 
