@@ -28,11 +28,12 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     while mark[0]:
         both = e.select(F.col("u").alias("n"), F.col("v").alias("m")).unionByName(
             e.select(F.col("v").alias("n"), F.col("u").alias("m")))
-        lo = both.groupBy("n").agg(F.min("m").alias("lo")).select("n", F.least("n", "lo").alias("lo"))
+        # Both minima are written before their join, so that its other side is a plain shuffle, which AQE can split.
+        lo = materialize(both.groupBy("n").agg(F.min("m").alias("lo")).select("n", F.least("n", "lo").alias("lo")), name)
         large = (both.join(lo, "n").where("m > n")
                  .select(F.col("m").alias("u"), F.col("lo").alias("v")).distinct())
         large = materialize(large, name)
-        lo = large.groupBy("u").agg(F.min("v").alias("lo"))
+        lo = materialize(large.groupBy("u").agg(F.min("v").alias("lo")), name)
         small = (large.join(lo, "u").where("v <> lo").select(F.col("v").alias("u"), F.col("lo").alias("v"))
                  .unionByName(lo.select("u", F.col("lo").alias("v"))).distinct())
         e = materialize(small, name)

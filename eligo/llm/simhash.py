@@ -117,14 +117,15 @@ def links(fps: DataFrame, max_distance: int) -> DataFrame:
 
     def emit(batches):
         for b in batches:
-            for fp in b.column(0).to_numpy(zero_copy_only=False):
-                odd = int(fp).bit_count() & 1 if fp >= 0 else (int(fp) + (1 << 64)).bit_count() & 1
-                m = masks if odd else masks[:n_small]
-                v = (m ^ np.uint64(int(fp) & ((1 << 64) - 1))).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(v), pa.array(np.full(len(v), fp)),
-                     pa.array(np.arange(len(v)) < n_small), pa.array(np.full(len(v), not odd))],
-                    names=["variant", "fp", "inner", "even"])
+            fps = b.column(0).to_numpy(zero_copy_only=False)
+            odd = np.bitwise_count(fps.view(np.uint64)) & 1 == 1
+            for some, ball, even in ((fps[odd], masks, False), (fps[~odd], masks[:n_small], True)):
+                for i in range(0, len(some), 64):   # balls of some fingerprints at a time
+                    fp = some[i:i + 64]
+                    v = (fp.view(np.uint64)[:, None] ^ ball).view(np.int64).ravel()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(v), pa.array(np.repeat(fp, len(ball))), pa.array(np.tile(np.arange(len(ball)) < n_small, len(fp))),
+                         pa.array(np.full(len(v), even))], names=["variant", "fp", "inner", "even"])
 
     # A stated number of partitions: a few fingerprints make many variants, so their size says nothing.
     spread = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -159,9 +160,10 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                          .unionByName(stars.select(F.col("v").alias("fp"), F.col("v").alias("root")).distinct()),
                          "fp"))
     linked = materialize(linked, "simhash-linked")
-    comp = linked.select("fp", "root").join(
-        linked.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
-    named = (nodes.join(comp, "fp", "left")
-             .select("fp", F.coalesce("component_id", "least").alias("component_id")))
+    # What is joined to a hot component or a hot fingerprint is written first, so that AQE can split the other side.
+    least = materialize(linked.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-least")
+    comp = linked.select("fp", "root").join(least, "root").select("fp", "component_id")
+    named = materialize(nodes.join(comp, "fp", "left").select(
+        "fp", F.coalesce("component_id", "least").alias("component_id")), "simhash-named")
     return doc.join(named, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
