@@ -81,8 +81,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     named = materialize(rows.select("row", "id", "sha").join(done, "row"), "named")
     best = F.struct(F.col("id"), F.col("row"))
-    groups = named.groupBy("level", "name").agg(
-        F.max(best).alias("best"), F.count("*").alias("group_size"))
+    # Written first: a join with a grouping of its own rows would reuse the grouping's shuffle, which AQE can't split.
+    groups = materialize(named.groupBy("level", "name").agg(
+        F.max(best).alias("best"), F.count("*").alias("group_size")), "groups")
     return named.join(groups, ["level", "name"]).select(
         F.col("id").alias(id_col), F.col("best.id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("best.row")).alias("kept"), F.col("sha").alias("text_sha256"))

@@ -12,7 +12,7 @@ from eligo.llm.components import connected_components
 from eligo.llm.exact_dedup import exact_dedup
 from eligo.llm.line_dedup import boilerplate_lines, line_dedup
 from eligo.llm.simhash import links, simhash_dedup
-from tests.llm.helpers import awkward, brute_components, brute_fingerprint, docs_frame, sha
+from tests.llm.helpers import awkward, brute_components, brute_fingerprint, docs_frame, sentence, sha
 
 
 def test_simhash_matches_brute_force(spark):
@@ -139,3 +139,24 @@ def test_lines_near_the_threshold_are_counted_exactly(spark):
 @pytest.mark.parametrize("op", [simhash_dedup, exact_dedup, line_dedup])
 def test_empty_tables(spark, op):
     assert op(docs_frame(spark, [])).collect() == []
+
+
+def test_hot_groups_are_split_in_the_last_joins(spark):
+    """Broadcast off and low thresholds: AQE splits a text and a fingerprint that most rows share."""
+    rows = [(i, "the same words on every page", "en", "s") for i in range(30_000)] + [
+        (50_000 + i, sentence(random.Random(i), 6), "en", "s") for i in range(300)]
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}   # several map tasks, as at scale
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        docs = docs_frame(spark, rows).repartition(8)
+        for out in (exact_dedup(docs), simhash_dedup(docs)):
+            assert len(out.collect()) == len(rows)
+            assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
