@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from eligo.llm.common import materialize, pick, scratch_path, type_of
 
 SKIPPABLE = 0x184D2A5D
+MOST_BROADCAST_ROWS = 1_000_000    # verdicts, of some 30 bytes
+TASK_BYTES = 256 << 20             # of archives that a reading task takes
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
 
 
@@ -106,27 +108,50 @@ def dedup_plan(rows: DataFrame, min_bytes: int) -> DataFrame:
     """(id, url, body, refers_to, revisit): of equal payloads the smallest id is the response.
 
     Payloads are told apart by length and SHA-256.  Repeated rows of that id: one is the response (nulls last).
+    Verdicts are found on keys alone, so no body is shuffled by its digest: groups of one payload are written before
+    they are joined (a hot payload is then split), and a verdict finds its row by the row's number.
     """
-    first = rows.where(F.col("n") >= min_bytes).groupBy("sha", "n").agg(
-        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first"))
-    return rows.join(first, ["sha", "n"], "left").select(
-        "id", "url", "body", F.when(F.col("row") != F.col("first.row"), F.col("first.id")).alias("refers_to"),
-        F.coalesce(F.col("row") != F.col("first.row"), F.lit(False)).alias("revisit"))
+    keys = rows.where(F.col("n") >= min_bytes).select("id", "row", "sha", "n")
+    first = materialize(keys.groupBy("sha", "n").agg(
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first"), F.count("*").alias("copies"))
+        .where("copies > 1").select("sha", "n", "first"), "warc-firsts")
+    revisits = materialize(keys.join(first, ["sha", "n"]).where(F.col("row") != F.col("first.row"))
+                           .select("row", F.col("first.id").alias("refers_to"), F.lit(True).alias("revisit")), "warc-revisits")
+    small = revisits.count() <= MOST_BROADCAST_ROWS
+    return rows.join(F.broadcast(revisits) if small else revisits.hint("shuffle_hash"), "row", "left").select(
+        "id", "url", "body", "refers_to", F.coalesce("revisit", F.lit(False)).alias("revisit"))
+
+
+def arrow_uri(uri: str) -> str:
+    """A shared folder's address as Arrow names it; raises for schemes it has no store for."""
+    scheme, colon, rest = uri.partition(":")
+    if not colon or "/" in scheme:
+        return uri
+    if scheme == "file":
+        return "/" + rest.lstrip("/")
+    known = {"s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "hdfs": "hdfs", "abfs": "abfs", "abfss": "abfss"}
+    if scheme not in known:
+        raise ValueError(f"no store for {scheme}:// addresses: {uri}")
+    return f"{known[scheme]}:{rest}"
 
 
 def write_warc(pages: DataFrame, path: str | None = None, id_col: str = "page_id", url_col: str = "url",
                body_col: str = "html", min_bytes: int = 0, level: int = 6, file_bytes: int = 256 << 20,
                **sample) -> DataFrame:
     """Writes a record for each row into files under ``path`` (a shared folder) and returns the index:
-    ``file, offset, length, page_id, record_type``."""
+    ``file, offset, length, page_id, record_type``.
+
+    A null body is empty; a record without an id or a URL lacks that header; an empty table writes no file.
+    """
+    folder = path or scratch_path(pages.sparkSession, "warc")
+    target = arrow_uri(folder)    # refused before any work
     rows = numbered_pages(pages, id_col, url_col, body_col)
     plan = dedup_plan(rows, min_bytes)
     dictionary = train_dictionary(rows, "body", **sample)
-    folder = path or scratch_path(pages.sparkSession, "warc")
     shared = pages.sparkSession.sparkContext.broadcast(dictionary)
 
     def write(batches):
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = fs.FileSystem.from_uri(target)
         store.create_dir(root, recursive=True)
         t = TaskContext.get()
         zd = zstandard.ZstdCompressionDict(shared.value) if shared.value else None
@@ -165,9 +190,12 @@ def read_warc(index: DataFrame) -> DataFrame:
 
     ``page_id, refers_to`` (text), ``url, record_type, payload_bytes, payload_digest, payload`` (null for revisits).
     """
-    files = index.select("file").distinct()
-    # A stated number of partitions: the list of names is small, the files are not.
-    files = files.repartition(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")), "file")
+    # The list of names is written with the files' sizes and then dealt out evenly: names are small, the files are not,
+    # and a repartition right above the grouping would be dropped for the grouping's own partitions, which AQE coalesces.
+    files = materialize(index.groupBy("file").agg(F.max(F.col("offset") + F.col("length")).alias("size")), "warc-files")
+    count, size = files.agg(F.count("*"), F.sum("size")).first()
+    tasks = max(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")), (size or 0) // TASK_BYTES)
+    files = files.select("file").repartition(max(1, min(count, tasks)))
     names = ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "payload"]
     types = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.binary()]
 
@@ -178,7 +206,7 @@ def read_warc(index: DataFrame) -> DataFrame:
     def read(batches):
         for b in batches:
             for uri in b.column(0).to_pylist():
-                store, at = fs.FileSystem.from_uri(uri)
+                store, at = fs.FileSystem.from_uri(arrow_uri(uri))
                 rows, size = [], 0
                 with store.open_input_stream(at, compression=None) as f:
                     for raw in frames(f):

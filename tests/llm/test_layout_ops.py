@@ -20,7 +20,8 @@ from eligo.llm.config_lp import best_fit, contents, cover, knapsack, lower_bound
 from eligo.llm.packing import WordTokens, pack, sequences
 from eligo.llm.queries import tokenizer_path
 from eligo.llm.shard import Leaf, assign_shards, descend, grow, layout
-from eligo.llm.warc import read_warc, write_warc
+from eligo.llm import warc
+from eligo.llm.warc import arrow_uri, read_warc, write_warc
 from tests.llm.helpers import awkward, docs_frame
 
 # ---- sharding
@@ -161,6 +162,37 @@ def test_warc_of_nothing(spark):
     assert index.count() == 0 and read_warc(index).collect() == []
 
 
+def test_archives_are_read_by_as_many_tasks_as_there_are_files(spark):
+    index = write_warc(spark.range(0, 4000, 1, 24).selectExpr(
+        "id AS page_id", "concat('u', id) AS url", "repeat(concat('page ', id), 20) AS html"), file_bytes=4000)
+    n = index.select("file").distinct().count()
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        records = read_warc(index)
+        per_task = records.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert n > 16 and len(per_task) == 16 and sum(r["count"] for r in per_task) == 4000
+        assert max(r["count"] for r in per_task) < 3 * 4000 / 16
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_verdicts_join_by_shuffle_beyond_the_broadcast_limit(spark, monkeypatch):
+    pages = spark.createDataFrame([(i, f"u{i}", f"body {i % 7}") for i in range(60)] + [(None, None, "body 3"), (5, "u5", "body 5")],
+                                  "page_id bigint, url string, html string")
+    want = sorted(map(str, read_warc(write_warc(pages)).drop("payload").collect()))
+    monkeypatch.setattr(warc, "MOST_BROADCAST_ROWS", -1)
+    assert sorted(map(str, read_warc(write_warc(pages)).drop("payload").collect())) == want
+
+
+def test_addresses_of_shared_folders():
+    assert arrow_uri("s3a://bucket/x/y") == arrow_uri("s3n://bucket/x/y") == "s3://bucket/x/y"
+    assert arrow_uri("/data/x") == "/data/x" and arrow_uri("file:/data/x") == arrow_uri("file:///data/x") == "/data/x"
+    assert arrow_uri("hdfs://host:9000/x") == "hdfs://host:9000/x"
+    with pytest.raises(ValueError):
+        arrow_uri("viewfs://store/x")
+
+
 # ---- packing
 
 def _check_bins(bins, hist, capacity):
