@@ -28,8 +28,9 @@ Plan for the hourly shape (small increment, large state):
 * the carried rows are one map-only anti join of the state against the
   updated keys (a subset of the measured keys, so equally bounded).
   The state is scanned, never shuffled.
-* when the key set is too large to broadcast, the same joins run as shuffle
-  joins on (user_id, offer_id).
+* when the key set is too large to broadcast, the same joins run as shuffle joins on (user_id, offer_id) of the few
+  state rows whose key meets a bitmap of the increment's keys; all others pass map-only;
+* a state table bucketed by the key (``buckets``) is not moved at all: the keys are dealt out like its buckets.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eligo.operators.joins import (
-    DEFAULT_BROADCAST_BYTES, KeySet, anti_join, key_set, semi_join, split_null_keys,
+    DEFAULT_BROADCAST_BYTES, KeySet, anti_join, bucketed_anti_join, key_set, semi_join, split_null_keys,
 )
 from eligo.schemas import EXPIRY_ACTIVE, KEY_COLS, STAGE_COLS, STATE_COLS, STATE_SCHEMA
 
@@ -134,6 +135,7 @@ class NextBatch:
     updates: DataFrame       # N1-M4 rows
     carried: DataFrame       # previous rows whose key got no update
     pairs: DataFrame         # labelled pairs (for audit and counts)
+    touched: DataFrame | None = None   # previous rows that share a key with the increment
 
     def rows(self) -> DataFrame:
         return self.updates.unionByName(self.carried)
@@ -141,13 +143,15 @@ class NextBatch:
 
 def next_batch(incr: DataFrame, prev: DataFrame | None, batch_id: int,
                max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-               materialize: Callable[[DataFrame, str], DataFrame] | None = None) -> NextBatch:
-    """Classify ``incr`` (staged rows) against ``prev`` (one full state batch).
+               materialize: Callable[[DataFrame, str], DataFrame] | None = None,
+               max_bitmap_bytes: int | None = None, buckets: int = 0,
+               keep_touched: bool = False) -> NextBatch:
+    """Classify ``incr`` (staged rows) against ``prev`` (one full state batch, in ``buckets`` buckets by key if any).
 
     ``prev`` of ``None`` is the first batch: every row is a new mapping.
     ``materialize`` (e.g. ``session.materialize``) stores the labelled pairs
     once; they feed both the update rows and the keys the carry-forward
-    excludes, and would otherwise be computed twice.
+    excludes, and would otherwise be computed twice; ``keep_touched`` stores the touched rows too, for an audit.
     """
     keep = materialize or (lambda df, _name: df)
     if prev is None:
@@ -157,18 +161,26 @@ def next_batch(incr: DataFrame, prev: DataFrame | None, batch_id: int,
         return NextBatch(updates, carried, pairs)
 
     prev = prev.select(*STATE_COLS)
-    incr_keys = key_set(incr, KEY_COLS, max_broadcast_bytes)   # measured once
+    # measured once; a bucketed state needs no filter before its joins
+    incr_keys = key_set(incr, KEY_COLS, max_broadcast_bytes, 0 if buckets else max_bitmap_bytes)
+    if buckets and not incr_keys.broadcast:
+        incr_keys = KeySet(incr_keys.frame.repartition(buckets, *KEY_COLS).hint("merge"), tuple(KEY_COLS), False)
     # The rules read ten columns of the few previous rows that share a key
     # with the increment; column pruning keeps the scan to those columns.
-    touched = semi_join(prev, incr_keys, KEY_COLS)
+    touched = semi_join(prev, incr_keys, KEY_COLS).select(*dict.fromkeys([*KEY_COLS, *_H]))
+    if keep_touched:
+        touched = keep(touched, "touched")
     pairs = keep(label_pairs(incr, touched), "pairs")
     updates = updates_from_pairs(pairs, batch_id)
     # Updated keys are a subset of the increment's keys, so the size bound
     # measured above holds for them too: no second measurement.
     update_keys = updates.select(*KEY_COLS).dropDuplicates()
-    update_keys = KeySet(F.broadcast(update_keys) if incr_keys.broadcast else update_keys,
-                         tuple(KEY_COLS), incr_keys.broadcast)
-    carried = (anti_join(prev, update_keys, KEY_COLS)
-               .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    if buckets and not incr_keys.broadcast:
+        left = bucketed_anti_join(prev, update_keys, KEY_COLS, buckets)
+    else:
+        # The increment's bitmap holds for them as well.
+        left = anti_join(prev, KeySet(F.broadcast(update_keys) if incr_keys.broadcast else update_keys,
+                                      tuple(KEY_COLS), incr_keys.broadcast, incr_keys.bitmap), KEY_COLS)
+    carried = (left.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
                .select(*STATE_COLS))
-    return NextBatch(updates, carried, pairs)
+    return NextBatch(updates, carried, pairs, touched)

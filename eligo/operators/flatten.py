@@ -1,5 +1,8 @@
 """Flatten the two landed snapshot formats into one row per (snapshot, offer).
 
+JSON text is parsed once, into a VARIANT; the fields of all levels come out of it in one struct.  (Fields taken
+one by one cost a walk each; fields taken off one ``from_json`` are split by the optimizer into a parse each.)
+
 Both return ``schemas.FLAT_COLS``.  Time columns become timestamp_ntz at
 seconds grain; everything else keeps the landed type and is typed later by
 ``latest.latest_per_key``.
@@ -13,22 +16,27 @@ from pyspark.sql import types as T
 
 from eligo.functions.time import epoch_ms_to_ts_sql as _ts
 from eligo.schemas import FLAT_COLS, KAFKA_STATUS_PLACEHOLDER
+from eligo.sources.landing import fields
 
 _S = T.StringType()
 
-# Legacy payload: every offer field is read as text, as a map<string,string>
-# would; nested objects (progress) come back as their JSON text.
+# Legacy payload: every field is read as text, as a map<string,string> would.
 LEGACY_OFFER_FIELDS = [
     "offerId", "creationTime", "audience", "banditStatus", "experimentStatus",
     "holdout", "invalidationTime", "startTime", "endTime",
     "potentiallyEligibleInFuture", "progress",
 ]
-LEGACY_OFFERS = T.ArrayType(T.StructType([T.StructField(n, _S) for n in LEGACY_OFFER_FIELDS]))
 LEGACY_PROGRESS_FIELDS = [
     "type", "uses", "dollars", "dollarsRequired", "maxUses", "percentage",
     "quantity", "quantityRequired",
 ]
 LEGACY_PROGRESS = T.StructType([T.StructField(n, _S) for n in LEGACY_PROGRESS_FIELDS])
+# ``progress`` stays a VARIANT: it is an object, or an object's JSON text.
+LEGACY_PAYLOAD = T.StructType([
+    T.StructField("userId", _S), T.StructField("updated", _S),
+    T.StructField("offers", T.ArrayType(T.StructType([
+        T.StructField(n, T.VariantType() if n == "progress" else _S) for n in LEGACY_OFFER_FIELDS]))),
+])
 
 # Kafka snapshots as typed frames; landed JSON is read with the same names as text.
 KAFKA_PROGRESS = T.StructType([
@@ -70,47 +78,39 @@ def as_text(dtype: T.DataType) -> T.DataType:
     return _S
 
 
-KAFKA_OFFERS_TEXT = as_text(KAFKA_SCHEMA["offers"].dataType)
+KAFKA_TEXT = as_text(KAFKA_SCHEMA)
 
 
 def landed_fields(landed: DataFrame, origin: str) -> DataFrame:
-    """Landed lines (``line``, ``corrupt``) -> the feed's columns, scalars as text.  Corrupt lines
-    stay behind in raw, where the job counts them."""
+    """Landed lines (``data``, ``corrupt``) -> the feed's columns: scalars as text, the legacy payload as VARIANT.  Corrupt
+    lines stay behind in raw, where the job counts them."""
     lines = landed.where(~F.col("corrupt"))
     if origin == "legacy":
-        return lines.select(F.json_tuple("line", "payload").alias("payload"))
-    fields = lines.select(F.json_tuple("line", *KAFKA_SCHEMA.fieldNames())
-                          .alias("user_id", "updated_timestamp_ms", "offers_text"))
-    return fields.select("user_id", "updated_timestamp_ms",
-                         F.when(F.ltrim("offers_text").startswith("["),
-                                F.from_json("offers_text", KAFKA_OFFERS_TEXT)).alias("offers"))
+        return lines.select(F.try_parse_json(F.try_variant_get("data", "$.payload", "string")).alias("payload"))
+    return lines.select(fields("data", KAFKA_TEXT).alias("f")).select("f.*")
 
 
 def legacy(df: DataFrame) -> DataFrame:
-    """``payload`` JSON text -> FLAT_COLS.
+    """``payload`` (JSON text or VARIANT) -> FLAT_COLS.
 
     ``offers`` must be a JSON array: a missing, NULL, empty, malformed or
     non-array value yields no row for that snapshot.
     """
-    # ``json_tuple`` parses the payload once for all three top-level fields
-    # (values as text, like ``get_json_object``).  Several fields taken off
-    # one ``from_json`` struct get split by the optimizer into one parse each.
-    env = df.select(F.json_tuple("payload", "userId", "updated", "offers")
-                    .alias("user_id", "updated_ms", "offers_text"))
-    offers_text = F.col("offers_text")
-    parsed = env.select(
-        "user_id", "updated_ms",
-        F.when(F.ltrim(offers_text).startswith("["),
-               F.from_json(offers_text, LEGACY_OFFERS)).alias("offers"),
-    )
+    if isinstance(df.schema["payload"].dataType, T.VariantType):
+        parsed = df.select(fields("payload", LEGACY_PAYLOAD).alias("e"))
+    else:
+        parsed = df.select(F.try_parse_json("payload").alias("payload")).select(fields("payload", LEGACY_PAYLOAD).alias("e"))
     # ``explode`` would make the optimizer infer ``size(offers) > 0`` and push it
     # below, evaluating the parse once more per row; ``posexplode_outer`` then
     # dropping its NULL position keeps the same rows (none for a NULL or empty
     # array) with a single parse.
-    exploded = (parsed.select("user_id", "updated_ms",
-                              F.posexplode_outer("offers").alias("pos", "o"))
+    exploded = (parsed.select(F.col("e.userId").alias("user_id"), F.col("e.updated").alias("updated_ms"),
+                              F.posexplode_outer("e.offers").alias("pos", "o"))
                 .where(F.col("pos").isNotNull()).drop("pos"))
-    exploded = exploded.select("*", F.from_json(F.col("o.progress"), LEGACY_PROGRESS).alias("p"))
+    text = F.try_variant_get("o.progress", "$", "string")
+    exploded = exploded.select("*", F.coalesce(
+        fields("o.progress", LEGACY_PROGRESS),
+        F.try_variant_get(F.try_parse_json(text), "$", LEGACY_PROGRESS.simpleString())).alias("p"))
     return exploded.selectExpr(
         "user_id",
         f"{_ts('updated_ms')} AS updated_ts",

@@ -2,7 +2,9 @@
 
 ``broadcast()`` ships one side to every executor, so it is used only after a
 cheap aggregate has measured that side.  Beyond the limit the join stays a
-shuffle join, and the skew-prone lookups split their hot keys over several
+shuffle join: of the large side only those rows move whose key meets a bitmap of the other side's
+keys (a filter of bounded size), or none where the large side is a table bucketed by the key.
+The skew-prone lookups split their hot keys over several
 tasks (salting) instead of sending a hot key to one task.
 """
 
@@ -72,18 +74,25 @@ def split_null_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFram
 
 @dataclass(frozen=True)
 class KeySet:
-    """Distinct join keys, measured once; ``frame`` is broadcast when small."""
+    """Distinct join keys, measured once; ``frame`` is broadcast when small.  A larger one has a bitmap filter:
+    rows it rules out stay where they are, only the others are shuffled to the exact join."""
 
     frame: DataFrame
     keys: tuple[str, ...]
     broadcast: bool
+    bitmap: "KeyBitmap | None" = None
 
 
-def key_set(keys_df: DataFrame, keys: list[str],
-            max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> KeySet:
+def key_set(keys_df: DataFrame, keys: list[str], max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+            max_bitmap_bytes: int | None = None) -> KeySet:
     small = keys_df.select(*keys).dropDuplicates()
-    b = bounded_broadcast(small, max_broadcast_bytes)
-    return KeySet(b if b is not None else small, tuple(keys), b is not None)
+    size = estimate_size(small)
+    if 0 < max_broadcast_bytes and size.bytes <= max_broadcast_bytes:
+        return KeySet(F.broadcast(small), tuple(keys), True)
+    most = MAX_BITMAP_BYTES if max_bitmap_bytes is None else max_bitmap_bytes
+    # The distinct keys are not needed to set bits; copies set a bit again.
+    bitmap = key_bitmap(keys_df.select(*keys), keys, size.rows, most) if most > 0 else None
+    return KeySet(small, tuple(keys), False, bitmap)
 
 
 def _as_key_set(keys_df, keys, max_broadcast_bytes) -> KeySet:
@@ -95,9 +104,11 @@ def semi_join(big: DataFrame, keys_df: "DataFrame | KeySet", keys: list[str],
     """Rows of ``big`` whose key occurs in ``keys_df``.
 
     With a small key set the join is a map-only broadcast hash join: ``big`` is
-    scanned once and never shuffled.
+    scanned once and never shuffled.  Otherwise the rows that the key bitmap lets pass are shuffled.
     """
     ks = _as_key_set(keys_df, keys, max_broadcast_bytes)
+    if ks.bitmap is not None:
+        big, _ = ks.bitmap.split(big)
     return big.join(ks.frame, list(ks.keys), "left_semi")
 
 
@@ -105,17 +116,81 @@ def anti_join(big: DataFrame, keys_df: "DataFrame | KeySet", keys: list[str],
               max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Rows of ``big`` whose key does not occur in ``keys_df`` (NULL keys never occur).
 
-    Small key set: broadcast, map-only.  Otherwise a shuffle join; rows with a
-    NULL key cannot match, so they bypass the shuffle instead of all landing in
-    the one task that NULL hashes to.
+    Small key set: broadcast, map-only.  Otherwise a shuffle join of the rows that the key bitmap lets
+    pass; all others bypass the shuffle, rows with a NULL key among them (they cannot match, and would
+    all land in the one task that NULL hashes to).
     """
     ks = _as_key_set(keys_df, keys, max_broadcast_bytes)
     if ks.broadcast:
         return big.join(ks.frame, list(ks.keys), "left_anti")
+    if ks.bitmap is not None:
+        maybe, surely_not = ks.bitmap.split(big)
+        return maybe.join(ks.frame, list(ks.keys), "left_anti").unionByName(surely_not)
     keyed, unkeyed = split_null_keys(big, list(ks.keys))
     return keyed.join(ks.frame, list(ks.keys), "left_anti").unionByName(unkeyed)
 
 
+def bucketed_anti_join(big: DataFrame, keys_df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """``anti_join`` for a ``big`` that lies in ``buckets`` buckets by ``keys``: the key set is dealt out
+    like the buckets, so ``big`` is read as it lies and never shuffled, however large the key set.  (NULL keys
+    match nothing and lie in their bucket.)"""
+    small = keys_df.select(*keys).dropDuplicates()
+    if buckets:
+        small = small.repartition(buckets, *keys)
+    return big.join(small.hint("merge"), keys, "left_anti")
+
+
+# ---- key bitmap -------------------------------------------------------------------
+
+MAX_BITMAP_BYTES = 64 * 1024 * 1024
+_BLOCK_BITS = 32768      # fixed value: positions of one bitmap_construct_agg
+_BITS_PER_KEY = 16       # about 6 % of foreign keys then meet a set bit
+
+
+def _bit_number(keys, bits: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(bits))
+
+
+@dataclass(frozen=True)
+class KeyBitmap:
+    """A bounded filter of a key set: bit ``hash(key) mod bits`` is set for every key.  ``blocks`` holds the set
+    bits as (block, words): 32,768 bits each, in 512 longs; blocks without a key have no row."""
+
+    blocks: DataFrame
+    keys: tuple[str, ...]
+    bits: int
+
+    def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(rows whose key may be in the set, rows whose key is not), both map-only; a NULL key is not in any set."""
+        n = _bit_number(self.keys, self.bits)
+        known = F.lit(True)
+        for k in self.keys:
+            known = known & F.col(k).isNotNull()
+        at = df.withColumn("_n", F.when(known, n)).withColumn("_block", F.floor(F.col("_n") / F.lit(_BLOCK_BITS)))
+        probed = at.join(F.broadcast(self.blocks), "_block", "left")
+        place = F.col("_n") % F.lit(_BLOCK_BITS)
+        word = F.get("_words", F.floor(place / F.lit(64)).cast("int"))
+        # bytes of a word run from the highest to the lowest, bits of a byte from the lowest: position xor 56
+        bit = F.coalesce(F.getbit(word, (place % F.lit(64)).cast("int").bitwiseXOR(F.lit(56))) == 1, F.lit(False))
+        return probed.where(bit).select(*df.columns), probed.where(~bit).select(*df.columns)
+
+
+def key_bitmap(keys_df: DataFrame, keys: list[str], n_keys: int, max_bytes: int = MAX_BITMAP_BYTES) -> KeyBitmap:
+    """The filter of ``keys_df``, some bits for each of its ``n_keys`` keys; at most ``max_bytes`` however many there are."""
+    bits = _BLOCK_BITS
+    while bits < n_keys * _BITS_PER_KEY and bits * 2 <= max_bytes * 8:
+        bits *= 2
+    known = keys_df.dropna(subset=keys).select(_bit_number(keys, bits).alias("n"))
+    # bitmap_* number positions from 1
+    maps = known.select(F.bitmap_bucket_number(F.col("n") + 1).alias("b"), F.bitmap_bit_position(F.col("n") + 1).alias("p")) \
+        .groupBy("b").agg(F.bitmap_construct_agg("p").alias("m"))
+    # Byte i of a map holds positions 8i to 8i + 7, lowest bit first; eight of its bytes are a word, the first one highest.
+    words = F.transform(F.sequence(F.lit(0), F.lit(_BLOCK_BITS // 64 - 1)), lambda i: F.conv(
+        F.hex(F.substring(F.col("m"), i * 8 + 1, F.lit(8))), 16, -10).cast("bigint"))
+    blocks = maps.select((F.col("b") - 1).alias("_block"), words.alias("_words"))
+    return KeyBitmap(materialize(blocks, "key-bitmap"), tuple(keys), bits)
+
+
 def lookup_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
                 max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
                 rows_per_task: int = DEFAULT_ROWS_PER_TASK,

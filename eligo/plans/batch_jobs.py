@@ -8,7 +8,10 @@
   audit and publish the next full batch.
 
 Every intermediate that more than one step reads is a written table, so each
-step restarts from stored data, not from a long lineage.
+step restarts from stored data, not from a long lineage.  Rows are counted while they are written.
+
+With a ``database`` in ``Tables`` the versioned tables are read and written through Spark's catalog (bucketed by their
+key, if ``buckets`` is given); without one they are directories.
 """
 
 from __future__ import annotations
@@ -16,17 +19,19 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eligo.operators import classify, expiry, flatten, merge, offers
 from eligo.operators.joins import DEFAULT_BROADCAST_BYTES
 from eligo.operators.latest import latest_per_key
 from eligo.schemas import (
-    PARTITION_COLS, SAVED_OFFER_COLS, SAVED_OFFER_SCHEMA, STATE_COLS, Tables,
+    KEY_COLS, PARTITION_COLS, SAVED_OFFER_COLS, SAVED_OFFER_SCHEMA, STATE_COLS, STATE_SCHEMA, Tables,
 )
 from eligo.session import materialize
 from eligo.sinks import publish, write
+from eligo.sinks.catalog import VersionedTable
 from eligo.sources import landing
 from eligo.sources.tables import read_parquet_or_none
 
@@ -47,29 +52,62 @@ def next_version(last: int | None, wanted: int | None, end: datetime) -> int:
     return wanted
 
 
-def replace_hours(spark: SparkSession, raw: DataFrame, raw_path: str, start: datetime, end: datetime) -> bool:
+# ---- versioned tables ------------------------------------------------------------
+
+def catalog_table(spark: SparkSession, tables: Tables, path: str, log_path: str,
+                  columns: T.StructType, keys) -> VersionedTable | None:
+    """The catalog's table over ``path`` with its published versions, or ``None`` where the tables are directories."""
+    if tables.database is None:
+        return None
+    columns = T.StructType([f for f in columns.fields if f.name != "batch_id"])
+    name = f"{tables.database}.{path.rstrip('/').rsplit('/', 1)[-1]}"
+    log = publish.logged_batches(spark, log_path)
+    versions = [] if log is None else [r[0] for r in log.select("batch_id").distinct().collect()]   # one for each run
+    return VersionedTable(spark, name, path, columns, tuple(keys), tables.buckets).attach(versions)
+
+
+def saved_offers_table(spark: SparkSession, tables: Tables) -> VersionedTable | None:
+    return catalog_table(spark, tables, tables.saved_offers, tables.saved_offers_log, SAVED_OFFER_SCHEMA, ["offer_id"])
+
+
+def state_table(spark: SparkSession, tables: Tables, path: str | None = None) -> VersionedTable | None:
+    return catalog_table(spark, tables, path or tables.cs_active, tables.batch_log, STATE_SCHEMA, KEY_COLS)
+
+
+# ---- landing ---------------------------------------------------------------------
+
+def replace_hours(spark: SparkSession, raw: DataFrame, raw_path: str, start: datetime, end: datetime) -> tuple[bool, int]:
     """Write a window's hours into a raw table; hours of the window that no longer
-    land are removed, all other hours stay.  Returns whether the window had landed before."""
+    land are removed, all other hours stay.  Returns whether the window had landed before, and its corrupt lines.
+
+    Corrupt lines are counted while the window is written."""
     def hours(df):   # at most the window's hours
         return {tuple(r) for r in df.select(*PARTITION_COLS).distinct().collect()}
 
     before = landing.read_hours(spark, raw_path, start, end, "parquet")
     landed = hours(before) if before is not None else set()
     stale = landed - hours(raw) if landed else set()
-    write.overwrite_partitions(raw, raw_path, PARTITION_COLS)
+    seen = Observation()
+    write.overwrite_partitions(raw.observe(seen, F.count_if("corrupt").alias("corrupt")), raw_path, PARTITION_COLS)
     write.drop_partitions(spark, raw_path, [
         "/".join(f"{c}={v}" for c, v in zip(PARTITION_COLS, h)) for h in sorted(stale)])
-    return bool(landed)
+    return bool(landed), int(seen.get["corrupt"] or 0)
 
 
 def land_window(spark: SparkSession, base: str, start: datetime, end: datetime,
                 raw_path: str) -> DataFrame:
     """Copy one hour window of the landing into the raw table, every line whole (only that
     window's hours are replaced), and return the window read back from it."""
+    return land_counted(spark, base, start, end, raw_path)[0]
+
+
+def land_counted(spark: SparkSession, base: str, start: datetime, end: datetime,
+                 raw_path: str) -> tuple[DataFrame, int]:
+    """``land_window`` and the window's corrupt lines, counted while it was written."""
     raw = landing.read_window(spark, base, start, end)
-    replace_hours(spark, raw, raw_path, start, end)
+    _, corrupt = replace_hours(spark, raw, raw_path, start, end)
     back = landing.read_hours(spark, raw_path, start, end, "parquet")
-    return back if back is not None else raw.limit(0)
+    return (back if back is not None else raw.limit(0)), corrupt
 
 
 # ---- saved offers --------------------------------------------------------
@@ -80,8 +118,8 @@ def run_saved_offers(spark: SparkSession, tables: Tables, base: str,
     version = next_version(previous, version, end)      # refused before anything is written
     df = landing.read_window(spark, base, start, end, landing.SAVED_OFFER_LANDING_SCHEMA)
     raw = df.select("id", F.col("eligibilityRequirement.latestEndTime").alias("latestEndTime"),
-                    "startTime", "endTime", "line", "corrupt", *PARTITION_COLS)
-    landed_before = replace_hours(spark, raw, tables.raw_saved_offers, start, end)
+                    "startTime", "endTime", "line", "data", "corrupt", *PARTITION_COLS)
+    landed_before, corrupt = replace_hours(spark, raw, tables.raw_saved_offers, start, end)
 
     # One stage for each version.  A window on new hours is merged into the last stage, so an hourly
     # run reads its own hours only; one that replaces hours rebuilds the stage from all of raw.
@@ -92,19 +130,21 @@ def run_saved_offers(spark: SparkSession, tables: Tables, base: str,
         last_stage = publish.read_batch(spark, tables.stg_saved_offers, previous, SAVED_OFFER_COLS)
         staged = offers.restage_saved_offers(last_stage, window if window is not None else raw.limit(0))
     rows_staged = publish.write_version(staged, tables.stg_saved_offers, version)
-    corrupt = window.where("corrupt").count() if window is not None else 0
     source = publish.read_batch(spark, tables.stg_saved_offers, version, SAVED_OFFER_COLS)
     dups = merge.duplicate_keys(source.where(F.col("offer_id").isNotNull()), "offer_id").limit(1).collect()
     if dups:
         raise ValueError(f"staged saved offers repeat an offer id: {dups}")
 
-    target = publish.read_current(spark, tables.saved_offers, tables.saved_offers_log,
-                                  SAVED_OFFER_COLS)
-    if target is None:
-        target = spark.createDataFrame([], SAVED_OFFER_SCHEMA)
-    merged = merge.merge_upsert(target, source, "offer_id",
-                                ["start_time", "end_time", "latest_end_time"])
-    rows = publish.write_version(merged.select(*SAVED_OFFER_COLS), tables.saved_offers, version)
+    compare = ["start_time", "end_time", "latest_end_time"]
+    table = saved_offers_table(spark, tables)
+    if table is not None:
+        rows = publish.counted(table.merged(previous, source, compare), lambda df, watch: table.write(df, version, watch, dealt=True))
+    else:
+        target = publish.read_current(spark, tables.saved_offers, tables.saved_offers_log, SAVED_OFFER_COLS)
+        if target is None:
+            target = spark.createDataFrame([], SAVED_OFFER_SCHEMA)
+        merged = merge.merge_upsert(target, source, "offer_id", compare)
+        rows = publish.write_version(merged.select(*SAVED_OFFER_COLS), tables.saved_offers, version)
     publish.commit_version(spark, tables.saved_offers_log, version, rows, previous,
                            f"window {start:%Y-%m-%d %H} -> {end:%Y-%m-%d %H}; "
                            f"{rows_staged} offers staged; corrupt lines {corrupt}")
@@ -148,11 +188,16 @@ def run_init(spark: SparkSession, tables: Tables, dump_path: str, as_of: date,
     def as_state(df):
         return df.withColumn("batch_id", F.lit(batch_id).cast("bigint")).select(*STATE_COLS)
 
-    publish.write_batch(as_state(active), tables.cs_active, batch_id)
-    publish.write_batch(as_state(inactive), tables.cs_inactive, batch_id)
-    rows, gone, dumped = (df.count() for df in (
-        publish.read_batch(spark, tables.cs_active, batch_id),
-        publish.read_batch(spark, tables.cs_inactive, batch_id), dump))
+    def write_state(df, path):
+        """CTAS IF NOT EXISTS of the state's first batch in the catalog, or its directory."""
+        table = state_table(spark, tables, path)
+        if table is None:
+            return publish.counted(as_state(df), lambda rows, watch: publish.write_batch(watch(rows), path, batch_id))
+        if batch_id in table.versions():      # left by a run that stopped before it was published
+            table.drop(batch_id)
+        return publish.counted(as_state(df), lambda rows, watch: table.create_as(rows, batch_id, watch))
+
+    rows, gone, dumped = write_state(active, tables.cs_active), write_state(inactive, tables.cs_inactive), dump.count()
     if rows + gone != dumped:
         raise ValueError(f"batch {batch_id}: {rows} active and {gone} inactive rows of {dumped} in the dump")
     publish.commit_version(spark, tables.batch_log, batch_id, rows, None, f"init from {dump_path}")
@@ -181,26 +226,37 @@ def run_increment(spark: SparkSession, tables: Tables, base: str, start: datetim
     previous_id = publish.last_logged_batch(spark, tables.batch_log)
     batch_id = next_version(previous_id, batch_id, end)
 
-    window = land_window(spark, base, start, end, tables.raw)
-    corrupt = window.where("corrupt").count()
+    window, corrupt = land_counted(spark, base, start, end, tables.raw)
     fields = flatten.landed_fields(window, tables.origin)
     staged = latest_per_key(flatten.by_origin(fields, tables.origin), tiebreak)
     write.overwrite(staged, tables.stg)
     incr = spark.read.parquet(tables.stg)
 
-    prev = (publish.read_batch(spark, tables.cs_active, previous_id)
-            if previous_id is not None else None)
-    nb = classify.next_batch(incr, prev, batch_id, max_broadcast_bytes, materialize=materialize)
+    table = state_table(spark, tables)
+    if table is not None and tables.buckets and compact_rows_per_file:
+        raise ValueError("buckets set the files of a bucketed state: it takes no compact_rows_per_file")
+    prev, previous_rows = None, 0
+    if previous_id is not None:
+        prev = table.read(previous_id) if table else publish.read_batch(spark, tables.cs_active, previous_id)
+        previous_rows = publish.logged_rows(spark, tables.batch_log, previous_id)
+    nb = classify.next_batch(incr, prev, batch_id, max_broadcast_bytes, materialize=materialize,
+                             buckets=tables.buckets if table else 0, keep_touched=True)
     # ``pairs`` are stored by ``next_batch``: updates and the keys the
     # carry-forward excludes both come from that one copy.
-    updates, carried = nb.updates, nb.carried
-    publish.write_batch(updates.unionByName(carried), tables.cs_active, batch_id)
+    updates = nb.updates
+    if table is None:
+        counts = publish.observed_write(updates, nb.carried, lambda rows, watch: publish.write_batch(
+            watch(rows), tables.cs_active, batch_id))
+    else:   # carried rows lie in their buckets; only the updates are dealt out
+        dealt = updates.repartition(tables.buckets, *KEY_COLS) if tables.buckets else updates
+        counts = publish.observed_write(dealt, nb.carried, lambda rows, watch: table.write(rows, batch_id, watch, dealt=True))
     if compact_rows_per_file:
         # (offer_id, user_id), not offer_id alone: range bounds then split a hot offer.
         publish.compact(spark, tables.cs_active, ["batch_id"], ["offer_id", "user_id"],
                         compact_rows_per_file, where=F.col("batch_id") == batch_id)
 
-    audit = publish.audit_batch(spark, tables.cs_active, batch_id, updates, prev, max_broadcast_bytes)
+    audit = publish.audit_observed(counts, publish.read_batch(spark, tables.cs_active, batch_id), updates, nb.touched,
+                                   previous_rows, batch_id, max_broadcast_bytes)
     counts = {r["rule"]: r["n"] for r in
               nb.pairs.groupBy("rule").agg(F.count(F.lit(1)).alias("n")).collect()}
     publish.publish(spark, tables.batch_log, audit, previous_id,
@@ -258,11 +314,16 @@ def register_tables(spark: SparkSession, tables: Tables, database: str,
     stg = read_parquet_or_none(spark, tables.stg)
     if stg is not None:
         create(tables.stg, stg, None, [])
+    if tables.database is not None and tables.database != database:
+        raise ValueError(f"the versioned tables are in {tables.database}, not in {database}")
     for path, log_path in ((tables.cs_active, tables.batch_log), (tables.saved_offers, tables.saved_offers_log),
                            (tables.stg_saved_offers, tables.saved_offers_log)):
         log = publish.logged_batches(spark, log_path)
         if log is not None:
             versions = [r[0] for r in log.select("batch_id").distinct().collect()]   # one row for each run
+            if tables.database is not None and path != tables.stg_saved_offers:
+                names.append((state_table if path == tables.cs_active else saved_offers_table)(spark, tables).name)
+                continue
             create(path, publish.read_batch(spark, path, max(versions), None), ["batch_id"],
                    [{"batch_id": v} for v in versions])
     return names

@@ -361,6 +361,56 @@ SELECT {", ".join(f"CASE WHEN take_source THEN s_{c} ELSE t_{c} END AS {c}"
 FROM d"""
 
 
+def _catalog_tables_sql() -> str:
+    """Three versions of the dimension: the first window's stage, then the merge of the second, twice."""
+    cols = "offer_id, start_time, end_time, latest_end_time, year, month, day, hour"
+    merged = _OFFER_MERGE.replace("\nFROM d", ", t_present, s_present\nFROM d")
+    head, _, body = merged.rpartition("\nSELECT ")
+    return f"""{head},
+merged AS (SELECT {body})
+SELECT {cols}, CAST(1 AS BIGINT) AS batch_id FROM tgt
+UNION ALL SELECT {cols}, CAST(v AS BIGINT) AS batch_id FROM merged, (SELECT unnest([2, 3]) AS v)"""
+
+
+def _schema_drift_sql() -> str:
+    """The landed lines as DuckDB writes them, opened by its own json_tree."""
+    def offer(k):
+        progress = (f"json_object('type', 'uses', 'uses', CAST(floor(value) AS BIGINT), 'dollars', value, 'dollars_required', 100.0, "
+                    f"'max_uses', 10, 'percentage', CASE WHEN event_type <> 'error' THEN 0.5 END, "
+                    f"'quantity', CASE WHEN {k} % 4 <> 0 THEN {k} % 7 + 0.5 END, 'quantity_required', 7)")
+        # a merge patch drops members that are null, as the feed leaves them out
+        return (f"json_merge_patch('{{}}', json_object('offer_id', CAST({k} AS VARCHAR), 'creation_timestamp_ms', ms - 86400000, "
+                f"'start_timestamp_ms', ms, 'end_timestamp_ms', ms + 2592000000, 'audience', user_id % 3 <> 0, 'holdout', {k} % 10 = 0, "
+                f"'potentially_eligible_in_future', event_type = 'signup', 'progress', {progress}))")
+    known = ["$", "$.user_id", "$.updated_timestamp_ms", "$.offers", "$.offers[*]", *(
+        f"$.offers[*].{f}" for f in ("offer_id", "creation_timestamp_ms", "invalidation_timestamp_ms", "start_timestamp_ms",
+                                     "end_timestamp_ms", "audience", "holdout", "potentially_eligible_in_future", "progress")), *(
+        f"$.offers[*].progress.{f}" for f in ("type", "uses", "dollars", "dollars_required", "max_uses", "percentage", "quantity",
+                                              "quantity_required"))]
+    return f"""WITH e AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, epoch_us(ts) // 1000 AS ms FROM events),
+l AS (SELECT event_id, json_object('user_id', CAST(user_id AS VARCHAR), 'updated_timestamp_ms',
+        CASE WHEN event_type = 'view' THEN to_json(CAST(ms AS VARCHAR)) ELSE to_json(ms) END,
+        'offers', json_array({offer("k")}, {offer("((k + 1) % 100)")}), 'source_host', 'h1') AS line FROM e),
+t AS (SELECT DISTINCT event_id, regexp_replace(fullkey, '\\[\\d+\\]', '[*]', 'g') AS path,
+        CASE type WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean'
+                  WHEN 'NULL' THEN 'null' ELSE 'number' END AS type
+      FROM l, json_tree(l.line))
+SELECT path, type, count(*) AS n_lines, list_contains({known!r}, path) AS known FROM t GROUP BY path, type"""
+
+
+def _audit_sql(state: str) -> str:
+    keys = "(SELECT DISTINCT user_id, offer_id FROM updates)"
+    return f"""{state},
+u AS (SELECT * EXCLUDE (batch_id), count(*) AS copies FROM updates GROUP BY ALL)
+SELECT (SELECT count(*) FROM updates) + (SELECT count(*) FROM carried) AS rows, (SELECT count(*) FROM updates) AS update_rows,
+       (SELECT count(*) FROM carried) AS carried_rows, (SELECT count(*) FROM hist) AS previous_rows,
+       (SELECT count(*) FROM hist JOIN {keys} USING (user_id, offer_id)) AS replaced_rows,
+       (SELECT count(*) FROM (SELECT user_id, offer_id FROM updates UNION ALL SELECT user_id, offer_id FROM carried)
+        JOIN {keys} USING (user_id, offer_id)) AS rows_of_updated_keys,
+       (SELECT count(*) FROM (SELECT 1 FROM updates GROUP BY user_id, offer_id HAVING count(*) > 1)) AS keys_with_several_rows,
+       CAST((SELECT sum(copies - 1) FROM u) AS BIGINT) AS update_copies, true AS sound"""
+
+
 def oracle_sql() -> dict[str, str]:
     state = _ctes_state()
     k = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
@@ -410,7 +460,12 @@ SELECT * FROM o WHERE batch_id = (SELECT max(batch_id) FROM o)""",
         "q_offer_stage": f"""WITH {_RAW_OFFERS},
 {_offer_stage("st", "true")}
 SELECT offer_id, start_time, end_time, latest_end_time, year, month, day, hour FROM st""",
+        "q_carry_forward_large": f"{state}\n{_state_select('carried')}",
+        "q_audit_counts": _audit_sql(state),
         "q_offer_merge": _OFFER_MERGE,
+        "q_merge_bucketed": _OFFER_MERGE,
+        "q_catalog_tables": _catalog_tables_sql(),
+        "q_schema_drift": _schema_drift_sql(),
         "q_saved_offers_job": _OFFER_MERGE,
         "q_eligibility_job": f"""{_ctes_state(_legacy_flat_cte())}
 {_state_select('updates')}

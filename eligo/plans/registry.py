@@ -6,6 +6,7 @@ Every query reads the shared tables (or frames Spark derives from them) whole;
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -15,11 +16,13 @@ from pyspark.sql import functions as F
 from eligo.functions.casts import json_field, nvl_decimal, typed
 from eligo.functions.paths import hour_window, path_parts
 from eligo.functions.time import epoch_ms_to_ts, ts_to_epoch_ms, utc_to_zone
-from eligo.operators import classify, expiry, flatten, merge, offers
+from eligo.operators import classify, drift, expiry, flatten, merge, offers
 from eligo.operators.latest import latest_per_key
 from eligo.plans import standins as S
-from eligo.schemas import OFFER_TIME_ZONE, SAVED_OFFER_COLS
+from eligo.schemas import OFFER_TIME_ZONE, SAVED_OFFER_COLS, SAVED_OFFER_SCHEMA
+from eligo.sinks.catalog import VersionedTable
 from eligo.sinks.publish import compact
+from eligo.sources import landing
 from eligo.sources.tables import batch_slice, last_batch_value
 from eligo.session import materialize, scratch_path
 
@@ -84,6 +87,34 @@ def q_state_batch(spark, sf_dir):
     return _next(spark, sf_dir).rows()
 
 
+def q_carry_forward_large(spark, sf_dir):
+    """The carry-forward past the broadcast limit: rows that a bitmap of the increment's keys rules out pass
+    map-only, the others go through the exact anti join."""
+    hist_staged, incr = _staged_pair(spark, sf_dir)
+    prev = materialize(_history_state(hist_staged), "hist_state")
+    return classify.next_batch(materialize(incr, "stg_incr"), prev, S.NEXT_BATCH_ID, max_broadcast_bytes=0,
+                               materialize=materialize).carried
+
+
+def q_audit_counts(spark, sf_dir):
+    """The audit of a written batch, counted while it was written: rows, updates, carried, replaced and copies."""
+    from eligo.schemas import STATE_COLS
+    from eligo.sinks import publish
+    hist_staged, incr = _staged_pair(spark, sf_dir)
+    prev = materialize(_history_state(hist_staged), "hist_state")
+    nb = classify.next_batch(materialize(incr, "stg_incr"), prev, S.NEXT_BATCH_ID, materialize=materialize, keep_touched=True)
+    path = scratch_path(spark, "audited")
+    counts = publish.observed_write(nb.updates, nb.carried, lambda rows, watch: publish.write_batch(
+        watch(rows), path, S.NEXT_BATCH_ID))
+    a = publish.audit_observed(counts, publish.read_batch(spark, path, S.NEXT_BATCH_ID, STATE_COLS), nb.updates, nb.touched,
+                               prev.count(), S.NEXT_BATCH_ID)
+    return spark.createDataFrame(
+        [(a.rows, a.update_rows, a.carried_rows, a.previous_rows, a.previous_rows_replaced, a.written_rows_of_updated_keys,
+          a.updated_keys_with_several_rows, a.update_row_copies, not a.problems())],
+        "rows bigint, update_rows bigint, carried_rows bigint, previous_rows bigint, replaced_rows bigint, "
+        "rows_of_updated_keys bigint, keys_with_several_rows bigint, update_copies bigint, sound boolean")
+
+
 def q_last_batch(spark, sf_dir):
     orders = _orders_batched(spark, sf_dir)
     return orders.agg(F.max("batch_id").alias("last_batch"))
@@ -207,6 +238,37 @@ def q_offer_merge(spark, sf_dir):
                               ["start_time", "end_time", "latest_end_time"]).select(*SAVED_OFFER_COLS)
 
 
+def q_merge_bucketed(spark, sf_dir):
+    """``q_offer_merge`` on a catalog table bucketed by offer: the target is read as it lies in its buckets, the
+    merged rows are its next version, read back by name."""
+    raw = _raw_offers(spark, sf_dir)
+    cut = F.lit(S.CUT).cast("timestamp_ntz")
+    hour_ts = F.make_timestamp_ntz("year", "month", "day", "hour", F.lit(0), F.lit(0))
+    table = VersionedTable(spark, f"eligo_queries.offers_{uuid.uuid4().hex}", scratch_path(spark, "merge_bucketed"),
+                           SAVED_OFFER_SCHEMA, ("offer_id",), 16).create()
+    table.write(offers.stage_saved_offers(raw.where(hour_ts < cut)), 1)
+    source = offers.stage_saved_offers(raw.where(hour_ts >= cut))
+    table.write(table.merged(1, source, ["start_time", "end_time", "latest_end_time"]), 2, dealt=True)
+    return spark.table(table.name).where("batch_id = 2").select(*SAVED_OFFER_COLS)
+
+
+def q_catalog_tables(spark, sf_dir):
+    """The saved-offers job on catalog tables: the window before the cut, the one after it, and that one again;
+    all versions of the dimension, read by the table's name."""
+    from eligo.plans import batch_jobs
+    from eligo.schemas import Tables
+    root = scratch_path(spark, "catalog_tables")
+    land = f"{root}/landing"
+    (S.saved_offer_landing(_events(spark, sf_dir)).repartition("year", "month", "day")
+     .write.partitionBy("year", "month", "day", "hour").json(land))
+    tables = Tables(f"{root}/warehouse", "legacy", f"eligo_q_{uuid.uuid4().hex}", 8)
+    cut = datetime.strptime(S.CUT, "%Y-%m-%d %H:%M:%S")
+    first, last = S.data_span(_events(spark, sf_dir))
+    for version, (start, end) in enumerate([(first, cut), (cut, last), (cut, last)], 1):
+        batch_jobs.run_saved_offers(spark, tables, land, start, end, version)
+    return spark.sql(f"SELECT * FROM {tables.database}.saved_offers")
+
+
 def q_saved_offers_job(spark, sf_dir):
     """The saved-offers job end to end: the events stand-in is written as a JSON
     landing (year=/month=/day=/hour=) in the scratch folder, the job runs for
@@ -291,7 +353,6 @@ def q_init_job(spark, sf_dir):
 
 def q_landing_window(spark, sf_dir):
     """A written landing read for one hour window: every line of its hours, whole."""
-    from eligo.sources import landing
     land = f"{scratch_path(spark, 'landing_window')}/landing"
     (S.kafka_landing(_events(spark, sf_dir)).repartition("year", "month", "day")
      .write.partitionBy("year", "month", "day", "hour").text(land))
@@ -301,6 +362,12 @@ def q_landing_window(spark, sf_dir):
         F.count(F.lit(1)).alias("n_lines"), F.count_if("corrupt").alias("n_corrupt"))
 
 
+def q_schema_drift(spark, sf_dir):
+    """What the untidy kafka landing holds, field by field: path, type, lines, and whether the feed's schema names it."""
+    lines = S.kafka_landing(_events(spark, sf_dir)).select(landing.parsed("value").alias("data"))
+    return drift.drift(lines, flatten.KAFKA_SCHEMA)
+
+
 def _part_end_times(li):
     # a returned line's end is open (NULL) and loses to any known one; all lines are aggregated
     end = F.when(F.col("l_returnflag") != "R", F.col("l_shipdate"))
@@ -366,14 +433,19 @@ QUERIES: dict[str, Query] = {
     "q_classify": q_classify,
     "q_state_updates": q_state_updates,
     "q_carry_forward": q_carry_forward,
+    "q_carry_forward_large": q_carry_forward_large,
+    "q_audit_counts": q_audit_counts,
     "q_state_batch": q_state_batch,
     "q_offer_stage": q_offer_stage,
     "q_offer_merge": q_offer_merge,
+    "q_merge_bucketed": q_merge_bucketed,
+    "q_catalog_tables": q_catalog_tables,
     "q_saved_offers_job": q_saved_offers_job,
     "q_eligibility_job": q_eligibility_job,
     "q_kafka_job": q_kafka_job,
     "q_init_job": q_init_job,
     "q_landing_window": q_landing_window,
+    "q_schema_drift": q_schema_drift,
     "q_expiry_status": q_expiry_status,
     "q_expiry_split": q_expiry_split,
     "q_expiry_salted": q_expiry_salted,

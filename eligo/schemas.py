@@ -119,14 +119,20 @@ BATCH_LOG_SUFFIX = "_batches"
 
 @dataclass(frozen=True)
 class Tables:
-    """Table locations for one origin; each name is a directory under ``root``."""
+    """Table locations for one origin; each name is a directory under ``root``.
+
+    With a ``database`` the versioned tables are catalog tables over the same directories, in ``buckets`` buckets
+    by their key if that is given.
+    """
 
     root: str
     origin: str = "legacy"
+    database: str | None = None
+    buckets: int = 0
 
     @classmethod
-    def for_raw_path(cls, root: str, raw_path: str) -> "Tables":
-        return cls(root, "kafka" if KAFKA_PATH_MARKER in raw_path else "legacy")
+    def for_raw_path(cls, root: str, raw_path: str, database: str | None = None, buckets: int = 0) -> "Tables":
+        return cls(root, "kafka" if KAFKA_PATH_MARKER in raw_path else "legacy", database, buckets)
 
     def _path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"

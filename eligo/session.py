@@ -15,6 +15,7 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

@@ -13,7 +13,7 @@ import datetime as _dt
 import uuid
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -133,10 +133,8 @@ def audit_batch(spark: SparkSession, state_path: str, batch_id: int,
     ks = key_set(updates, KEY_COLS, max_broadcast_bytes)
     written = read_batch(spark, state_path, batch_id)
     rows, written_updated, null_keys = _key_profile(written, ks)
-    distinct = updates.groupBy(*updates.columns).agg(F.count(F.lit(1)).alias("_n"))
-    r = distinct.agg(F.sum("_n").alias("n"), F.sum(F.col("_n") - 1).alias("copies")).first()
-    update_rows, copies = int(r["n"] or 0), int(r["copies"] or 0)
-    multi = updates.groupBy(*KEY_COLS).count().where(F.col("count") > 1).count()
+    update_rows = updates.count()
+    multi, copies = _repeats(updates)
     prev_rows, prev_replaced = 0, 0
     if previous is not None:
         prev_rows, prev_replaced, _ = _key_profile(previous, ks)
@@ -144,6 +142,67 @@ def audit_batch(spark: SparkSession, state_path: str, batch_id: int,
                       prev_replaced, written_updated, null_keys, multi, copies)
 
 
+@dataclass
+class WriteCounts:
+    """What one write put into a batch, counted while it was written."""
+
+    rows: int
+    update_rows: int
+    carried_rows: int
+    null_key_rows: int
+
+
+def observed_write(updates: DataFrame, carried: DataFrame, write) -> WriteCounts:
+    """``write(rows, watch)`` the union of both, counting its rows on the way (C13): no read of the written batch is needed for them.
+
+    ``write`` applies ``watch`` after its last shuffle, so the counts belong to the tasks of the write itself, and an
+    attempt that is lost or repeated counts once.
+    """
+    labelled = updates.withColumn("_update", F.lit(True)).unionByName(carried.withColumn("_update", F.lit(False)))
+    any_null = F.lit(False)
+    for k in KEY_COLS:
+        any_null = any_null | F.col(k).isNull()
+    seen = Observation()
+    write(labelled, lambda rows: rows.observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count_if("_update").alias("update_rows"),
+        F.count_if(~F.col("_update")).alias("carried_rows"), F.count_if(any_null).alias("null_key_rows")).drop("_update"))
+    return WriteCounts(**{k: int(v or 0) for k, v in seen.get.items()})
+
+
+def audit_observed(counts: WriteCounts, written: DataFrame, updates: DataFrame, touched: DataFrame | None, previous_rows: int,
+                   batch_id: int, max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> BatchAudit:
+    """The audit of a batch whose write was observed: the counts are there, and what remains is one keys-only read of
+    the written batch, to see that no key is both updated and carried.
+
+    ``touched`` are the previous rows that share a key with the increment (stored when it was classified); those whose
+    key was updated are the replaced ones, so the previous batch is not read again.  ``previous_rows`` is in the batch log.
+    """
+    ks = key_set(updates, KEY_COLS, max_broadcast_bytes)
+    keys = written.select(*KEY_COLS)
+    if ks.bitmap is not None:
+        keys, _ = ks.bitmap.split(keys)
+    written_updated = keys.join(ks.frame, KEY_COLS, "left_semi").count()
+    replaced = 0
+    if touched is not None:
+        replaced = touched.select(*KEY_COLS).join(ks.frame, KEY_COLS, "left_semi").count()
+    several, copies = _repeats(updates)
+    return BatchAudit(batch_id, counts.rows, counts.update_rows, counts.carried_rows, previous_rows, replaced,
+                      written_updated, counts.null_key_rows, several, copies)
+
+
+def _repeats(updates: DataFrame) -> tuple[int, int]:
+    """(keys with several update rows, update rows beyond the distinct ones)."""
+    distinct = updates.groupBy(*updates.columns).agg(F.count(F.lit(1)).alias("_n"))
+    copies = distinct.agg(F.sum(F.col("_n") - 1).alias("copies")).first()["copies"]
+    several = updates.groupBy(*KEY_COLS).count().where(F.col("count") > 1).count()
+    return several, int(copies or 0)
+
+
+def logged_rows(spark: SparkSession, log_path: str, batch_id: int) -> int:
+    """Rows of a published batch, from the log."""
+    return int(logged_batches(spark, log_path).where(F.col("batch_id") == batch_id).agg(F.max("rows")).first()[0])
+
+
 def publish(spark: SparkSession, log_path: str, audit: BatchAudit,
             previous_batch_id: int | None, note: str = "") -> None:
     """Commit a batch: fail on audit problems, else append its log row."""
@@ -156,9 +215,15 @@ def publish(spark: SparkSession, log_path: str, audit: BatchAudit,
 
 
 def write_version(df: DataFrame, table_path: str, version: int) -> int:
-    """Write a full table version to ``batch_id=<version>``; returns its rows."""
-    df.write.mode("overwrite").parquet(batch_path(table_path, version))
-    return df.sparkSession.read.parquet(batch_path(table_path, version)).count()
+    """Write a full table version to ``batch_id=<version>``; returns its rows, counted on the way."""
+    return counted(df, lambda rows, watch: watch(rows).write.mode("overwrite").parquet(batch_path(table_path, version)))
+
+
+def counted(df: DataFrame, write) -> int:
+    """``write(df, watch)``, which applies ``watch`` after its last shuffle; the number of rows written."""
+    seen = Observation()
+    write(df, lambda rows: rows.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return int(seen.get["rows"] or 0)
 
 
 def table_checksum(df: DataFrame) -> tuple[int, int]:

@@ -7,20 +7,23 @@ from pyspark.sql import types as T
 
 
 def create_table_ddl(name: str, schema: T.StructType, partition_cols=None,
-                     location: str | None = None) -> str:
-    """``CREATE TABLE IF NOT EXISTS`` text for a schema (names quoted)."""
+                     location: str | None = None, bucket_cols=(), buckets: int = 0) -> str:
+    """``CREATE TABLE IF NOT EXISTS`` text for a schema (names quoted); with ``buckets``, bucketed and sorted by ``bucket_cols``."""
     cols = ",\n  ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     ddl = f"CREATE TABLE IF NOT EXISTS {name} (\n  {cols}\n) USING parquet"
     if partition_cols:
         ddl += " PARTITIONED BY (" + ", ".join(f"`{c}`" for c in partition_cols) + ")"
+    if buckets:
+        keys = ", ".join(f"`{c}`" for c in bucket_cols)
+        ddl += f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {int(buckets)} BUCKETS"
     if location:
         ddl += " LOCATION '" + location.replace("\\", "\\\\").replace("'", "\\'") + "'"
     return ddl
 
 
 def create_table(spark: SparkSession, name: str, schema: T.StructType,
-                 partition_cols=None, location: str | None = None) -> None:
-    spark.sql(create_table_ddl(name, schema, partition_cols, location))
+                 partition_cols=None, location: str | None = None, bucket_cols=(), buckets: int = 0) -> None:
+    spark.sql(create_table_ddl(name, schema, partition_cols, location, bucket_cols, buckets))
 
 
 def add_partitions(spark: SparkSession, name: str, specs: list[dict]) -> None:
@@ -52,14 +55,6 @@ def overwrite(df: DataFrame, path: str, partition_cols=None) -> None:
     w.parquet(path)
 
 
-def create_if_absent(df: DataFrame, path: str, partition_cols=None) -> None:
-    """Write only when nothing exists at ``path`` (CTAS IF NOT EXISTS, D05)."""
-    w = df.write.mode("ignore")
-    if partition_cols:
-        w = w.partitionBy(*partition_cols)
-    w.parquet(path)
-
-
 def drop_partitions(spark: SparkSession, path: str, specs: list[str]) -> None:
     """Delete partition directories (``a=1/b=2``) of a table; missing ones are passed over."""
     jvm = spark.sparkContext._jvm

@@ -4,7 +4,8 @@ Layout: ``<base>/year=YYYY/month=MM/day=DD/hour=HH/*.json``.  Only the
 window's days are listed, and the window is a predicate on the discovered
 partition columns, so only the hours inside the window are read; hours that
 are missing are simply empty.  Lines are read as text and kept whole, so no field
-is cut and no broken line is lost; nothing is inferred (an extra pass over the JSON).
+is cut and no broken line is lost; nothing is inferred (an extra pass over the JSON).  Each line is
+parsed once, into a VARIANT that holds all its fields, named by a schema or not; everything after reads that.
 """
 
 from __future__ import annotations
@@ -28,14 +29,20 @@ SAVED_OFFER_LANDING_SCHEMA = T.StructType([
         T.StructField("latestEndTime", T.StringType()),
     ])),
 ])
-_CORRUPT = "_corrupt_record"
 
 
-def is_corrupt(line: str = "line") -> Column:
-    """True where a landed line is no JSON object, by the rule of Spark's own JSON reader."""
-    parsed = F.from_json(line, f"{_CORRUPT} STRING", {"mode": "PERMISSIVE",
-                                                      "columnNameOfCorruptRecord": _CORRUPT})
-    return parsed.isNull() | parsed[_CORRUPT].isNotNull()
+def parsed(line: str = "line") -> Column:
+    """A landed line as VARIANT, or NULL where it is no JSON object (broken, or an array, a number, ...).
+
+    An object that repeats a key is broken as well, unless the session sets ``spark.sql.variant.allowDuplicateKeys`` (the jobs
+    do; the last one counts, as in Spark's JSON reader).
+    """
+    return F.when(F.ltrim(line, F.lit(" \t\r")).startswith("{"), F.try_parse_json(line))
+
+
+def fields(data: str, schema: T.StructType) -> Column:
+    """The schema's fields of a VARIANT as one struct; a field that is missing or does not fit is NULL."""
+    return F.try_variant_get(F.col(data), "$", schema.simpleString())
 
 
 def window_days(start: datetime, end: datetime) -> list[str]:
@@ -57,8 +64,8 @@ def window_days(start: datetime, end: datetime) -> list[str]:
 def read_window(spark: SparkSession, base: str, start: datetime, end: datetime,
                 schema: T.StructType | None = None) -> DataFrame:
     """Everything landed in hours ``start <= hour < end``: one row per line, with ``line`` (the
-    text as landed, unknown fields included), ``corrupt``, ``file_path`` and year..hour.  With a
-    ``schema`` its columns are parsed from the line and come first (NULL for a corrupt line).
+    text as landed), ``data`` (the same as VARIANT, unknown fields included; NULL for a corrupt line),
+    ``corrupt``, ``file_path`` and year..hour.  With a ``schema`` its columns come first (NULL for a corrupt line).
     Blank lines are no rows.
 
     Only the window's day directories are listed (one glob with an alternative
@@ -76,12 +83,11 @@ def read_window(spark: SparkSession, base: str, start: datetime, end: datetime,
     else:
         file_path = F.col("_metadata.file_path")
     lines = (df.where(F.trim("value") != "")
-             .select(F.col("value").alias("line"), is_corrupt("value").alias("corrupt"),
-                     file_path.alias("file_path"), *PARTITION_COLS))
+             .select(F.col("value").alias("line"), parsed("value").alias("data"), file_path.alias("file_path"), *PARTITION_COLS)
+             .select("line", "data", F.col("data").isNull().alias("corrupt"), "file_path", *PARTITION_COLS))
     if schema is None:
         return lines
-    named = lines.withColumn("_f", F.when(~F.col("corrupt"), F.from_json("line", schema)))
-    return named.select("_f.*", *lines.columns)
+    return lines.withColumn("_f", fields("data", schema)).select("_f.*", *lines.columns)
 
 
 def read_hours(spark: SparkSession, base: str, start: datetime, end: datetime,

@@ -38,12 +38,18 @@ def window_parser(description: str) -> argparse.ArgumentParser:
                    help="payload format; default: 'kafka' when the landing path says so")
     p.add_argument("--batch-id", type=int, default=None,
                    help="version to write (default: window end as yyyymmddhh)")
-    p.add_argument("--database", default=None,
-                   help="catalog database to register the tables in (default: paths only)")
+    catalog_args(p)
     scratch_arg(p)
     return p
 
 
+def catalog_args(p: argparse.ArgumentParser) -> None:
+    p.add_argument("--database", default=None,
+                   help="catalog database of the tables (default: directories only)")
+    p.add_argument("--buckets", type=int, default=0,
+                   help="buckets by key of the catalog's state and saved offers (default: none)")
+
+
 def scratch_arg(p: argparse.ArgumentParser) -> None:
     p.add_argument("--scratch", default=None,
                    help="folder shared by all executors, used where spark.checkpoint.dir is unset")

@@ -19,8 +19,8 @@ def main(argv=None) -> None:
     args = p.parse_args(argv)
     check_window(args)
     spark = session("offer-eligibility", args.scratch)
-    tables = (Tables(args.warehouse, args.origin) if args.origin
-              else Tables.for_raw_path(args.warehouse, args.raw_data))
+    tables = (Tables(args.warehouse, args.origin, args.database, args.buckets) if args.origin
+              else Tables.for_raw_path(args.warehouse, args.raw_data, args.database, args.buckets))
     res = run_increment(spark, tables, args.raw_data, args.start, args.end, args.batch_id,
                         args.max_broadcast_mb * 1024 * 1024, args.compact_rows_per_file,
                         args.tiebreak)

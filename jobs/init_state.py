@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 from datetime import date
 
-from _common import date_arg, scratch_arg, session
+from _common import catalog_args, date_arg, scratch_arg, session
 
 from eligo.plans.batch_jobs import run_init
 from eligo.schemas import Tables
@@ -19,10 +19,11 @@ def main(argv=None) -> None:
     p.add_argument("--as-of", type=date_arg, default=date.today(),
                    help="date the expiry is evaluated at (default: today)")
     p.add_argument("--batch-id", type=int, default=None)
+    catalog_args(p)
     scratch_arg(p)
     args = p.parse_args(argv)
     spark = session("init-offer-eligibility", args.scratch)
-    out = run_init(spark, Tables(args.warehouse, "legacy"), args.raw_data, args.as_of, args.batch_id)
+    out = run_init(spark, Tables(args.warehouse, "legacy", args.database, args.buckets), args.raw_data, args.as_of, args.batch_id)
     print(out)
     spark.stop()
 

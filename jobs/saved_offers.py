@@ -12,8 +12,8 @@ def main(argv=None) -> None:
     args = window_parser(__doc__).parse_args(argv)
     check_window(args)
     spark = session("saved-offers", args.scratch)
-    tables = (Tables(args.warehouse, args.origin) if args.origin
-              else Tables.for_raw_path(args.warehouse, args.raw_data))
+    tables = (Tables(args.warehouse, args.origin, args.database, args.buckets) if args.origin
+              else Tables.for_raw_path(args.warehouse, args.raw_data, args.database, args.buckets))
     rows = run_saved_offers(spark, tables, args.raw_data, args.start, args.end, args.batch_id)
     print(f"saved offers: {rows} rows")
     if args.database:

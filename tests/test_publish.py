@@ -17,13 +17,6 @@ def test_dynamic_overwrite_keeps_other_partitions(spark, tmp_dir):
     assert got == [(1, 1), (9, 2)]
 
 
-def test_create_if_absent_does_not_replace(spark, tmp_dir):
-    p = os.path.join(tmp_dir, "t")
-    write.create_if_absent(spark.createDataFrame([(1,)], "v int"), p)
-    write.create_if_absent(spark.createDataFrame([(2,)], "v int"), p)
-    assert [r.v for r in spark.read.parquet(p).collect()] == [1]
-
-
 def test_ddl_quotes_names():
     from pyspark.sql import types as T
     ddl = write.create_table_ddl("db.t", T.StructType([T.StructField("a b", T.LongType())]), ["a b"])
