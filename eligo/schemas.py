@@ -115,6 +115,8 @@ SAVED_OFFER_TABLES = {
 KAFKA_SUFFIX = "_kafka"
 # Our own additions: the publish logs that make a batch / version current.
 BATCH_LOG_SUFFIX = "_batches"
+FILE_LEDGER_SUFFIX = "_files"
+OFFER_BUCKET = "offer_bucket"
 
 
 @dataclass(frozen=True)
@@ -129,6 +131,7 @@ class Tables:
     origin: str = "legacy"
     database: str | None = None
     buckets: int = 0
+    offer_buckets: int = 0   # directories by a hash of the offer below a state batch (not in a database)
 
     @classmethod
     def for_raw_path(cls, root: str, raw_path: str, database: str | None = None, buckets: int = 0) -> "Tables":
@@ -148,6 +151,7 @@ class Tables:
     dump = property(lambda self: self._elig("dump"))
     dump_with_expiry = property(lambda self: self._elig("dump_with_expiry"))
     batch_log = property(lambda self: self._elig("cs_active") + BATCH_LOG_SUFFIX)
+    raw_files = property(lambda self: self._elig("raw") + FILE_LEDGER_SUFFIX)
     raw_saved_offers = property(lambda self: self._path(SAVED_OFFER_TABLES["raw_saved_offers"]))
     stg_saved_offers = property(lambda self: self._path(SAVED_OFFER_TABLES["stg_saved_offers"]))
     saved_offers = property(lambda self: self._path(SAVED_OFFER_TABLES["saved_offers"]))

@@ -12,13 +12,15 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 from dataclasses import asdict, dataclass
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eligo.operators.joins import DEFAULT_BROADCAST_BYTES, key_set
 from eligo.schemas import KEY_COLS, STATE_COLS
+from eligo.session import materialize
 from eligo.sources.tables import read_parquet_or_none
 
 LOG_SCHEMA = T.StructType([
@@ -74,10 +76,14 @@ def commit_version(spark: SparkSession, log_path: str, version: int, rows: int,
     spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(log_path)
 
 
-def write_batch(df: DataFrame, state_path: str, batch_id: int) -> None:
-    """Write the rows of one batch to ``batch_id=N`` (replacing an unlogged attempt)."""
-    (df.where(F.col("batch_id") == batch_id).drop("batch_id")
-     .write.mode("overwrite").parquet(batch_path(state_path, batch_id)))
+def write_batch(df: DataFrame, state_path: str, batch_id: int, partition_cols=()) -> None:
+    """Write the rows of one batch to ``batch_id=N`` (replacing an unlogged attempt), in directories below it by
+    ``partition_cols`` (sorted within each task, so a task has one file open)."""
+    rows = df.where(F.col("batch_id") == batch_id).drop("batch_id")
+    if partition_cols:
+        rows = rows.sortWithinPartitions(*partition_cols)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_cols).parquet(
+        batch_path(state_path, batch_id))
 
 
 @dataclass
@@ -266,17 +272,86 @@ def compact(spark: SparkSession, table_path: str, partition_cols: list[str],
      .sortWithinPartitions(*partition_cols, *cluster_by)
      .write.partitionBy(*partition_cols).parquet(staged))
     restaged = spark.read.parquet(staged).select(*src.columns)
-    before = partition_checksums(src, partition_cols).alias("a")
-    after = partition_checksums(restaged, partition_cols).alias("b")
-    diff = before.join(after, partition_cols, "full_outer").where(
-        ~F.col("a.n").eqNullSafe(F.col("b.n")) | ~F.col("a.s").eqNullSafe(F.col("b.s")))
-    bad = diff.limit(5).collect()
-    if bad:
-        raise AuditError(f"compaction of {table_path} changed partitions: {bad}")
+    compare_partitions(src, restaged, partition_cols, table_path)
     swap_partitions(spark, staged, table_path, staged + "-old", len(partition_cols))
     return rows
 
 
+# ---- compaction by file size -------------------------------------------------------
+
+def file_sizes(src: DataFrame, partition_cols: list[str]) -> DataFrame:
+    """``(partition columns, file, bytes)`` of the files of a table, from their metadata alone."""
+    return (src.select(*partition_cols, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
+            .groupBy(*partition_cols, "file").agg(F.max("bytes").alias("bytes")))
+
+
+def small_file_groups(sizes: DataFrame, partition_cols: list[str], target_bytes: int) -> DataFrame:
+    """``sizes`` of files to rewrite, with the ``group`` of each: small files of a partition, in groups of about the target
+    size by a running sum.  Files of three quarters of the target or more are left alone, and so is a file that is
+    the only one of its group."""
+    small = sizes.where(F.col("bytes") < 0.75 * target_bytes)
+    order = Window.partitionBy(*partition_cols).orderBy("file").rowsBetween(Window.unboundedPreceding, 0)
+    grouped = small.withColumn("group", F.floor((F.sum("bytes").over(order) - F.col("bytes")) / F.lit(target_bytes)))
+    together = Window.partitionBy(*partition_cols, "group")
+    return grouped.withColumn("_n", F.count(F.lit(1)).over(together)).where(F.col("_n") > 1).drop("_n")
+
+
+def compact_small(spark: SparkSession, table_path: str, partition_cols: list[str], cluster_by: list[str],
+                  target_bytes: int = 256 << 20, where=None) -> int:
+    """Put the small files of the selected partitions together; files already large stay as they are.
+
+    The small files' rows are range-partitioned on (partition columns, ``cluster_by``), one task for each group of files, written
+    beside the table, compared with the originals partition by partition (rows and checksum), and moved into place;
+    the originals are kept beside the table.  Returns the number of files replaced.
+    """
+    table_path = table_path.rstrip("/")
+    src = spark.read.parquet(table_path)
+    if where is not None:
+        src = src.where(where)
+    groups = materialize(small_file_groups(file_sizes(src, partition_cols), partition_cols, target_bytes), "small-files")
+    # Names only: they are moved one by one.  (The metadata column spells them as URIs.)
+    files = [unquote(r["file"]) for r in groups.select("file").collect()]
+    if not files:
+        return 0
+    tasks = groups.select(*partition_cols, "group").distinct().count()
+    # ``src`` keeps its partition columns: the files are named, not listed.
+    small = spark.read.option("basePath", table_path).parquet(*files).select(*src.columns)
+    staged = f"{table_path}_compact-{uuid.uuid4().hex}"
+    (small.repartitionByRange(tasks, *partition_cols, *cluster_by).sortWithinPartitions(*partition_cols, *cluster_by)
+     .write.partitionBy(*partition_cols).parquet(staged))
+    compare_partitions(small, spark.read.parquet(staged).select(*src.columns), partition_cols, table_path)
+    swap_files(spark, staged, table_path, files, staged + "-old", len(partition_cols))
+    return len(files)
+
+
+def compare_partitions(before: DataFrame, after: DataFrame, partition_cols: list[str], table_path: str) -> None:
+    """Raise where a partition's rows or their checksum differ."""
+    a = partition_checksums(before, partition_cols).alias("a")
+    b = partition_checksums(after, partition_cols).alias("b")
+    bad = a.join(b, partition_cols, "full_outer").where(
+        ~F.col("a.n").eqNullSafe(F.col("b.n")) | ~F.col("a.s").eqNullSafe(F.col("b.s"))).limit(5).collect()
+    if bad:
+        raise AuditError(f"compaction of {table_path} changed partitions: {bad}")
+
+
+def swap_files(spark: SparkSession, staged: str, table_path: str, files: list[str], old: str, depth: int) -> None:
+    """Move ``files`` out of the table to ``old``, and the files of ``staged`` into their partitions."""
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    base = Path(table_path)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    base, staged = (fs.makeQualified(Path(p)).toString() for p in (table_path, staged))
+    moves = []
+    for status in fs.globStatus(Path(staged + "/*=*" * depth + "/*.parquet")):
+        moves.append((status.getPath(), Path(table_path + status.getPath().toString()[len(staged):])))
+    for f in files:
+        path = fs.makeQualified(Path(f))
+        moves.append((path, Path(old + path.toString()[len(base):])))
+    for source, target in moves:       # new files first: a reader may see rows twice in between, never too few
+        fs.mkdirs(target.getParent())
+        if not fs.rename(source, target):
+            raise AuditError(f"compaction of {table_path}: {source} could not be moved to {target}")
+
+
 def swap_partitions(spark: SparkSession, staged: str, table_path: str, old: str, depth: int) -> None:
     """Move each partition directory of ``staged`` into the table, its old directory to ``old``.
 
