@@ -100,9 +100,24 @@ def test_query_matches_its_sql(spark, name):
     import duckdb
     folder = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
     want = con.sql(ORACLE_SQL[name])
     cols = sorted(want.columns)
     got = QUERIES[name](spark, folder).select(*cols).collect()
     assert sorted(map(tuple, got), key=str) == sorted(want.select(*cols).fetchall(), key=str)
+
+
+def test_language_stage_keeps_the_languages_asked_for(spark, monkeypatch):
+    """The prediction decides, not the label: mislabelled rows go with the language they are written in."""
+    words = {"aa": "lorem ipsum dolor sit amet", "bb": "xyzzy qwrk vvzz wkq zzyx"}
+    rows = [(i, " ".join(random.Random(i).choices(words["ab"[i % 2] * 2].split(), k=30)), "ab"[i % 2] * 2, "s") for i in range(120)]
+    rows += [(500, rows[0][1], "bb", "s"), (501, rows[1][1], "aa", "s"), (502, rows[0][1], None, "s"), (503, None, "aa", "s"), (504, "12 3", "aa", "s")]
+    docs = docs_frame(spark, rows).selectExpr("doc_id", "text", "lang", "source", "n_chars")
+    everything = {r.doc_id for r in corpus_pipeline.language_id(spark, docs, "").collect()}
+    assert everything == {i for i, *_ in rows} - {503, 504}
+    monkeypatch.setattr(corpus_pipeline, "LANGUAGES", frozenset({"aa"}))
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs, "").collect()}
+    assert kept == {i for i in range(0, 120, 2)} | {500, 502}
+    monkeypatch.setattr(corpus_pipeline, "MIN_SCORE", 1.1)
+    assert corpus_pipeline.language_id(spark, docs, "").count() == 0
