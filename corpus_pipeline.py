@@ -19,6 +19,11 @@ from eligo.llm.queries import tokenizer_path
 from eligo.llm.simhash import simhash_dedup
 
 
+#: Languages to keep (None: every one that is learned), and the least posterior of the predicted one: as likely as all others together.
+LANGUAGES: frozenset[str] | None = None
+MIN_SCORE = 0.5
+
+
 def _numbered(docs: DataFrame, name: str) -> DataFrame:
     """``docs`` written once with a row number, by which verdicts find their row (ids may be null or shared)."""
     return materialize(docs.withColumn("_row", F.monotonically_increasing_id()), name)
@@ -30,20 +35,24 @@ def _without(numbered: DataFrame, gone: DataFrame, name: str) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: null texts and texts without a letter.
+    """Keeps documents whose predicted language is one of ``LANGUAGES`` with a posterior of ``MIN_SCORE`` or more.
 
-    Without a learned language (no labelled row outside the held-out fold) a model of one stands
-    in, so that the same documents go.  Which language is predicted decides nothing.
+    So null texts, texts without a letter, other languages and texts that could be of several go.  The
+    column ``lang`` trains the model and decides nothing about its own row.  Without a learned language (no labelled row outside the
+    held-out fold) a model of one stands in, and only null texts and texts without a letter go.
     """
     model = train_language_model(docs.where(~held_out(F.col("doc_id"))))
+    wanted = F.col("_pred") != UNDETERMINED
     if not model.langs:
         model = one_language()
+    elif LANGUAGES is not None:
+        wanted = F.col("_pred").isin(*LANGUAGES)
     return (predict_language(docs, model, lang_out="_pred", score_out="_score")
-            .where(F.col("_pred") != UNDETERMINED).select(*docs.columns))
+            .where(wanted & (F.col("_score") >= MIN_SCORE)).select(*docs.columns))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts boilerplate lines of any length; drops documents that had nothing else."""
+    """Cuts boilerplate lines of any length; drops documents that had nothing else.  Null texts stay as empty ones, a null source is no site."""
     cut = line_dedup(docs, min_sites=10, min_chars=1)
     kept = cut.where((F.col("n_removed") == 0) | (F.trim(F.translate("text", "\n\t\r", "")) != ""))
     if "n_chars" in docs.columns:
@@ -69,7 +78,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of what is left, each with its place in a sequence."""
+    """The pieces of what is left, each with its place in a sequence; a null text is the end mark alone, a null id stays null."""
     return pack(docs, tokenizer_path(), capacity=4096, end_id=1)
 
 
