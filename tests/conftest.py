@@ -17,6 +17,7 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", "4")
+         .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")   # list local files without a job
          .config("spark.sql.adaptive.enabled", "true"))
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
