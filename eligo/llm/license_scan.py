@@ -11,7 +11,8 @@ lie in two windows.  Candidates are verified exactly: the share of the template'
 inside the window and its margins must reach ``min_containment``.
 
 A band key of a window comes from one of its shingles; so a text without any
-template shingle cannot collide and stops there, before any band is made.
+template shingle cannot collide and stops there, before any band is made, and of a text with some only the windows
+that hold one are cut.
 """
 
 from __future__ import annotations
@@ -21,25 +22,71 @@ from pyspark.sql import functions as F
 
 from eligo.llm.common import content_key, pick
 
-#: Notices as their publishers word them.
+#: Notices, headers and grants as their publishers word them.
 TEMPLATES = {
-    "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
+    "AGPL-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+        "(at your option) any later version."),
+    "AGPL-3.0-notice": "Licensed under the GNU Affero General Public License, version 3.",
     "Apache-2.0-header": (
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
         "compliance with the License. You may obtain a copy of the License at "
         "http://www.apache.org/licenses/LICENSE-2.0"),
+    "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
+    "Apache-2.0-notice-2": "This project is licensed under the Apache License 2.0.",
+    "BSD-grant": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met"),
+    "BSD-2-Clause-conditions": (
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+        "disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+        "the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    "BSD-3-Clause-endorsement": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission."),
+    "BSD-notice": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+    "CC-BY-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
-    "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
+    "CC-BY-NC-4.0-notice-2": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC-BY-SA-4.0-notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-NC-ND-4.0-notice": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    "CC0-1.0-notice": (
+        "To the extent possible under law, the author has dedicated all copyright and related and neighboring rights to this "
+        "software to the public domain worldwide."),
+    "GPL-2.0-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+        "General Public License as published by the Free Software Foundation; either version 2 of the License, "
+        "or (at your option) any later version."),
     "GPL-3.0-header": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
         "General Public License as published by the Free Software Foundation, either version 3 of the License, "
         "or (at your option) any later version."),
-    "MIT-notice": "Released under the MIT License.",
+    "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
+    "ISC-grant": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    "LGPL-2.1-header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+        "(at your option) any later version."),
+    "LGPL-3.0-header": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+        "(at your option) any later version."),
     "MIT-grant": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
         "associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
         "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
         "copies of the Software, and to permit persons to whom the Software is furnished to do so"),
+    "MIT-notice": "Released under the MIT License.",
+    "MIT-notice-2": "Licensed under the MIT License.",
+    "MIT-notice-3": "This project is licensed under the MIT License.",
+    "MPL-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    "Unlicense-grant": "This is free and unencumbered software released into the public domain.",
 }
 MAX_TEMPLATE_SHINGLES = 200_000
 GATE_SHINGLES = 4_096
@@ -97,22 +144,30 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, id_co
     may = F.arrays_overlap("sh", F.lit(known)) if len(known) <= GATE_SHINGLES else F.col("sh").isNotNull()
 
     def windows(size: Column) -> Column:
-        """(class, from, keys) of each window of a class."""
+        """(class, margin, keys) of each window of a class that holds a template's shingle."""
         width, step = size + F.shiftright(size + 1, 1), F.greatest(F.shiftright(size, 2), F.lit(1))
-        starts = F.sequence(F.lit(1), F.greatest(F.size("sh") - width + step, F.lit(1)), step)
-        return F.transform(starts, lambda s: F.struct(
-            size.alias("size"), s.alias("at"),
-            _let(F.slice("sh", s, width), lambda w: _band_keys(w, bands)).alias("keys")))
-
-    cut = scanned.where(may).select("row", "sh", F.explode(F.flatten(F.transform(F.lit(classes), windows))).alias("w"))
-    probe = cut.select("row", "sh", "w.size", "w.at", F.posexplode("w.keys").alias("band", "key"))
+        last = F.floor((F.greatest(F.size("sh") - width + step, F.lit(1)) - 1) / step).cast("int")
+        # window k begins at 1 + k step; position p is in those from (p - width) / step to (p - 1) / step
+        at = F.array_distinct(F.flatten(F.transform("held", lambda p: F.sequence(
+            F.least(F.greatest(F.ceil((p - width) / step).cast("int"), F.lit(0)), last),
+            F.least(F.floor((p - 1) / step).cast("int"), last)))))
+        return F.transform(at, lambda k: _let(k * step + 1, lambda s: F.struct(
+            size.alias("size"), F.slice("sh", F.greatest(s - size, F.lit(1)), size * 4).alias("margin"),
+            _let(F.slice("sh", s, width), lambda w: _band_keys(w, bands)).alias("keys"))))
+
+    # Positions of shingles that a template has; any of them where there are too many templates for the gate.
+    held = F.filter(F.sequence(F.lit(1), F.size("sh")), lambda i: F.array_contains(F.lit(known), F.get("sh", i - 1))) \
+        if len(known) <= GATE_SHINGLES else F.sequence(F.lit(1), F.size("sh"))
+    near = scanned.where(may).select("row", "sh", held.alias("held"))
+    # A window carries its own margin and not the text: rows stay small however long the text is.
+    cut = near.select("row", F.explode(F.flatten(F.transform(F.lit(classes), windows))).alias("w"))
+    probe = cut.select("row", "w.size", "w.margin", F.posexplode("w.keys").alias("band", "key"))
     known_rows = spark.createDataFrame([(r.name, list(r.sh), 1 << (len(r.sh) - 1).bit_length()) for r in raw],
                                        "name string, tsh array<bigint>, size int")
     keys = known_rows.select("name", "tsh", "size", F.posexplode(_band_keys(F.col("tsh"), bands)).alias("band", "key"))
     # Broadcast: bounded by MAX_TEMPLATE_SHINGLES, checked above.
     hits = probe.join(F.broadcast(keys), ["size", "band", "key"])
-    margin = F.slice("sh", F.greatest(F.col("at") - F.col("size"), F.lit(1)), F.col("size") * 4)
-    share = F.size(F.array_intersect(margin, F.col("tsh"))) / F.size("tsh")
+    share = F.size(F.array_intersect(F.col("margin"), F.col("tsh"))) / F.size("tsh")
     found = (hits.select("row", "name", share.alias("share")).where(F.col("share") >= min_containment)
              .groupBy("row", "name").agg(F.max("share").alias("share"))
              .groupBy("row").agg(F.array_sort(F.collect_list("name")).alias("licenses"), F.max("share").alias("best")))

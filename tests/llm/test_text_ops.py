@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
+import time
+import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from eligo.llm import langid
 from eligo.llm.decontaminate import WuManber, contamination, merged, words_of
@@ -163,3 +167,65 @@ def test_license_scan_is_native_and_checks_templates(spark):
     assert {r.n_licenses for r in license_scan(docs, templates={}).collect()} == {0}
     with pytest.raises(ValueError):
         license_scan(docs, templates={"blank": " - "})
+
+
+def test_a_long_text_with_every_template_costs_seconds(spark):
+    """2 MB of words with each template in it once, and one of nothing but a notice of a single shingle."""
+    rng = random.Random(12)
+    body = [sentence(rng, 9000) for _ in range(len(TEMPLATES) + 1)]
+    long = " ".join(x for pair in zip(body, [*TEMPLATES.values(), ""], strict=True) for x in pair)
+    rows = [(1, long, "en", "s"), (2, "Released under the MIT License. " * 20_000, "en", "s")]
+    assert len(long) > 1_000_000
+    begun = time.monotonic()
+    got = {r.doc_id: r.licenses for r in license_scan(docs_frame(spark, rows)).collect()}
+    assert time.monotonic() - begun < 60
+    assert got[1] == sorted(TEMPLATES) and got[2] == ["MIT-notice"]
+
+
+def _grams(text):
+    """Buckets of the 1- to 3-grams of a text, one integer operation at a time."""
+    c, mult = [ord(x) for x in f" {text.lower()} "], (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
+    for n in (1, 2, 3):
+        for i in range(len(c) - n + 1):
+            h = (n * 0x27D4EB2F + sum(c[i + k] * mult[k] for k in range(n))) % 2 ** 32
+            yield ((h ^ h >> 15) * mult[0] % 2 ** 32) >> 16
+
+
+def _brute_bayes(train, texts, alpha=0.5):
+    """Multinomial naive Bayes in plain Python: (language, posterior) of each text."""
+    langs = sorted({lang for _, lang in train})
+    counts = {lang: Counter() for lang in langs}
+    docs = Counter(lang for _, lang in train)
+    for t, lang in train:
+        counts[lang].update(_grams(t))
+    total = {lang: sum(counts[lang].values()) + alpha * 2 ** 16 for lang in langs}
+    for t in texts:
+        if not t or not any(x.isalpha() for x in t):
+            yield "und", 0.0
+            continue
+        log = {lang: math.log(docs[lang] / len(train)) + sum(math.log((counts[lang][b] + alpha) / total[lang]) for b in _grams(t))
+               for lang in langs}
+        best = max(langs, key=lambda x: (log[x], -langs.index(x)))
+        yield best, 1 / sum(math.exp(v - log[best]) for v in log.values())
+
+
+def test_language_model_equals_plain_naive_bayes(spark):
+    rng = random.Random(21)
+    parts = {"aa": "the of and to in", "bb": "der die und das ist", "cc": "le la et les des", "dd": "el los y que en"}
+    rows = []
+    for i in range(160):
+        lang = rng.choice(list(parts))
+        words = parts[lang].split() + rng.choice(list(parts.values())).split()[:2] + ["é", "x1"]
+        rows.append((i, " ".join(rng.choice(words) for _ in range(rng.randint(1, 25))), rng.choice([lang, lang, lang, None]), "s"))
+    rows += [(200, None, "aa", "s"), (201, "", "bb", "s"), (202, "12 ?", "cc", "s"), (203, "the", "dd", "s"), rows[0], (None, "und das", "bb", "s")]
+    docs = docs_frame(spark, rows).repartition(3)
+    model = train_language_model(docs.where(~held_out(F.col("doc_id"))))
+    got = {(r.doc_id, r.text): (r.lang_pred, r.score) for r in predict_language(docs, model).collect()}
+    train = [(t, lang) for i, t, lang, _ in rows
+             if t is not None and lang is not None and zlib.crc32(("" if i is None else str(i)).encode()) % 5]
+    texts = [t for _, t, *_ in rows]
+    want = {(r[0], r[1]): x for r, x in zip(rows, _brute_bayes(train, texts), strict=True)}
+    assert set(got) == set(want) and len({x[0] for x in want.values()}) == 5
+    for k, (lang, score) in want.items():
+        assert got[k][0] == lang or abs(score - got[k][1]) < 1e-4 and score < 0.51, k
+        assert got[k][1] == pytest.approx(score, abs=1e-4), k
