@@ -58,9 +58,9 @@ class _Cache(dict):
     ``trim`` starts anew when full, with the last generation behind it, from which words still in use are taken over.
     """
 
-    def __init__(self, make):
+    def __init__(self, make, most: int):
         super().__init__()
-        self.make, self.last = make, {}
+        self.make, self.most, self.last = make, most, {}
 
     def __missing__(self, key: str) -> bytes:
         out = self.last.get(key)
@@ -71,7 +71,7 @@ class _Cache(dict):
         return out
 
     def trim(self) -> None:
-        if len(self) > CACHE_WORDS:
+        if len(self) > self.most:
             self.last = dict(self)
             self.clear()
 
@@ -91,12 +91,13 @@ class WordTokens:
     # The tokenizer's split pattern, on plain lower-case characters.
     PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_words: int | None = None):
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.words, self.parts = _Cache(self._word), _Cache(self._part)
+        most = CACHE_WORDS if cache_words is None else cache_words
+        self.words, self.parts = _Cache(self._word, most), _Cache(self._part, most)
 
     def _part(self, part: str) -> bytes:
         text = part if part.isascii() else self.as_bytes.pre_tokenize_str(part)[0][0]
@@ -122,7 +123,7 @@ class WordTokens:
 
 
 def tokenized_pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer_path: str, capacity: int,
-                     end_id: int, with_ids: bool) -> DataFrame:
+                     end_id: int, with_ids: bool, cache_words: int | None = None) -> DataFrame:
     """One row for each piece: (id, piece, start, length, ids_crc32, part, r[, ids]).
 
     ``r`` numbers the pieces of one length within a partition ``part``.
@@ -133,7 +134,7 @@ def tokenized_pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer_path
 
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        words = worker_state(f"tokens {tokenizer_path}", lambda: WordTokens(tokenizer_path))
+        words = worker_state(f"tokens {tokenizer_path} {cache_words}", lambda: WordTokens(tokenizer_path, cache_words))
         part, seen = TaskContext.get().partitionId(), {}
         for b in batches:
             for i in range(0, b.num_rows, 256):
@@ -160,14 +161,17 @@ def tokenized_pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer_path
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-         capacity: int = 4096, end_id: int = 1, with_ids: bool = False, **lp) -> DataFrame:
+         capacity: int = 4096, end_id: int = 1, with_ids: bool = False,
+         cache_words: int | None = None, **lp) -> DataFrame:
     """One row for each piece: ``id_col, piece, start, length, ids_crc32, sequence_id, offset[, ids]``.
 
     A document is its ids and then ``end_id`` (null text: empty, so ``end_id``
     alone).  Only documents longer than ``capacity`` are cut; their last piece may be
     shorter.  Offsets of a sequence are gapless from 0.  Repeated rows are packed each.
+    ``cache_words`` bounds what a worker remembers of words (time against memory; default CACHE_WORDS).
     """
-    pieces = materialize(tokenized_pieces(docs, id_col, text_col, tokenizer_path, capacity, end_id, with_ids), "pieces")
+    pieces = materialize(tokenized_pieces(docs, id_col, text_col, tokenizer_path, capacity, end_id, with_ids, cache_words),
+                         "pieces")
     counts = materialize(pieces.groupBy("part", "length").agg(F.count("*").alias("n")), "piece-counts")
     hist = {r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("n")).collect()}  # capacity rows at most
     places = pieces.sparkSession.sparkContext.broadcast(_places(plan(hist, capacity, **lp)))
