@@ -79,7 +79,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of what is left, each with its place in a sequence; a null text is the end mark alone, a null id stays null."""
-    return pack(docs, tokenizer_path(), capacity=4096, end_id=1)
+    # Workers serve all stages one after the other, so what this one remembers is kept small.
+    return pack(docs, tokenizer_path(), capacity=4096, end_id=1, cache_words=30_000)
 
 
 STAGES = [("language_id", language_id), ("line_dedup", lines), ("simhash_dedup", near_duplicates),
