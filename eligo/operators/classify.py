@@ -175,7 +175,8 @@ def next_batch(incr: DataFrame, prev: DataFrame | None, batch_id: int,
     touched = found.select(*dict.fromkeys([*KEY_COLS, *_H]))
     if keep_touched:
         touched = keep(touched, "touched")
-    pairs = keep(label_pairs(incr, touched), "pairs")
+    # A key set past the broadcast limit is no bound on the rows that share its keys either.
+    pairs = keep(label_pairs(incr, touched if incr_keys.broadcast else touched.hint("merge")), "pairs")
     updates = updates_from_pairs(pairs, batch_id)
     # Updated keys are a subset of the increment's keys, so the size bound
     # measured above holds for them too: no second measurement.
@@ -184,7 +185,7 @@ def next_batch(incr: DataFrame, prev: DataFrame | None, batch_id: int,
         left = bucketed_anti_join(prev, update_keys, KEY_COLS, buckets)
     else:
         # The increment's bitmap holds for them as well.
-        left = anti_join(prev, KeySet(F.broadcast(update_keys) if incr_keys.broadcast else update_keys,
+        left = anti_join(prev, KeySet(F.broadcast(update_keys) if incr_keys.broadcast else update_keys.hint("merge"),
                                       tuple(KEY_COLS), incr_keys.broadcast, incr_keys.bitmap), KEY_COLS)
     carried = (left.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
                .select(*STATE_COLS))

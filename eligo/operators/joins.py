@@ -92,7 +92,8 @@ def key_set(keys_df: DataFrame, keys: list[str], max_broadcast_bytes: int = DEFA
     most = MAX_BITMAP_BYTES if max_bitmap_bytes is None else max_bitmap_bytes
     # The distinct keys are not needed to set bits; copies set a bit again.
     bitmap = key_bitmap(keys_df.select(*keys), keys, size.rows, most) if most > 0 else None
-    return KeySet(small, tuple(keys), False, bitmap)
+    # The planner guesses a key set's size from the file it was read from, which a good compression makes far too small.
+    return KeySet(small.hint("merge"), tuple(keys), False, bitmap)
 
 
 def _as_key_set(keys_df, keys, max_broadcast_bytes) -> KeySet:
@@ -158,7 +159,7 @@ def pruned_semi_join(big: DataFrame, keys_df: DataFrame, keys: list[str], n: int
 
 # ---- key bitmap -------------------------------------------------------------------
 
-MAX_BITMAP_BYTES = 64 * 1024 * 1024
+MAX_BITMAP_BYTES = 16 * 1024 * 1024   # each join collects the filter to the driver once
 _BLOCK_BITS = 32768      # fixed value: positions of one bitmap_construct_agg
 _BITS_PER_KEY = 16       # about 6 % of foreign keys then meet a set bit
 
@@ -183,7 +184,7 @@ class KeyBitmap:
         for k in self.keys:
             known = known & F.col(k).isNotNull()
         at = df.withColumn("_n", F.when(known, n)).withColumn("_block", F.floor(F.col("_n") / F.lit(_BLOCK_BITS)))
-        probed = at.join(F.broadcast(self.blocks), "_block", "left")
+        probed = at.join(F.broadcast(self.blocks.where(F.col("_block").isNotNull())), "_block", "left")   # both sides then share one broadcast
         place = F.col("_n") % F.lit(_BLOCK_BITS)
         word = F.get("_words", F.floor(place / F.lit(64)).cast("int"))
         # bytes of a word run from the highest to the lowest, bits of a byte from the lowest: position xor 56

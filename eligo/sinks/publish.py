@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eligo.operators.joins import DEFAULT_BROADCAST_BYTES, key_set
+from eligo.operators.joins import DEFAULT_BROADCAST_BYTES, key_set, semi_join, split_null_keys
 from eligo.schemas import KEY_COLS, STATE_COLS
 from eligo.session import materialize
 from eligo.sources.tables import read_parquet_or_none
@@ -197,11 +197,20 @@ def audit_observed(counts: WriteCounts, written: DataFrame, updates: DataFrame,
 
 
 def _repeats(updates: DataFrame) -> tuple[int, int]:
-    """(keys with several update rows, update rows beyond the distinct ones)."""
-    distinct = updates.groupBy(*updates.columns).agg(F.count(F.lit(1)).alias("_n"))
+    """(keys with several update rows, update rows beyond the distinct ones).
+
+    Copies share their key, so whole rows are compared only among the rows of such keys.  Rows with a NULL key (equal
+    keys here) are compared without the join, where they would share one task.
+    """
+    several = materialize(updates.groupBy(*KEY_COLS).count().where(F.col("count") > 1).select(*KEY_COLS), "several-keys")
+    n = several.count()
+    if n == 0:
+        return 0, 0
+    keyed, unkeyed = split_null_keys(updates, KEY_COLS)
+    rows = semi_join(keyed, several, KEY_COLS).unionByName(unkeyed)
+    distinct = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n"))
     copies = distinct.agg(F.sum(F.col("_n") - 1).alias("copies")).first()["copies"]
-    several = updates.groupBy(*KEY_COLS).count().where(F.col("count") > 1).count()
-    return several, int(copies or 0)
+    return n, int(copies or 0)
 
 
 def logged_rows(spark: SparkSession, log_path: str, batch_id: int) -> int:
