@@ -273,7 +273,7 @@ def q_catalog_tables(spark, sf_dir):
     from eligo.schemas import Tables
     root = scratch_path(spark, "catalog_tables")
     land = f"{root}/landing"
-    (S.saved_offer_landing(_events(spark, sf_dir)).repartition("year", "month", "day")
+    (S.saved_offer_landing(S.by_landing_hour(_events(spark, sf_dir)))
      .write.partitionBy("year", "month", "day", "hour").json(land))
     tables = Tables(f"{root}/warehouse", "legacy", f"eligo_q_{uuid.uuid4().hex}", 8)
     cut = datetime.strptime(S.CUT, "%Y-%m-%d %H:%M:%S")
@@ -292,8 +292,7 @@ def q_saved_offers_job(spark, sf_dir):
     from eligo.schemas import Tables
     root = scratch_path(spark, "saved_offers_job")
     land = f"{root}/landing"
-    # one task per landing day writes that day's hour directories
-    (S.saved_offer_landing(_events(spark, sf_dir)).repartition("year", "month", "day")
+    (S.saved_offer_landing(S.by_landing_hour(_events(spark, sf_dir)))
      .write.partitionBy("year", "month", "day", "hour").json(land))
     tables = Tables(f"{root}/warehouse", "legacy")
     cut = datetime.strptime(S.CUT, "%Y-%m-%d %H:%M:%S")
@@ -313,7 +312,7 @@ def q_eligibility_job(spark, sf_dir):
     from eligo.schemas import Tables
     root = scratch_path(spark, "eligibility_job")
     land = f"{root}/landing"
-    (S.legacy_payloads(_events(spark, sf_dir)).repartition("year", "month", "day")
+    (S.legacy_payloads(S.by_landing_hour(_events(spark, sf_dir)))
      .write.partitionBy("year", "month", "day", "hour").json(land))
     tables = Tables(f"{root}/warehouse", "legacy")
     cut = datetime.strptime(S.CUT, "%Y-%m-%d %H:%M:%S")
@@ -331,7 +330,7 @@ def q_kafka_job(spark, sf_dir):
     from eligo.schemas import Tables
     root = scratch_path(spark, "kafka_job")
     land = f"{root}/kafka-stream"
-    (S.kafka_landing(_events(spark, sf_dir)).repartition("year", "month", "day")
+    (S.kafka_landing(S.by_landing_hour(_events(spark, sf_dir)))
      .write.partitionBy("year", "month", "day", "hour").text(land))
     tables = Tables.for_raw_path(f"{root}/warehouse", land)
     cut = datetime.strptime(S.CUT, "%Y-%m-%d %H:%M:%S")
@@ -352,7 +351,7 @@ def q_init_job(spark, sf_dir):
     root = scratch_path(spark, "init_job")
     land, dump = f"{root}/landing", f"{root}/dump/snapshot={S.HIST_BATCH_ID}"
     events = _events(spark, sf_dir)
-    (S.saved_offer_landing(events).repartition("year", "month", "day")
+    (S.saved_offer_landing(S.by_landing_hour(events))
      .write.partitionBy("year", "month", "day", "hour").json(land))
     offer_id = (F.col("user_id").cast("bigint") * 1000 + F.col("offer_id").cast("bigint")).cast("string")
     (_history_state(_staged_pair(spark, sf_dir)[0]).withColumn("offer_id", offer_id)
@@ -368,7 +367,7 @@ def q_init_job(spark, sf_dir):
 def q_landing_window(spark, sf_dir):
     """A written landing read for one hour window: every line of its hours, whole."""
     land = f"{scratch_path(spark, 'landing_window')}/landing"
-    (S.kafka_landing(_events(spark, sf_dir)).repartition("year", "month", "day")
+    (S.kafka_landing(S.by_landing_hour(_events(spark, sf_dir)))
      .write.partitionBy("year", "month", "day", "hour").text(land))
     win = landing.read_window(spark, land, datetime.strptime(S.WINDOW_START, "%Y-%m-%d %H"),
                               datetime.strptime(S.WINDOW_END, "%Y-%m-%d %H"))
@@ -424,7 +423,7 @@ def q_late_hours(spark, sf_dir):
     root = scratch_path(spark, "late_hours")
     land, events = f"{root}/kafka-stream", _events(spark, sf_dir)
     for rows, mode in ((events.where("event_type <> 'error'"), "overwrite"), (events.where("event_type = 'error'"), "append")):
-        (S.kafka_landing(rows).repartition("year", "month", "day").write.mode(mode)
+        (S.kafka_landing(S.by_landing_hour(rows)).write.mode(mode)
          .partitionBy("year", "month", "day", "hour").text(land))
         span = S.data_span(events)
         if mode == "overwrite":

@@ -96,6 +96,12 @@ def with_landing_parts(events: DataFrame) -> DataFrame:
     })
 
 
+def by_landing_hour(events: DataFrame) -> DataFrame:
+    """``events`` dealt out by landing hour, so that one task writes an hour's one file.  The lines are made after this
+    shuffle: the events' few columns cross it, not their JSON, and all tasks make lines, however few splits the table has."""
+    return events.repartition(F.year("ts"), F.month("ts"), F.dayofmonth("ts"), F.hour("ts"))
+
+
 def landing_path(events: DataFrame) -> Column:
     """A landing file path per event; error events lack the hour segment."""
     def two(c):
